@@ -22,8 +22,9 @@ from .lookalike import canonical
 
 #: Words a passage has at least; rare terms taken from every stretch of so many words; of them so many must agree in offset, up to so much drift.
 PASSAGE, RAREST, AGREE, DRIFT = 12, 6, 3, 16
-#: Matches less edits that an alignment must reach; items sharing so long a run of words make it a stock instruction.
-SCORE, STOCK_RUN, STOCK_ITEMS = 12, 6, 4
+#: Words that agree, less PENALTY for each one changed, dropped or added, that a passage must reach (12 words as they are, or 14
+#: with one changed, have 11); a run of so many words that so many items share is a stock instruction.
+SCORE, PENALTY, STOCK_RUN, STOCK_ITEMS = 11, 2, 8, 4
 #: Test tokens that are looked up at once; larger test sets are taken in blocks.
 BLOCK_TOKENS = 2_000_000
 _TOKEN = re.compile(r"\w+")
@@ -75,13 +76,13 @@ def _codes(code: dict[str, int]):
 
 
 def align(item: list[int], window: list[int]) -> tuple[int, int, int, int, int]:
-    """(score, first, last place in the item, first, last in the window) of the best stretch: matches less words changed, dropped or added."""
+    """(score, first, last place in the item, first, last in the window) of the best stretch: words that agree less PENALTY for each edit."""
     best, run = (0, 0, 0, 0, 0), None
     for a, b, n in SequenceMatcher(None, item, window, autojunk=False).get_matching_blocks():
         if not n:
             continue
         if run is not None:
-            score = run[0] - max(a - run[2], b - run[4])
+            score = run[0] - PENALTY * max(a - run[2], b - run[4])
             run = (score + n, run[1], a + n, run[3], b + n) if score > 0 else None
         if run is None:
             run = (n, a, a + n, b, b + n)
@@ -131,7 +132,7 @@ def leaks(documents: DataFrame, items: DataFrame, score: int = SCORE, passage: i
     """Where passages of test items stand in documents: doc_id, item_id, score, and token ranges in item and document.
 
     ``documents`` has ``doc_id BIGINT, text``, ``items`` ``item_id BIGINT, text``; other columns are ignored.  A row says that at least
-    ``passage`` words of the item stand in the document, matches less changed, dropped and added words being at least ``score``; the
+    ``passage`` words of the item stand in the document, those that agree less PENALTY for each edit being at least ``score``; the
     best place of each pair is given.  Runs of STOCK_RUN words shared by STOCK_ITEMS items are stock and match
     nothing.  Null and empty texts match nothing; of rows with one item_id the texts are searched as one item each
     under that id; a document repeated under one doc_id is searched once for each row.  The test set is the stated
