@@ -1,8 +1,9 @@
 """Problem 7: evaluation texts leaking into training text.
 
 Method: a distributed positional inverted index.  Documents are stored as positional codes of the test vocabulary;
-postings of the rarest test terms are intersected with offset adjustment (document position less item position),
-and where several agree the stored positions around them are aligned for exact and near matches.
+lists of neighbouring terms are intersected at once, so the stored postings are of pairs; those of the rarest test
+pairs are intersected with offset adjustment (document position less item position), and where several agree the
+stored positions around them are aligned for exact and near matches.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 from ..plans.lineage import cut
 from .lookalike import canonical
 
-#: Words a passage has at least; rare terms taken from every stretch of so many words; of them so many must agree in offset, up to so much drift.
+#: Words a passage has at least; rare pairs of neighbours taken from every stretch of so many words; of them so many must agree in
+#: offset, up to so much drift. A passage of SCORE keeps more than AGREE of its pairs, as an edit breaks two.
 PASSAGE, RAREST, AGREE, DRIFT = 12, 6, 3, 16
 #: Words that agree, less PENALTY for each one changed, dropped or added, that a passage must reach (12 words as they are, or 14
 #: with one changed, have 11); a run of so many words that so many items share is a stock instruction.
@@ -49,16 +51,22 @@ class _Items:
         stock = {r for r, own in runs.items() if len(own) >= STOCK_ITEMS}
         self.stock = {i: {k + d for k in range(len(t) - STOCK_RUN + 1) if tuple(t[k : k + STOCK_RUN]) in stock for d in range(STOCK_RUN)} for i, t in self.seq.items()}
 
+    def pairs(self, i: int) -> list[int | None]:
+        """Neighbouring terms of an item as one number each, by the place of the first; None where stock."""
+        t, stock = self.seq[i], self.stock[i]
+        return [None if k in stock or k + 1 in stock else t[k] << 32 | t[k + 1] for k in range(len(t) - 1)]
+
     def seeds(self, seen: dict[int, int]) -> list[tuple[int, int, int]]:
-        """(code, item, place) of the rarest terms of every stretch of PASSAGE words, stock left out."""
+        """(pair, item, place) of the rarest pairs of every stretch of PASSAGE words."""
+        own = {i: self.pairs(i) for i in self.seq}
+        weight = Counter(p for ps in own.values() for p in ps)
         places: dict[tuple[int, int], None] = {}
-        weight = Counter(c for t in self.seq.values() for c in t)
-        for i, t in self.seq.items():
-            for k in range(max(1, len(t) - PASSAGE + 1)):
-                own = [x for x in range(k, min(k + PASSAGE, len(t))) if x not in self.stock[i]]
-                for x in sorted(own, key=lambda x: (seen.get(t[x], 0) * weight[t[x]], x))[:RAREST]:
+        for i, ps in own.items():
+            for k in range(max(1, len(ps) - PASSAGE + 2)):
+                here = [x for x in range(k, min(k + PASSAGE - 1, len(ps))) if ps[x] is not None]
+                for x in sorted(here, key=lambda x: (seen.get(ps[x], 0) * weight[ps[x]], x))[:RAREST]:
                     places[i, x] = None
-        return [(self.seq[i][x], i, x) for i, x in places if seen.get(self.seq[i][x], 0)]
+        return [(own[i][x], i, x) for i, x in places if seen.get(own[i][x], 0)]
 
 
 def _codes(code: dict[str, int]):
@@ -117,11 +125,13 @@ _FOUND = "doc_id bigint, item_id bigint, score int, item_start int, item_stop in
 def _one_block(documents: DataFrame, rows: list[tuple[int, str]], score: int, passage: int) -> DataFrame:
     items = _Items(rows)
     coded = cut(documents.mapInArrow(_codes(items.code), "doc_id bigint, codes array<int>"), "codes")
-    postings = coded.select("doc_id", F.posexplode("codes").alias("pos", "code")).filter("code > 0")
-    seen = {r.code: r.n for r in postings.groupBy("code").agg(F.count(F.lit(1)).alias("n")).collect()}  # no more rows than the block has terms
     spark = documents.sparkSession
-    seeds = F.broadcast(spark.createDataFrame(items.seeds(seen), "code int, item_id bigint, place int"))
-    hits = postings.join(seeds, "code").select("doc_id", "item_id", "place", (F.col("pos") - F.col("place")).alias("offset"))
+    asked = F.broadcast(spark.createDataFrame(sorted({(p,) for i in items.seq for p in items.pairs(i) if p is not None}), "pair bigint"))
+    after = F.transform("codes", lambda x, k: F.when((x > 0) & (F.get("codes", k + 1) > 0), F.shiftleft(x.cast("bigint"), 32).bitwiseOR(F.get("codes", k + 1).cast("bigint"))))
+    postings = cut(coded.select("doc_id", F.posexplode(after).alias("pos", "pair")).join(asked, "pair").select("pair", "doc_id", "pos"), "postings")
+    seen = {r.pair: r.n for r in postings.groupBy("pair").agg(F.count(F.lit(1)).alias("n")).collect()}  # no more rows than the block has pairs
+    seeds = F.broadcast(spark.createDataFrame(items.seeds(seen), "pair bigint, item_id bigint, place int"))
+    hits = postings.join(seeds, "pair").select("doc_id", "item_id", "place", (F.col("pos") - F.col("place")).alias("offset"))
     grid = F.explode(F.array(F.floor(F.col("offset") / DRIFT) * 2, F.floor((F.col("offset") + DRIFT // 2) / DRIFT) * 2 + 1))
     agreed = hits.withColumn("cell", grid).groupBy("doc_id", "item_id", "cell").agg(F.countDistinct("place").alias("n"), F.min("offset").alias("lo"), F.max("offset").alias("hi")).filter(F.col("n") >= AGREE)
     wanted = agreed.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "lo", "hi")).alias("hits"))
