@@ -62,13 +62,17 @@ def _tables() -> tuple[re.Pattern[str], dict[int, str | None]]:
 
 def _segment(text: str) -> str:
     fold = _tables()[1]
-    out: list[str] = []
-    for c in unicodedata.normalize("NFC", text):
-        if c in "\u200c\u200d" and out and out[-1] and unicodedata.combining(out[-1][-1]) == VIRAMA:
-            out.append(c)
-        else:
-            out.append(fold.get(ord(c), c) or "")
-    return unicodedata.normalize("NFC", "".join(out))
+    while True:  # what is taken out can bring marks together; a second round is rare
+        out: list[str] = []
+        for c in unicodedata.normalize("NFC", text):
+            if c in "\u200c\u200d" and out and out[-1] and unicodedata.combining(out[-1][-1]) == VIRAMA:
+                out.append(c)
+            elif kept := fold.get(ord(c), c):
+                out.append(kept)
+        made = unicodedata.normalize("NFC", "".join(out))
+        if made == text:
+            return made
+        text = made
 
 
 _BLANKS = re.compile(r"[ \t]+(?=\n)|[ \t]{2,}|\t|\r\n?|[ \t]+\Z|\A[ \t]+|(?<=\n)[ \t]+")
