@@ -37,19 +37,21 @@ def ranked(counts: DataFrame) -> DataFrame:
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(piece, at, term): by pigeonhole a string more than 0.92 alike keeps one of these pieces of the other whole."""
+    """(piece, width, at, term): by pigeonhole a string more than 0.92 alike keeps one of these pieces whole, at one of these places.
+
+    Of two such strings fewer than 0.08 of all characters fail to match; cut into one piece more than that number, some
+    piece is untouched, and it is moved by no more than that number.
+    """
     for batch in batches:
         rows = []
         for term, norm in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             n = len(norm)
-            if not n:
-                continue
-            parts = int((2 - 2 * ALIKE) / ALIKE * n + 1e-9) + 1  # characters that can fail to match, and one
-            edges = [round(k * n / parts) for k in range(parts + 1)]
-            rows += [(norm[a:b], b - a, term) for a, b in zip(edges, edges[1:], strict=False) if b > a]
+            slack = int((2 - 2 * ALIKE) / ALIKE * n + 1e-9)
+            edges = [round(k * n / (slack + 1)) for k in range(slack + 2)]
+            rows += [(norm[a:b], b - a, at, term) for a, b in zip(edges, edges[1:], strict=False) if b > a for at in range(max(0, a - slack), a + slack + 1)]
         if rows:
-            a, b, c = zip(*dict.fromkeys(rows), strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b, pa.int32()), pa.array(c)], names=["piece", "width", "term"])
+            a, b, c, d = zip(*dict.fromkeys(rows), strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b, pa.int32()), pa.array(c, pa.int32()), pa.array(d)], names=["piece", "width", "at", "term"])
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,12 +92,13 @@ def near_duplicates(counts: DataFrame) -> DataFrame:
     outer = held.join(base, "term").select(F.col("term").alias("y"), F.col("f").alias("yf"), F.col("rank").alias("yr"), "g")
     contained = inner.join(outer, "g").filter((F.col("x") != F.col("y")) & F.col("yf").contains(F.col("xf")))
     contained = contained.select(F.when(F.col("xr") < F.col("yr"), F.col("x")).otherwise(F.col("y")).alias("a"), F.when(F.col("xr") < F.col("yr"), F.col("y")).otherwise(F.col("x")).alias("b"))
-    cuts = cut(base.select("term", "f").mapInArrow(_pieces, "piece string, width int, term string"), "pieces")
+    cuts = cut(base.select("term", "f").mapInArrow(_pieces, "piece string, width int, at int, term string"), "pieces")
     widths = [x.width for x in cuts.select("width").distinct().collect()]  # widths of a few characters: a handful
     tried = contained.select("a", "b").limit(0)
     for width in widths:
-        windows = base.select(F.col("term").alias("y"), F.explode(grams(F.col("f"), width)).alias("piece"))
-        tried = tried.unionByName(cuts.filter(F.col("width") == width).join(windows, "piece").filter(F.col("term") != F.col("y")).select(F.col("term").alias("a"), F.col("y").alias("b")))
+        several = F.transform(F.sequence(F.lit(1), F.length("f") - (width - 1)), lambda i: F.substring(F.col("f"), i, F.lit(width)))  # noqa: B023 - called at once
+        windows = base.filter(F.length("f") >= width).select(F.col("term").alias("y"), F.posexplode(several).alias("at", "piece"))
+        tried = tried.unionByName(cuts.filter(F.col("width") == width).join(windows, ["piece", "at"]).filter(F.col("term") != F.col("y")).select(F.col("term").alias("a"), F.col("y").alias("b")))
     pairs = tried.distinct().join(l, "a").join(r, "b").select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(first, F.col("af")).otherwise(F.col("bf")).alias("af"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("b"), F.when(first, F.col("bf")).otherwise(F.col("af")).alias("bf")).distinct()
     alike = pairs.filter(2 * F.least(F.length("af"), F.length("bf")) > ALIKE * (F.length("af") + F.length("bf"))).mapInArrow(_alike, "a string, b string")
     return same.unionByName(contained.select("a", "b")).unionByName(alike).distinct()
