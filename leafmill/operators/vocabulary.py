@@ -100,7 +100,11 @@ def near_duplicates(counts: DataFrame) -> DataFrame:
         windows = base.filter(F.length("f") >= width).select(F.col("term").alias("y"), F.posexplode(several).alias("at", "piece"))
         tried = tried.unionByName(cuts.filter(F.col("width") == width).join(windows, ["piece", "at"]).filter(F.col("term") != F.col("y")).select(F.col("term").alias("a"), F.col("y").alias("b")))
     pairs = tried.distinct().join(l, "a").join(r, "b").select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(first, F.col("af")).otherwise(F.col("bf")).alias("af"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("b"), F.when(first, F.col("bf")).otherwise(F.col("af")).alias("bf")).distinct()
-    alike = pairs.filter(2 * F.least(F.length("af"), F.length("bf")) > ALIKE * (F.length("af") + F.length("bf"))).mapInArrow(_alike, "a string, b string")
+    # What fails to match bounds the edit distance from above, so the built-in distance leaves few pairs to Python and loses none.
+    most = (1 - ALIKE) * (F.length("af") + F.length("bf"))
+    possible = pairs.filter((F.abs(F.length("af") - F.length("bf")) <= most) & (F.levenshtein("af", "bf") <= most))
+    # Comparing costs far more than the bytes of a pair let the adaptive coalescing see, so the number of tasks is kept.
+    alike = possible.repartition(int(base.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b").mapInArrow(_alike, "a string, b string")
     return same.unionByName(contained.select("a", "b")).unionByName(alike).distinct()
 
 

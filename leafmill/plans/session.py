@@ -4,9 +4,20 @@ from __future__ import annotations
 
 import os
 
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Let the Python workers of a session find this package where it lies, whatever folder the driver was started in."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    have = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in have:
+        env["PYTHONPATH"] = os.pathsep.join([root, *have])
+    return spark
+
+
 def local_session(cores: int | None = None, name: str = "leafmill") -> SparkSession:
     cores = cores or int(os.environ.get("BENCH_CPUS", "8"))
     spark = (
@@ -21,4 +32,4 @@ def local_session(cores: int | None = None, name: str = "leafmill") -> SparkSess
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return prepare(spark)
