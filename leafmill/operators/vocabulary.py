@@ -37,7 +37,7 @@ def ranked(counts: DataFrame) -> DataFrame:
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(piece, width, at, term): by pigeonhole a string more than 0.92 alike keeps one of these pieces whole, at one of these places.
+    """(piece, width, at, term, norm): by pigeonhole a string more than 0.92 alike keeps one of these pieces whole, at one of these places.
 
     Of two such strings fewer than 0.08 of all characters fail to match; cut into one piece more than that number, some
     piece is untouched, and it is moved by no more than that number.
@@ -48,10 +48,10 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = len(norm)
             slack = int((2 - 2 * ALIKE) / ALIKE * n + 1e-9)
             edges = [round(k * n / (slack + 1)) for k in range(slack + 2)]
-            rows += [(norm[a:b], b - a, at, term) for a, b in zip(edges, edges[1:], strict=False) if b > a for at in range(max(0, a - slack), a + slack + 1)]
+            rows += [(norm[a:b], b - a, at, term, norm) for a, b in zip(edges, edges[1:], strict=False) if b > a for at in range(max(0, a - slack), a + slack + 1)]
         if rows:
-            a, b, c, d = zip(*dict.fromkeys(rows), strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b, pa.int32()), pa.array(c, pa.int32()), pa.array(d)], names=["piece", "width", "at", "term"])
+            a, b, c, d, e = zip(*dict.fromkeys(rows), strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b, pa.int32()), pa.array(c, pa.int32()), pa.array(d), pa.array(e)], names=["piece", "width", "at", "term", "norm"])
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,17 +92,18 @@ def near_duplicates(counts: DataFrame) -> DataFrame:
     outer = held.join(base, "term").select(F.col("term").alias("y"), F.col("f").alias("yf"), F.col("rank").alias("yr"), "g")
     contained = inner.join(outer, "g").filter((F.col("x") != F.col("y")) & F.col("yf").contains(F.col("xf")))
     contained = contained.select(F.when(F.col("xr") < F.col("yr"), F.col("x")).otherwise(F.col("y")).alias("a"), F.when(F.col("xr") < F.col("yr"), F.col("y")).otherwise(F.col("x")).alias("b"))
-    cuts = cut(base.select("term", "f").mapInArrow(_pieces, "piece string, width int, at int, term string"), "pieces")
+    cuts = cut(base.select("term", "f").mapInArrow(_pieces, "piece string, width int, at int, term string, norm string"), "pieces")
     widths = [x.width for x in cuts.select("width").distinct().collect()]  # widths of a few characters: a handful
     tried = contained.select("a", "b").limit(0)
     for width in widths:
         several = F.transform(F.sequence(F.lit(1), F.length("f") - (width - 1)), lambda i: F.substring(F.col("f"), i, F.lit(width)))  # noqa: B023 - called at once
-        windows = base.filter(F.length("f") >= width).select(F.col("term").alias("y"), F.posexplode(several).alias("at", "piece"))
-        tried = tried.unionByName(cuts.filter(F.col("width") == width).join(windows, ["piece", "at"]).filter(F.col("term") != F.col("y")).select(F.col("term").alias("a"), F.col("y").alias("b")))
-    pairs = tried.distinct().join(l, "a").join(r, "b").select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(first, F.col("af")).otherwise(F.col("bf")).alias("af"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("b"), F.when(first, F.col("bf")).otherwise(F.col("af")).alias("bf")).distinct()
-    # What fails to match bounds the edit distance from above, so the built-in distance leaves few pairs to Python and loses none.
-    most = (1 - ALIKE) * (F.length("af") + F.length("bf"))
-    possible = pairs.filter((F.abs(F.length("af") - F.length("bf")) <= most) & (F.levenshtein("af", "bf") <= most))
+        windows = base.filter(F.length("f") >= width).select(F.col("term").alias("y"), F.col("f").alias("yf"), F.posexplode(several).alias("at", "piece"))
+        met = cuts.filter(F.col("width") == width).join(windows, ["piece", "at"]).filter(F.col("term") != F.col("y"))
+        # What fails to match bounds the edit distance from above, so the built-in distance leaves few pairs and loses none.
+        most = (1 - ALIKE) * (F.length("norm") + F.length("yf"))
+        near = (F.abs(F.length("norm") - F.length("yf")) <= most) & (F.levenshtein("norm", "yf") <= most)
+        tried = tried.unionByName(met.filter(near).select(F.col("term").alias("a"), F.col("y").alias("b")))
+    possible = tried.distinct().join(l, "a").join(r, "b").select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(first, F.col("af")).otherwise(F.col("bf")).alias("af"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("b"), F.when(first, F.col("bf")).otherwise(F.col("af")).alias("bf")).distinct()
     # Comparing costs far more than the bytes of a pair let the adaptive coalescing see, so the number of tasks is kept.
     alike = possible.repartition(int(base.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b").mapInArrow(_alike, "a string, b string")
     return same.unionByName(contained.select("a", "b")).unionByName(alike).distinct()
@@ -111,27 +112,25 @@ def near_duplicates(counts: DataFrame) -> DataFrame:
 def cluster(counts: DataFrame) -> DataFrame:
     """(term, n, canonical): greedy stars in the order of rank: a term not yet claimed claims all its unclaimed near-duplicates.
 
-    Not transitive.  In rounds: a term with no earlier neighbour left undecided or chosen is chosen; neighbours of chosen
-    terms are claimed by the earliest of them.  The number of rounds is that of the longest chain of decisions.
+    Not transitive.  In rounds: a term without an earlier open neighbour is chosen, and its neighbours are open no more;
+    when none is left, every other term belongs to its earliest chosen neighbour.  The number of rounds is that of
+    the longest chain of decisions.
     """
     pairs = cut(near_duplicates(counts), "pairs")
-    order = ranked(counts)
-    linked = pairs.select(F.col("a").alias("term")).unionByName(pairs.select(F.col("b").alias("term"))).distinct()
-    open_ = cut(linked, "open")
-    chosen = claimed = None
+    open_ = cut(pairs.select(F.col("a").alias("term")).unionByName(pairs.select(F.col("b").alias("term"))).distinct(), "open")
+    chosen: DataFrame | None = None
     while not open_.isEmpty():
-        blocked = pairs.join(open_.select(F.col("term").alias("a")), "a", "left_semi").select(F.col("b").alias("term")).distinct()
-        picked = cut(open_.join(blocked, "term", "left_anti"), "picked")
-        ranks = order.select(F.col("term").alias("a"), F.col("rank").alias("ar"))
-        taken = pairs.join(picked.select(F.col("term").alias("a")), "a", "left_semi").join(open_.select(F.col("term").alias("b")), "b", "left_semi").join(ranks, "a")
-        taken = cut(taken.groupBy("b").agg(F.min_by("a", "ar").alias("canonical")).select(F.col("b").alias("term"), "canonical"), "taken")
+        as_a, as_b = open_.select(F.col("term").alias("a")), open_.select(F.col("term").alias("b"))
+        live = pairs.join(as_a, "a", "left_semi").join(as_b, "b", "left_semi")
+        picked = cut(open_.join(live.select(F.col("b").alias("term")).distinct(), "term", "left_anti"), "picked")
         chosen = picked if chosen is None else chosen.unionByName(picked)
-        claimed = taken if claimed is None else claimed.unionByName(taken)
-        open_ = cut(open_.join(picked, "term", "left_anti").join(taken.select("term"), "term", "left_anti"), "open")
-    if claimed is None:
+        beaten = live.join(picked.select(F.col("term").alias("a")), "a", "left_semi").select(F.col("b").alias("term")).distinct()
+        open_ = cut(open_.join(picked, "term", "left_anti").join(beaten, "term", "left_anti"), "open")
+    if chosen is None:
         return counts.select("term", "n", F.col("term").alias("canonical"))
-    # A term claimed in two rounds cannot be: it leaves the open ones when it is claimed.
-    return counts.select("term", "n").join(claimed, "term", "left").select("term", "n", F.coalesce("canonical", "term").alias("canonical"))
+    ranks = ranked(counts).join(chosen, "term", "left_semi").select(F.col("term").alias("a"), F.col("rank").alias("ar"))
+    owned = pairs.join(ranks, "a").groupBy("b").agg(F.min_by("a", "ar").alias("canonical")).select(F.col("b").alias("term"), "canonical")
+    return counts.select("term", "n").join(owned, "term", "left").select("term", "n", F.coalesce("canonical", "term").alias("canonical"))
 
 
 def merged_counts(clustered: DataFrame) -> DataFrame:
