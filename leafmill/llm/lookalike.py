@@ -17,6 +17,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.lineage import cut
+from ..plans.skew import hot_cold_join
+
 # Letters of other scripts that are printed like a Latin letter.
 GREEK_CAPITALS = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϺ", "ABEZHIKMNOPTYXCM", strict=True))
 GREEK_SMALL = dict(zip("ονϲϳ", "ovcj", strict=True))
@@ -126,13 +129,13 @@ def lookalike_pairs(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     Stored forms are paired first, documents only then, so a class of nothing but exact copies makes no pair and no
     work, however large it is.  Two empty texts are copies; null text pairs with nothing.
     """
-    from ..plans.lineage import cut
-
     keyed = cut(lookalike_classes(documents, doc_id, text), "forms")
-    forms = keyed.groupBy("form", "raw").agg(F.count(F.lit(1)).alias("n"))
-    many = cut(forms.join(forms.groupBy("form").agg(F.count(F.lit(1)).alias("v")).filter("v > 1"), "form", "left_semi").select("form", "raw"), "variants")
+    forms = cut(keyed.groupBy("form", "raw").agg(F.count(F.lit(1)).alias("n")), "stored")
+    many = cut(forms.join(forms.groupBy("form").agg(F.count(F.lit(1)).alias("v")), "form").select("form", "raw", "n", "v"), "variants")
+    total = many.agg(F.sum("n")).first()[0] or 0
+    held = hot_cold_join(keyed.select("raw", doc_id), many.select("raw", "n", "v"), "raw", "n", total).filter("v > 1")
+    many = many.filter("v > 1")
     pairs = many.alias("x").join(many.alias("y"), F.col("x.form") == F.col("y.form")).filter(F.col("x.raw") < F.col("y.raw")).select(F.col("x.raw").alias("ra"), F.col("y.raw").alias("rb"))
     ids: Column = F.col(doc_id)
-    held = keyed.join(many.select("raw"), "raw", "left_semi")
     both = pairs.join(held.select(F.col("raw").alias("ra"), ids.alias("i")), "ra").join(held.select(F.col("raw").alias("rb"), ids.alias("j")), "rb")
     return both.select(F.least("i", "j").alias("doc_id_a"), F.greatest("i", "j").alias("doc_id_b"))

@@ -15,9 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.lineage import cut
+from ..plans.skew import hot_cold_join
 
-#: Most collision edges that one task merges; expansions of the frontier in a round; neighbours from which a node counts as a hub, and the shares its list is split into.
-SMALL_GRAPH, STEPS, HUB, SALTS = 200_000, 2, 1_000, 32
+#: Most collision edges that one task merges; expansions of the frontier in a round; neighbours from which a node
+#: can be a hub, the most hubs there can be, and the shares a hub's list is split into.
+SMALL_GRAPH, STEPS, HUB, HUBS, SALTS = 200_000, 2, 1_000, 10_000, 32
 
 
 def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -40,11 +42,12 @@ def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([root(x) for x in names], pa.string())], names=["node", "label"])
 
 
-def _grow(edges: DataFrame, seed: int, steps: int) -> DataFrame:
-    """(node, label): every node with the seed that reached it first; edges hold both directions."""
-    degree = edges.groupBy("src").agg(F.count(F.lit(1)).alias("d"))
-    hubs = degree.filter(F.col("d") >= HUB).select("src", F.lit(True).alias("hub"))
-    nodes = degree.select(F.col("src").alias("node"), F.struct(F.xxhash64(F.lit(seed), "src").alias("h"), F.col("src").alias("s")).alias("rank"), (F.col("d") >= HUB).alias("hub"))
+def _grow(edges: DataFrame, seed: int, steps: int, total: int) -> DataFrame:
+    """(node, label, d): every node with the seed that reached it first and its neighbours' number; edges, ``total`` of them, hold both directions."""
+    degree = cut(edges.groupBy("src").agg(F.count(F.lit(1)).alias("d")), "degrees")
+    bar = max(HUB, total // HUBS)
+    hubs = F.broadcast(degree.filter(F.col("d") >= bar).select("src", F.lit(True).alias("hub")))  # no more than HUBS by arithmetic
+    nodes = degree.select(F.col("src").alias("node"), "d", F.struct(F.xxhash64(F.lit(seed), "src").alias("h"), F.col("src").alias("s")).alias("rank"), (F.col("d") >= bar).alias("hub"))
     salt = F.when(F.col("hub"), F.pmod(F.xxhash64("dst"), F.lit(SALTS)).cast("int")).otherwise(0)
     lists = cut(edges.join(hubs, "src", "left").select("src", "dst", salt.alias("salt")), "adjacency")
     spread = F.explode(F.when(F.col("hub"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
@@ -55,10 +58,10 @@ def _grow(edges: DataFrame, seed: int, steps: int) -> DataFrame:
         return lists.join(said, ["src", "salt"]).groupBy(F.col("dst").alias("node")).agg(F.min("say").alias("least"))
 
     least = told(nodes, F.col("rank"))
-    state = cut(nodes.join(least, "node", "left").select("node", "hub", "rank", F.when(F.col("least").isNull() | (F.col("rank") < F.col("least")), F.col("rank")).alias("label")), "frontier")
+    state = cut(nodes.join(least, "node", "left").select("node", "d", "hub", "rank", F.when(F.col("least").isNull() | (F.col("rank") < F.col("least")), F.col("rank")).alias("label")), "frontier")
     for _ in range(steps):
-        state = cut(state.join(told(state, F.col("label")), "node", "left").select("node", "hub", "rank", F.coalesce("label", "least").alias("label")), "frontier")
-    return state.select("node", F.coalesce(F.col("label.s"), F.col("node")).alias("label"))
+        state = cut(state.join(told(state, F.col("label")), "node", "left").select("node", "d", "hub", "rank", F.coalesce("label", "least").alias("label")), "frontier")
+    return state.select("node", F.coalesce(F.col("label.s"), F.col("node")).alias("label"), "d")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", small_graph: int = SMALL_GRAPH, steps: int = STEPS) -> DataFrame:
@@ -72,9 +75,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", small_graph: int =
     graph = cut(graph.unionByName(graph.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct(), "edges")
     maps: list[DataFrame] = []
     while True:
-        label = cut(_grow(graph, len(maps), steps), "labels")
-        maps.append(label)
-        ends = graph.filter("src <> dst").join(label.select(F.col("node").alias("src"), F.col("label").alias("la")), "src").join(label.select(F.col("node").alias("dst"), F.col("label").alias("lb")), "dst")
+        total = graph.count()
+        label = cut(_grow(graph, len(maps), steps, total), "labels")
+        maps.append(label.select("node", "label"))
+        at_src, at_dst = label.select(F.col("node").alias("src"), F.col("label").alias("la"), F.col("d").alias("ds")), label.select(F.col("node").alias("dst"), F.col("label").alias("lb"), F.col("d").alias("dd"))
+        ends = hot_cold_join(hot_cold_join(graph.filter("src <> dst"), at_src, "src", "ds", total), at_dst, "dst", "dd", total)
         met = cut(ends.filter("la <> lb").select(F.col("la").alias("src"), F.col("lb").alias("dst")).distinct(), "collisions")
         n = met.count()
         if n <= small_graph:
@@ -142,8 +147,6 @@ def related_splits(rows: DataFrame, row_id: str, links: dict[str, Column], propo
     known = cut(weight.join(parts, "node", "left").select("node", "n", F.coalesce("component", "node").alias("component")), "weights")
     dealt = deal(known.groupBy("component").agg(F.sum("n").alias("n")), proportions, seed)
     place = known.join(dealt, "component").select("node", "n", "component", "split")
-    from ..plans.skew import hot_cold_join
-
     total = known.agg(F.sum("n")).first()[0] or 0
     out = hot_cold_join(base.select("rid", first), cut(place, "places"), "node", "n", total)
     return out.select(F.col("rid").alias(row_id), "component", "split")
