@@ -93,19 +93,20 @@ def near_duplicates(counts: DataFrame) -> DataFrame:
     contained = inner.join(outer, "g").filter((F.col("x") != F.col("y")) & F.col("yf").contains(F.col("xf")))
     contained = contained.select(F.when(F.col("xr") < F.col("yr"), F.col("x")).otherwise(F.col("y")).alias("a"), F.when(F.col("xr") < F.col("yr"), F.col("y")).otherwise(F.col("x")).alias("b"))
     cuts = cut(base.select("term", "f").mapInArrow(_pieces, "piece string, width int, at int, term string, norm string"), "pieces")
+    # Comparing costs far more than the bytes of a pair let the adaptive coalescing see, so the number of tasks is kept.
+    tasks = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     widths = [x.width for x in cuts.select("width").distinct().collect()]  # widths of a few characters: a handful
     tried = contained.select("a", "b").limit(0)
     for width in widths:
         several = F.transform(F.sequence(F.lit(1), F.length("f") - (width - 1)), lambda i: F.substring(F.col("f"), i, F.lit(width)))  # noqa: B023 - called at once
         windows = base.filter(F.length("f") >= width).select(F.col("term").alias("y"), F.col("f").alias("yf"), F.posexplode(several).alias("at", "piece"))
-        met = cuts.filter(F.col("width") == width).join(windows, ["piece", "at"]).filter(F.col("term") != F.col("y"))
+        met = cuts.filter(F.col("width") == width).repartition(tasks, "piece", "at").join(windows.repartition(tasks, "piece", "at").hint("shuffle_hash"), ["piece", "at"]).filter(F.col("term") != F.col("y"))
         # What fails to match bounds the edit distance from above, so the built-in distance leaves few pairs and loses none.
         most = (1 - ALIKE) * (F.length("norm") + F.length("yf"))
         near = (F.abs(F.length("norm") - F.length("yf")) <= most) & (F.levenshtein("norm", "yf") <= most)
         tried = tried.unionByName(met.filter(near).select(F.col("term").alias("a"), F.col("y").alias("b")))
     possible = tried.distinct().join(l, "a").join(r, "b").select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(first, F.col("af")).otherwise(F.col("bf")).alias("af"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("b"), F.when(first, F.col("bf")).otherwise(F.col("af")).alias("bf")).distinct()
-    # Comparing costs far more than the bytes of a pair let the adaptive coalescing see, so the number of tasks is kept.
-    alike = possible.repartition(int(base.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b").mapInArrow(_alike, "a string, b string")
+    alike = possible.repartition(tasks, "a", "b").mapInArrow(_alike, "a string, b string")
     return same.unionByName(contained.select("a", "b")).unionByName(alike).distinct()
 
 
