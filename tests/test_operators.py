@@ -251,3 +251,27 @@ def test_content_and_skips(spark):
     df = spark.createDataFrame(rows, "resource_id string, resource_type string, text string, summary string, image_caption string")
     assert [r.c[0] if r.c else None for r in df.select(C.content().alias("c")).collect()] == ["s", "t", "c", "s", "s", None]
     assert C.skip_counts(df).first().asDict() == {"no_resource_id": 1, "type_skipped": 1, "no_content": 1, "kept": 3}
+
+
+def test_whole_pipelines(spark):
+    from leafmill.plans import pipelines as P
+
+    body = "a body line that is long enough to be kept as one chunk of the book"
+    pages = spark.createDataFrame([("d", 1, 1, f"MOTION AND FORCE\n1.1 Rest\n{body}", ["e"]), ("d", 2, 2, f"Example 1.1\n{body}\nCan you recall?\n{body}", [])], "doc_id string, page_no int, page_seq bigint, text string, equations array<string>")
+    chapters = spark.createDataFrame([("d", "NIOS", "Physics", 11, 3, "")], "doc_id string, source string, subject string, class_no int, chapter_no int, chapter_title string")
+    images = spark.createDataFrame([("d", "IMG_007", 2, "p.png", None)], "doc_id string, image_id string, page_no int, image_path string, caption string")
+    out, bad = P.open_book(pages, images, chapters, "PHY")
+    rows = {r.resource_id: r for r in out.collect()}
+    assert set(rows) == {"TXT_11_CH03_S1_1_001", "EXP_11_CH03_S1_1_001", "IMG_11_CH03_007"} and {r.document_id for r in rows.values()} == {"NIOS_PHY_CH03"}
+    assert rows["TXT_11_CH03_S1_1_001"].chapter_title == "Motion And Force" and rows["TXT_11_CH03_S1_1_001"].has_equation and bad.count() == 0
+    state, _ = P.state_book(pages, images, chapters, "PHY")
+    assert {r.resource_type for r in state.collect()} == {"explanation", "recall", "diagram"} and state.filter("document_id = 'MAHA_PHY_11'").count() == state.count()
+    assert P.class_book(pages, chapters).count() == 2
+
+    summary = "photosynthesis needs chlorophyll and sunlight in the chloroplast of leaves"
+    res = spark.createDataFrame([(f"r{k}", "explanation", None, summary, None, [], "T", None, None, 11, "Bio", False, "d", 1) for k in range(3)], "resource_id string, resource_type string, text string, summary string, image_caption string, concepts array<string>, chapter_title string, section string, subsection string, class_no int, subject string, has_equation boolean, document_id string, chapter_no int")
+    structural = spark.createDataFrame([("sunlight", "Sunlight", 4, "structural")], "canonical_id string, display_name string, frequency int, source string")
+    got = P.concept_pipeline(res, structural, "resource_id", C.stub_annotator, C.stub_annotator)
+    assert {r.canonical_id for r in got["vocabulary"].collect()} == {"sunlight", "photosynthesis", "chlorophyll", "chloroplast"}
+    assert all(set(r.concepts) == {"sunlight", "photosynthesis", "chlorophyll", "chloroplast"} for r in got["annotated"].collect())
+    assert got["gates"].first().coverage
