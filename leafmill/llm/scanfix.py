@@ -78,7 +78,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen = {s for s in map(str.strip, text.split("\n")) if len(s) <= 90 and s and _title_like(s)}
             lines.update({skeleton(s) for s in seen})
             raw.update((_BROKEN.sub(" ", text) if "\n" in text else text).split())
-        if len(raw) + len(lines) > 1_000_000:
+        if len(raw) + len(lines) > 500_000:
             yield from _flush(raw, lines)
             raw, lines = Counter(), Counter()
     yield from _flush(raw, lines)
@@ -190,7 +190,7 @@ class Repairer:
                 old = token[at : at + len(p)]
                 new = to.upper() if old.isupper() and len(old) > 1 and old.isalpha() else to.capitalize() if old[:1].isupper() else to
                 out = token[:at] + new + token[at + len(p) :]
-        if len(self.memo) < 2_000_000:
+        if len(self.memo) < 500_000:
             self.memo[token] = out
         return out
 
@@ -293,7 +293,7 @@ def _pairs(wanted: set[str]):
             for text in batch.column(0).to_pylist():
                 words = [memo[t] if t in memo else memo.setdefault(t, plain(t)) for t in text.split()]
                 count.update((a, b) for a, b in zip(words, words[1:], strict=False) if a in wanted or b in wanted)
-                if len(memo) > 1_000_000:
+                if len(memo) > 500_000:
                     memo.clear()
         rows = [(a, b, n) for (a, b), n in count.items()]
         if rows:
