@@ -256,7 +256,7 @@ def test_content_and_skips(spark):
 def test_whole_pipelines(spark):
     from leafmill.plans import pipelines as P
 
-    body = "a body line that is long enough to be kept as one chunk of the book"
+    body = "a body line that is long enough to be kept as one chunk of the book and not merged into another"
     pages = spark.createDataFrame([("d", 1, 1, f"MOTION AND FORCE\n1.1 Rest\n{body}", ["e"]), ("d", 2, 2, f"Example 1.1\n{body}\nCan you recall?\n{body}", [])], "doc_id string, page_no int, page_seq bigint, text string, equations array<string>")
     chapters = spark.createDataFrame([("d", "NIOS", "Physics", 11, 3, "")], "doc_id string, source string, subject string, class_no int, chapter_no int, chapter_title string")
     images = spark.createDataFrame([("d", "IMG_007", 2, "p.png", None)], "doc_id string, image_id string, page_no int, image_path string, caption string")
