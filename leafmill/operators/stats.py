@@ -110,6 +110,11 @@ def leaks(chunks: DataFrame, headers: list[str], text: str = "text") -> DataFram
     return chunks.withColumn("leak", found).filter("leak is not null")
 
 
+def mentions(chunks: DataFrame, heading: str, name: str, text: str, word: str, width: int = 50) -> DataFrame:
+    """Rows whose heading contains ``name`` or whose first ``width`` characters contain ``word``."""
+    return chunks.filter(F.coalesce(F.col(heading).contains(name), F.lit(False)) | F.coalesce(F.substring(text, 1, width).contains(word), F.lit(False)))
+
+
 def contiguity(pages: DataFrame, doc: str = "doc_id") -> DataFrame:
     """(doc, pages, contiguous): whether page numbers are 1 to n without gap or repeat; counted, not collected."""
     per = pages.groupBy(doc).agg(F.count(F.lit(1)).alias("pages"), F.countDistinct("page_no").alias("d"), F.min("page_no").alias("lo"), F.max("page_no").alias("hi"))

@@ -172,7 +172,9 @@ def blank_context(spark: SparkSession, d: str) -> DataFrame:
     return L.blank_context(L.pages_to_lines(_pages(spark, d))).select("doc_id", "page_seq", _big("line_no").alias("line_no"), "prev_blank", "next_blank")
 
 
-@query()
+@query(rf"""WITH {_LINES}, k AS (SELECT *, {_STRIP.format('line')} AS s FROM lines), f AS (SELECT * FROM k WHERE NOT regexp_matches(s, '(?i)^Chemical Reactions and Equations\s*\d*$|^Science\s*$|^\d+\s+Science\s*$|^Science\s+\d+\s*$|^Reprint \d{{4}}|^Chapter-\d+\.indd|^Curiosity.*Grade \d+|^Exploration\|Grade \d+|^Chapter \d+.*World of Science|^\s*\d{{1,3}}\s*$')),
+b AS (SELECT *, coalesce(lag(s = '') OVER w, true) OR coalesce(lead(s = '') OVER w, true) AS beside FROM f WINDOW w AS (PARTITION BY doc_id {_ORDER}))
+SELECT doc_id, page_no, line AS text FROM b WHERE beside AND length(s) BETWEEN 3 AND 80 AND regexp_matches(s, '^[A-Z][A-Z\s()\-/]{{4,60}}$|^[A-Z][a-zA-Z\s()\-/]{{4,60}}$') AND NOT regexp_matches(s, '(?i)^Dear Young Scientists|^Happy|^Write it here|^Probe and ponder|^Pause and Ponder|^Ready to Go Beyond|^Meet a Scientist|^Threads of Curiosity|^Next Level Up|^Activity \d+|^Example \d+|^Answer')""")
 def headings_lower(spark: SparkSession, d: str) -> DataFrame:
     return S.headings_lower(L.pages_to_lines(_pages(spark, d))).filter("heading").select("doc_id", "page_no", "text")
 
@@ -489,6 +491,98 @@ def chunk_audit(spark: SparkSession, d: str) -> DataFrame:
     return A.audit_lines(S.segment(_pages(spark, d), OPEN, _chapters(spark, d)))
 
 
+
+@query(rf"SELECT page_id, concat_ws(chr(10), nullif({_STRIP.format('text')}, ''), CASE WHEN len(equations) > 0 THEN 'x=1' END) AS text, (CASE WHEN len(equations) > 0 THEN 1 ELSE 0 END)::BIGINT AS equations FROM page_data WHERE text IS NOT NULL AND NOT contains(text, '<') AND NOT contains(text, '&')")
+def layout_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Pages written as layout trees and walked back; trees of pages whose text is markup are left out."""
+    from ..operators.layout import layout_to_extractions
+
+    rows = _t(spark, d, "page_data").filter(~F.col("text").contains("<") & ~F.col("text").contains("&"))
+    block = lambda kind, html: F.struct(F.lit(kind).alias("block_type"), html.alias("html"))
+    equation = F.when(F.size("equations") > 0, F.lit("<math>x=1</math>"))
+    children = F.array(block("PageHeader", F.lit("<p>head</p>")), block("Text", F.concat(F.lit("<p>"), F.col("text"), F.lit("</p>"))), block("Equation", equation))
+    page = F.struct(F.concat(F.lit("/page/"), F.col("page_no").cast("string"), F.lit("/Page/1")).alias("id"), children.alias("children"))
+    trees = rows.select(F.col("page_id").cast("string").alias("doc_id"), F.to_json(F.struct(F.array(page).alias("children"))).alias("tree"))
+    first = F.get("pages", F.lit(0))
+    return layout_to_extractions(trees).select(F.col("doc_id").cast("bigint").alias("page_id"), first["text"].alias("text"), _big(F.size(first["equations"])).alias("equations"))
+
+
+@query(r"SELECT DISTINCT file, 'Chemistry' AS subject, class_no, chapter_no FROM manifest WHERE regexp_matches(file, '_chem_') AND class_no IS NOT NULL AND chapter_no IS NOT NULL")
+def path_metadata(spark: SparkSession, d: str) -> DataFrame:
+    """Metadata read back from paths made of it."""
+    from ..sources.readers import path_metadata as read
+
+    rows = _t(spark, d, "manifest").filter(F.col("file").rlike("_chem_") & F.col("class_no").isNotNull() & F.col("chapter_no").isNotNull()).select("file", "class_no", "chapter_no").distinct()
+    meta = read(F.concat(F.lit("/books/CHEM/class"), F.col("class_no").cast("string"), F.lit("/chapter_"), F.lpad(F.col("chapter_no").cast("string"), 2, "0")))
+    return rows.select("file", meta["subject"].alias("subject"), meta["class_no"].alias("class_no"), meta["chapter_no"].alias("chapter_no"))
+
+
+@query("SELECT '/books/' || document_id AS dir, min('/books/' || document_id || '/' || file) AS text_file, min('/books/' || document_id || '/' || replace(file, 'resources', 'images')) AS image_file FROM manifest WHERE document_id IS NOT NULL GROUP BY document_id")
+def chapter_files(spark: SparkSession, d: str) -> DataFrame:
+    from ..sources.readers import chapter_files as pair
+
+    rows = _t(spark, d, "manifest").filter("document_id is not null")
+    at = F.concat(F.lit("/books/"), F.col("document_id"), F.lit("/"))
+    paths = rows.select(F.concat(at, F.col("file")).alias("path")).unionByName(rows.select(F.concat(at, F.replace(F.col("file"), F.lit("resources"), F.lit("images"))).alias("path")))
+    return pair(paths)
+
+
+_ABOUT = "'Subject: ' || coalesce(subject, '') || chr(10) || 'Class: ' || coalesce(class_no::VARCHAR, '') || chr(10) || 'Chapter: ' || coalesce(chapter_title, '') || chr(10) || CASE WHEN coalesce(section, '') <> '' THEN 'Section: ' || section || chr(10) ELSE '' END || CASE WHEN coalesce(subsection, '') <> '' THEN 'Subsection: ' || subsection || chr(10) ELSE '' END || 'Type: ' || coalesce(resource_type, '') || chr(10)"
+
+
+@query(f"SELECT load_id, {_ABOUT} || 'Has equation: ' || CASE WHEN has_equation THEN 'yes' ELSE 'no' END || chr(10) || 'Passage:' || chr(10) || text || chr(10) || 'Name three to eight scientific concepts of the passage as a JSON array of strings, and nothing else.' AS prompt FROM resources WHERE text IS NOT NULL")
+def prompts(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "resources").filter("text is not null").select("load_id", C.extraction_prompt(F.col("text")).alias("prompt"))
+
+
+@query(rf"""WITH {_LINES}, s AS (SELECT *, {_STRIP.format('line')} AS s FROM lines), t AS (SELECT doc_id, page_seq, line_no, regexp_extract(s, '^(\d+\.\d+(?:\.\d+)?)\s+(.+?)\s*$', 1) AS section_no, regexp_split_to_array(regexp_extract(s, '^(\d+\.\d+(?:\.\d+)?)\s+(.+?)\s*$', 2), '\s+') AS w FROM s WHERE regexp_matches(s, '^(\d+\.\d+(?:\.\d+)?)\s+(.+?)\s*$'))
+SELECT doc_id, page_seq, line_no::BIGINT AS line_no, section_no, array_to_string(list_transform(w, lambda x: upper(x[1]) || lower(substr(x, 2))), ' ') AS title FROM t""")
+def sections_capitalised(spark: SparkSession, d: str) -> DataFrame:
+    from ..operators.boards import NATIONAL
+
+    s = strip(F.col("text"))
+    found = L.pages_to_lines(_pages(spark, d)).filter(s.rlike(NATIONAL.section))
+    return found.select("doc_id", "page_seq", _big("line_no").alias("line_no"), F.regexp_extract(s, NATIONAL.section, 1).alias("section_no"), T.per_word_capitals(F.regexp_extract(s, NATIONAL.section, 2)).alias("title"))
+
+
+@query(r"SELECT DISTINCT c AS term, regexp_replace(replace(lower(c), '''s', 's'), '[^a-z0-9 ]', '', 'g') AS form FROM (SELECT unnest(concepts) AS c FROM resources) WHERE c IS NOT NULL")
+def similarity_forms(spark: SparkSession, d: str) -> DataFrame:
+    terms = _t(spark, d, "resources").select(F.explode("concepts").alias("term")).filter("term is not null").distinct()
+    return terms.select("term", T.similarity_form(F.col("term")).alias("form"))
+
+
+@query("SELECT load_id FROM resources WHERE contains(coalesce(section, ''), 'Membrane') OR contains(coalesce(substr(text, 1, 50), ''), 'membrane')")
+def section_audit(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of a derived unit: its name in the section, or among the first 50 characters of the text."""
+    rows = _t(spark, d, "resources")
+    return A.mentions(rows, "section", "Membrane", "text", "membrane").select("load_id")
+
+
+@query(f"SELECT CASE WHEN resource_type = 'diagram' THEN 'skipped' WHEN coalesce({_STRIP.format('text')}, '') = '' THEN 'error' ELSE 'ok' END AS status, count(*)::BIGINT AS n FROM resources GROUP BY 1")
+def run_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Rows by outcome of a run."""
+    status = F.when(F.col("resource_type") == "diagram", "skipped").when(F.coalesce(strip(F.col("text")), F.lit("")) == "", "error").otherwise("ok")
+    return A.counts_by(_t(spark, d, "resources").select(status.alias("status")), "status")
+
+
+@query()
+def open_book(spark: SparkSession, d: str) -> DataFrame:
+    """Pages and images to resources and diagrams of whole books."""
+    from .pipelines import open_book as run
+
+    file = _t(spark, d, "manifest").groupBy("document_id", "chapter_no").agg(F.min("file").alias("file"))
+    images = _t(spark, d, "image_meta").join(file, ["document_id", "chapter_no"]).select(F.regexp_replace("file", r"_resources\.json$", ".pdf").alias("doc_id"), "image_id", "page_no", "image_path", "caption")
+    return run(_pages(spark, d), images, _chapters(spark, d), "BOOK")[0]
+
+
+@query()
+def concept_pipeline(spark: SparkSession, d: str) -> DataFrame:
+    """Extraction, vocabulary, annotation and gates with the stand-in for a model."""
+    from .pipelines import concept_pipeline as run
+
+    return run(_t(spark, d, "resources"), _vocab(spark, d), "load_id", C.stub_annotator, C.stub_annotator)["gates"]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, (f, _) in _REGISTERED.items()}
 
