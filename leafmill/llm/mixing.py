@@ -20,8 +20,8 @@ from ..plans.lineage import cut
 #: Ranks of a public byte-level tokenizer, and the splitting pattern it is published with (a fixed value).
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Most (source, language, domain) combinations and sources the driver plans with; hash ranges a source's order is cut into.
-MOST_LEAVES, BUCKETS = 200_000, 1024
+#: Hash ranges a source's order is cut into.
+BUCKETS = 1024
 
 
 @cache
@@ -93,25 +93,21 @@ def mix(documents: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER, to
     spark = documents.sparkSession
     named = ["doc_id", "source", "lang", "subject"]
     counted = cut(token_counts(documents, named, tokenizer=tokenizer), "tokens")
-    cells = counted.groupBy("source", "lang", F.lower(F.trim("subject")).alias("domain")).agg(F.sum("tokens").alias("n")).limit(MOST_LEAVES + 1).collect()
-    goals = targets.filter("source is not null").groupBy("source").agg(F.max(F.struct(F.coalesce("target_share", F.lit(0.0)).alias("share"), F.coalesce("max_repeats", F.lit(0)).alias("repeats"))).alias("t")).limit(MOST_LEAVES + 1).collect()
-    if len(cells) > MOST_LEAVES or len(goals) > MOST_LEAVES:
-        raise ValueError("too many sources to plan on the driver: raise MOST_LEAVES")
-    whole = total if total is not None else sum(r.n for r in cells)
-    size: dict[str, int] = {}
-    most: dict[str, dict[tuple[str, str], int]] = {}
-    for r in cells:
-        size[r.source] = size.get(r.source, 0) + r.n
-        place = most.setdefault(r.source, {})
-        place[r.domain or "", r.lang or ""] = place.get((r.domain or "", r.lang or ""), 0) + r.n
+    cells = counted.groupBy("source", F.lower(F.trim("subject")).alias("domain"), "lang").agg(F.sum("tokens").alias("n"))
+    place = F.struct(F.coalesce("domain", F.lit("")).alias("domain"), F.coalesce("lang", F.lit("")).alias("lang"))
+    own = cells.groupBy("source").agg(F.sum("n").alias("n"), F.max(F.struct("n", place.alias("p"))).alias("most"))
+    goals = targets.filter("source is not null").groupBy("source").agg(F.max(F.struct(F.coalesce("target_share", F.lit(0.0)).alias("share"), F.coalesce("max_repeats", F.lit(0)).alias("repeats"))).alias("t"))
+    whole = total if total is not None else counted.agg(F.sum("tokens")).first()[0] or 0
+    goals = goals.join(own, "source", "left").collect()  # as many rows as the stated mix has sources
+    size = {g.source: g.n or 0 for g in goals}
     leaves = {}
     for g in goals:
-        place = max(sorted(most.get(g.source, {("", ""): 0}).items()), key=lambda x: x[1])[0]
-        leaves[(*place, g.source)] = (g.t.share, float(g.t.repeats * size.get(g.source, 0)))
+        at = (g.most.p.domain, g.most.p.lang) if g.most else ("", "")
+        leaves[(*at, g.source)] = (g.t.share, float(g.t.repeats * size[g.source]))
     given = {path[-1]: v for path, v in budget(leaves, float(whole)).items()}
     plan = []
     for g in goals:
-        have, wants = size.get(g.source, 0), given[g.source]
+        have, wants = size[g.source], given[g.source]
         full = min(g.t.repeats, int(wants // have)) if have else 0
         rest = int(wants - full * have) if full < g.t.repeats else 0
         plan.append((g.source, g.t.share, g.t.repeats, have, g.t.share * whole, wants, full, rest, g.t.share * whole > g.t.repeats * have))

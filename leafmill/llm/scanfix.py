@@ -7,7 +7,6 @@ compete, pick the repair.  Lines are told apart by form, by the titles in the ta
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -18,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.lineage import cut
+from ..plans.skew import hot_cold_join
 
 # What scanners read for what was printed.
 CONFUSIONS = (
@@ -29,7 +29,7 @@ CONFUSIONS = (
 MARKS = "-‐¬\xad"
 #: A word of the lexicon makes up at least so much of all words (so there are at most 1/SHARE) and occurs LEAST times; a repair is so many times as frequent.
 SHARE, LEAST, RATIO = 2e-6, 5, 15
-#: Cost of a confusion and most cost of a repair; items that a line recurs in to be a running title; most repairs and titles that are broadcast.
+#: Cost of a confusion and most cost of a repair; items that a line recurs in to be a running title; most repairs, or titles, that are broadcast.
 CONFUSED, MOST, RECURS, BROADCAST = 0.3, 0.95, 5, 1_000_000
 
 _SMALL = "of|and|the|in|for|on|to|a|an"
@@ -268,9 +268,9 @@ class Repairer:
         return noise, "\n\n".join(out)
 
 
-def _apply(know: tuple, texts: bool):
+def _apply(know, texts: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        repairer = Repairer(*know.value) if hasattr(know, "value") else Repairer(*know)
+        repairer = Repairer(*know.value)
         for batch in batches:
             kinds, ids = batch.column(0), batch.column(1)
             noise, made = [], []
@@ -303,7 +303,57 @@ def _pairs(wanted: set[str]):
     return run
 
 
-def repair_scans(items: DataFrame, titles: DataFrame, texts: bool = True, share: float = SHARE, least: int = LEAST, recurs: int = RECURS) -> DataFrame:
+def best_repairs(weighed: DataFrame) -> DataFrame:
+    """(key, meant, rivals, n): the repair of every misreading, and the words that compete with it; a misreading is nobody's repair."""
+    reads = weighed.select(F.col("read").alias("meant")).distinct()
+    sound = weighed.join(reads, "meant", "left_anti").withColumn("score", F.col("cost") - F.lit(0.15) * F.log10("meant_n"))
+    ranked = sound.groupBy("read").agg(F.max("read_n").alias("n"), F.array_sort(F.collect_list(F.struct("score", (-F.col("meant_n")).alias("m"), "meant"))).alias("c"))  # the lexicon words near one word
+    first = F.get("c", F.lit(0))
+    rivals = F.transform(F.filter("c", lambda x: x["score"] <= first["score"] + 0.1), lambda x: x["meant"])
+    return ranked.select(F.col("read").alias("key"), first["meant"].alias("meant"), F.when(F.size(rivals) > 1, rivals).alias("rivals"), "n")
+
+
+def _needs(safe: set[str]):
+    """(k, kind, id): what a text may need to know, its words but the safe ones and its lines set like titles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, kinds, ids = [], [], []
+            for kind, i, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                flat = re.sub(r"[-‐¬\xad][ \t]*\n\s*", "", text)
+                asked = {"w" + p for p in map(plain, {*text.split(), *flat.split()}) if p not in safe and _WORDY.search(p)}
+                asked |= {"h" + skeleton(x) for x in map(str.strip, text.split("\n")) if x and len(x) <= 90 and _title_like(x)}
+                keys += asked
+                kinds += [kind] * len(asked)
+                ids += [i] * len(asked)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(kinds, pa.string()), pa.array(ids, pa.int64())], names=["k", "kind", "id"])
+
+    return run
+
+
+def _apply_own(know, texts: bool):
+    """As ``_apply``, but with the repairs and titles that come along with each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs, lexicon = know.value
+        for batch in batches:
+            noise, made = [], []
+            for t, own in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                own = own or []
+                words = [x for x in own if x["k"][0] == "w"]
+                r = Repairer({x["k"][1:]: x["meant"] for x in words}, {x["k"][1:]: x["rivals"] for x in words if x["rivals"]}, pairs, lexicon, {x["k"][1:] for x in own if x["k"][0] == "h"})
+                n, c = r.clean(t) if t else ((), t)
+                noise.append(sorted(n))
+                made.append(c if texts else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(noise, pa.list_(pa.string())), pa.array(made, pa.string())], names=["kind", "id", "noise", "text"])
+
+    return run
+
+
+_FIXED = "kind string, id bigint, noise array<string>, text string"
+
+
+def repair_scans(items: DataFrame, titles: DataFrame, texts: bool = True, share: float = SHARE, least: int = LEAST, recurs: int = RECURS, broadcast: int = BROADCAST) -> DataFrame:
     """(kind, id, noise, text) of every row: the kinds of noise found and the text as clean running paragraphs.
 
     ``items`` has ``kind STRING, id BIGINT, text STRING``; ``titles`` one column of known chapter, subject or book titles.  ``noise`` is a
@@ -312,30 +362,24 @@ def repair_scans(items: DataFrame, titles: DataFrame, texts: bool = True, share:
     stay on lines of their own.  A line is a running title if it is set like one and is a known title, or recurs in
     ``recurs`` items.  Words in scripts without case are not repaired.
 
-    All counts are of all texts.  What is broadcast: lexicon words, each at least ``share`` of all words and so no more
-    than 1/share; repairs and running titles, whose number is checked against BROADCAST.
+    All counts are of all texts.  The lexicon and the counts of neighbours are broadcast: each entry makes up at least a
+    fixed share, so their number is bounded.  Repairs and running titles are broadcast while there are no more than
+    ``broadcast`` of either; beyond that each text is joined with those it needs.
     """
     spark = items.sparkSession
     base = items.select(F.col("kind").cast("string").alias("kind"), F.col("id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
-    body = base.filter("text is not null and text <> ''").select("text")
-    stats = cut(body.mapInArrow(_gather, "what string, key string, n bigint").groupBy("what", "key").agg(F.sum("n").alias("n")), "lexicon")
+    body = base.filter("text is not null and text <> ''")
+    stats = cut(body.select("text").mapInArrow(_gather, "what string, key string, n bigint").groupBy("what", "key").agg(F.sum("n").alias("n")), "lexicon")
     words = stats.filter("what = 'w'")
-    bar = max(least, int((words.agg(F.sum("n")).first()[0] or 0) * share))
+    total = words.agg(F.sum("n")).first()[0] or 0
+    bar = max(least, int(total * share))
     lexicon = {r.key: r.n for r in words.filter(F.col("n") >= bar).select("key", "n").toLocalIterator()}
-    weighed = cut(candidates(words, bar), "candidates")
-    found: dict[str, list[tuple[float, int, str]]] = defaultdict(list)
-    if weighed.select("read").distinct().limit(BROADCAST + 1).count() > BROADCAST:
-        raise ValueError("more distinct misreadings than BROADCAST: raise it, with the workers' memory")
-    for r in weighed.toLocalIterator():
-        found[r.read].append((r.cost - 0.15 * math.log10(r.meant_n), -r.meant_n, r.meant))
-    found = {w: sorted(x for x in c if x[2] not in found) for w, c in found.items()}  # a misreading is nobody's repair
-    repairs = {w: c[0][2] for w, c in found.items() if c}
-    rivals = {w: [v for d, _, v in c if d <= c[0][0] + 0.1] for w, c in found.items() if len(c) > 1}
-    rivals = {w: v for w, v in rivals.items() if len(v) > 1}
+    repairs = cut(best_repairs(candidates(words, bar)), "repairs")
+    rival_words = {v for r in repairs.filter("rivals is not null").select(F.explode("rivals").alias("v")).distinct().collect() for v in [r.v]}  # words of the lexicon
     pairs: dict[tuple[str, str], int] = {}
-    if rivals:
-        seen = body.mapInArrow(_pairs({v for c in rivals.values() for v in c}), "a string, b string, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
-        pairs = {(r.a, r.b): r.n for r in seen.filter(F.col("n") >= least).limit(BROADCAST).toLocalIterator()}
+    if rival_words:
+        seen = body.select("text").mapInArrow(_pairs(rival_words), "a string, b string, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
+        pairs = {(r.a, r.b): r.n for r in seen.filter(F.col("n") >= bar).toLocalIterator()}  # no more than 1/share, as each counts bar words
     known = titles.select(F.col(titles.columns[0]).cast("string").alias("t")).filter("trim(t) <> ''").distinct()
 
     def bones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -344,9 +388,16 @@ def repair_scans(items: DataFrame, titles: DataFrame, texts: bool = True, share:
 
     lines = stats.filter("what = 'h'")
     named = known.mapInArrow(bones, "key string").filter("key <> ''").distinct()
-    running = lines.filter(F.col("n") >= recurs).select("key").unionByName(lines.join(named, "key", "left_semi").select("key")).distinct()
-    heads = {r.key for r in running.limit(BROADCAST + 1).toLocalIterator()}
-    if len(heads) > BROADCAST:
-        raise ValueError("more running titles than BROADCAST: raise it, with the workers' memory")
-    know = spark.sparkContext.broadcast((repairs, rivals, pairs, lexicon, heads))
-    return base.mapInArrow(_apply(know, texts), "kind string, id bigint, noise array<string>, text string")
+    running = cut(lines.filter(F.col("n") >= recurs).unionByName(lines.filter(F.col("n") < recurs).join(named, "key", "left_semi")).select("key", "n"), "titles")
+    if repairs.count() <= broadcast and running.count() <= broadcast:
+        fixes = repairs.select("key", "meant", "rivals").collect()
+        know = spark.sparkContext.broadcast(({r.key: r.meant for r in fixes}, {r.key: r.rivals for r in fixes if r.rivals}, pairs, lexicon, {r.key for r in running.select("key").collect()}))
+        return base.mapInArrow(_apply(know, texts), _FIXED)
+    misread = {r.key for r in repairs.filter(F.col("n") >= bar).select("key").toLocalIterator()}  # words of the lexicon
+    needs = body.mapInArrow(_needs(set(lexicon) - misread), "k string, kind string, id bigint")
+    table = repairs.select(F.concat(F.lit("w"), "key").alias("k"), "meant", "rivals", "n").unionByName(running.select(F.concat(F.lit("h"), "key").alias("k"), F.lit(None).cast("string").alias("meant"), F.lit(None).cast("array<string>").alias("rivals"), "n"))
+    found = hot_cold_join(needs, table, "k", "n", table.agg(F.sum("n")).first()[0] or 0)
+    own = found.groupBy("kind", "id").agg(F.collect_set(F.struct("k", "meant", "rivals")).alias("own"))  # what one text needs
+    own = own.select(F.col("kind").alias("k1"), F.col("id").alias("k2"), "own")
+    joined = base.join(own, base["kind"].eqNullSafe(own["k1"]) & base["id"].eqNullSafe(own["k2"]), "left").select("kind", "id", "text", "own")
+    return joined.mapInArrow(_apply_own(spark.sparkContext.broadcast((pairs, lexicon)), texts), _FIXED)
