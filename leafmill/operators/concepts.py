@@ -125,8 +125,11 @@ def candidates(resources: DataFrame, vocabulary: DataFrame, key: str, most: int
     vocab = vocabulary.select("canonical_id", "display_name", "vocab_ord", F.lower("display_name").alias("n"), T.word_set(F.col("display_name")).alias("v"))
     by_word = texts.select("k", F.explode("w").alias("x")).join(vocab.select("canonical_id", F.explode("v").alias("x")), "x").groupBy("k", "canonical_id").agg(F.count(F.lit(1)).alias("overlap"))
     inside = texts.select("k", "t", F.explode(grams(F.col("t"))).alias("g")).join(vocab.filter(F.length("n") >= GRAM).select("canonical_id", "n", F.substring("n", 1, GRAM).alias("g")), "g").filter(F.col("t").contains(F.col("n"))).select("k", "canonical_id").distinct()
-    tiny = vocab.filter(F.length("n") < GRAM)
-    short = texts.join(F.broadcast(tiny.select("canonical_id", "n")), F.col("t").contains(F.col("n"))).select("k", "canonical_id").distinct()
+    tiny = vocab.filter((F.length("n") < GRAM) & (F.length("n") > 0)).select("canonical_id", F.col("n").alias("g"))
+    short = inside.limit(0)
+    for width in sorted(r[0] for r in tiny.select(F.length("g")).distinct().collect()):  # fewer than GRAM lengths
+        short = short.unionByName(texts.select("k", F.explode(grams(F.col("t"), width)).alias("g")).join(tiny, "g").select("k", "canonical_id"))
+    short = short.distinct()
     verbatim = inside.unionByName(short).withColumn("boost", F.lit(5))
     scored = by_word.join(verbatim, ["k", "canonical_id"], "full").select("k", "canonical_id", (F.coalesce("overlap", F.lit(0)) + F.coalesce("boost", F.lit(0))).alias("score"))
     named = scored.join(vocab.select("canonical_id", "display_name", "vocab_ord"), "canonical_id")
