@@ -27,6 +27,8 @@ CONFUSIONS = (
     ("ä", "a"), ("ö", "o"), ("ü", "u"), ("ë", "e"), ("ï", "i"), ("á", "a"), ("à", "a"), ("é", "e"), ("è", "e"), ("ó", "o"), ("ò", "o"), ("í", "i"), ("ì", "i"), ("ç", "c"), ("ñ", "n"),
 )
 MARKS = "-‐¬\xad"
+#: Lines that may stand between the halves of a broken word, and two: page numbers, titles and data are left out before.
+REACH = 5
 #: A word of the lexicon makes up at least so much of all words (so there are at most 1/SHARE) and occurs LEAST times; a repair is so many times as frequent.
 SHARE, LEAST, RATIO = 2e-6, 5, 15
 #: Cost of a confusion and most cost of a repair; items that a line recurs in to be a running title; most repairs, or titles, that are broadcast.
@@ -241,7 +243,7 @@ class Repairer:
         for k, (kind, words) in enumerate(lines):
             if kind != "body" or not words or words[-1][-1] not in MARKS or len(words[-1]) < 2:
                 continue
-            n = next((n for n in range(k + 1, min(k + 5, len(lines))) if lines[n][0] == "body" and lines[n][1]), None)
+            n = next((n for n in range(k + 1, min(k + REACH, len(lines))) if lines[n][0] == "body" and lines[n][1]), None)
             if n is None:
                 continue
             a, mark, b = words[-1][:-1], words[-1][-1], lines[n][1][0]
@@ -313,6 +315,22 @@ def best_repairs(weighed: DataFrame) -> DataFrame:
     return ranked.select(F.col("read").alias("key"), first["meant"].alias("meant"), F.when(F.size(rivals) > 1, rivals).alias("rivals"), "n")
 
 
+def _joined(lines: list[str]) -> Iterator[str]:
+    """Every word that may come of a word broken over a line end, whichever of the next lines turn out to be noise."""
+    for k, line in enumerate(lines):
+        line = line.rstrip()
+        if not line or line[-1] not in MARKS:
+            continue
+        counted = 0
+        for after in lines[k + 1 :]:
+            s = after.strip()
+            counted += not (s and (_PAGENO.fullmatch(s) or _title_like(s)))
+            if s:
+                yield line.split()[-1][:-1] + s.split()[0]
+            if counted >= REACH:
+                break
+
+
 def _needs(safe: set[str]):
     """(k, kind, id): what a text may need to know, its words but the safe ones and its lines set like titles."""
 
@@ -320,8 +338,8 @@ def _needs(safe: set[str]):
         for batch in batches:
             keys, kinds, ids = [], [], []
             for kind, i, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                flat = re.sub(r"[-‐¬\xad][ \t]*\n\s*", "", text)
-                asked = {"w" + p for p in map(plain, {*text.split(), *flat.split()}) if p not in safe and _WORDY.search(p)}
+                words = {*text.split(), *_joined(text.split("\n"))}
+                asked = {"w" + p for p in map(plain, words) if p not in safe and _WORDY.search(p)}
                 asked |= {"h" + skeleton(x) for x in map(str.strip, text.split("\n")) if x and len(x) <= 90 and _title_like(x)}
                 keys += asked
                 kinds += [kind] * len(asked)
