@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -17,16 +19,29 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
-        _OWN[app] = "file://" + tempfile.mkdtemp(prefix="leafmill-")
+        own = tempfile.mkdtemp(prefix="leafmill-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        _OWN[app] = "file://" + own
     return _OWN[app]
 
 
+def _root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/leafmill/{spark.sparkContext.applicationId}"
+
+
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write ``df`` once as Parquet into the shared folder and read it back.
 
     Later jobs start from the written files, so a lost executor costs a re-read and never a recomputation, and
     a table used by several jobs is computed once.  Column order and types are kept.
     """
-    path = f"{shared_dir(df.sparkSession)}/leafmill/{name}-{uuid.uuid4().hex}"
+    path = f"{_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete the tables that this application has cut; only when none of its results is read any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

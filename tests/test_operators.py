@@ -275,3 +275,15 @@ def test_whole_pipelines(spark):
     assert {r.canonical_id for r in got["vocabulary"].collect()} == {"sunlight", "photosynthesis", "chlorophyll", "chloroplast"}
     assert all(set(r.concepts) == {"sunlight", "photosynthesis", "chlorophyll", "chloroplast"} for r in got["annotated"].collect())
     assert got["gates"].first().coverage
+
+
+def test_cuts_can_be_cleaned(spark):
+    import os
+
+    from leafmill.plans import lineage
+
+    df = lineage.cut(spark.range(5), "t")
+    folder = lineage._root(spark).removeprefix("file://")
+    assert df.count() == 5 and os.path.isdir(folder)
+    lineage.clean(spark)
+    assert not os.path.exists(folder)
