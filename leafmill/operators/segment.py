@@ -119,7 +119,8 @@ def segment(pages: DataFrame, board: Board, chapters: DataFrame, least: int = SH
     """
     ready = pages.withColumn("text", board.preprocess(F.col("text"))) if board.preprocess else pages
     marked = mark_lines(pages_to_lines(ready, drop_page_numbers=True), board)
-    kept = cut(raw_chunks(marked, board.clean).filter(F.length(F.trim("text")) >= least), "chunks")
+    # Filtered after the cut: pushed below it, the condition would clean every text a second time.
+    kept = cut(raw_chunks(marked, board.clean), "chunks").filter(F.length(F.trim("text")) >= least)
     numbered = running(kept.withColumn("block", F.floor(F.col("chunk") / 1024).cast("int")), "doc_id", "block", ["chunk"], sums={"n": F.lit(1)})
     equations = pages_with_equations(pages).select("doc_id", F.col("page_no").alias("page_end"), "equations")
     out = numbered.join(equations, ["doc_id", "page_end"], "left").join(chapters, "doc_id")
@@ -177,7 +178,7 @@ def segment_headings(pages: DataFrame, chapters: DataFrame, least: int = SHORT)
     grouped = running(sized, "doc_id", "block", ["chunk"], sums={"__done": F.col("__long").cast("int")}).withColumn("__g", F.col("__done") - F.col("__long").cast("int"))
     parts = F.array_sort(F.collect_list(F.struct("chunk", "text")))
     joined = grouped.groupBy("doc_id", "__g").agg(F.max_by("section", "chunk").alias("section"), F.max_by("page_start", "chunk").alias("page_start"), F.max_by("page_end", "chunk").alias("page_end"), parts.alias("p"))
-    texts = cut(joined.withColumn("text", T.clean_science(F.array_join(F.transform("p", lambda x: x["text"]), "\n"))).filter(F.length(F.trim("text")) >= least), "chunks")
+    texts = cut(joined.withColumn("text", T.clean_science(F.array_join(F.transform("p", lambda x: x["text"]), "\n"))), "chunks").filter(F.length(F.trim("text")) >= least)
     numbered = running(texts.withColumn("block", F.floor(F.col("__g") / 1024).cast("int")), "doc_id", "block", ["__g"], sums={"n": F.lit(1)}).join(chapters, "doc_id")
     cid = F.format_string("sci_%02d_ch%02d_%s_%d", F.coalesce("class_no", F.lit(0)), F.coalesce("chapter_no", F.lit(0)), T.word_slug(F.coalesce("section", F.lit("intro"))), F.col("n"))
     none = F.array().cast("array<string>")
