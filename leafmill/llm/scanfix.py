@@ -8,8 +8,8 @@ compete, pick the repair.  Lines are told apart by form, by the titles in the ta
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections import ChainMap, Counter, defaultdict
+from collections.abc import Iterator, Mapping
 from itertools import combinations
 
 import pyarrow as pa
@@ -29,9 +29,10 @@ CONFUSIONS = (
 MARKS = "-‐¬\xad"
 #: Lines that may stand between the halves of a broken word, and two: page numbers, titles and data are left out before.
 REACH = 5
-#: A word of the lexicon makes up at least so much of all words (so there are at most 1/SHARE) and occurs LEAST times; a repair is so many times as frequent.
+#: A word of the lexicon occurs LEAST times, and a repair is so many times as frequent; where the lexicon is too large to broadcast, words that make
+#: up at least SHARE of all words (at most 1/SHARE) still are, and the others are joined.
 SHARE, LEAST, RATIO = 2e-6, 5, 15
-#: Cost of a confusion and most cost of a repair; items that a line recurs in to be a running title; most repairs, or titles, that are broadcast.
+#: Cost of a confusion and most cost of a repair; items that a line recurs in to be a running title; most words, repairs, titles, or pairs of neighbours, that are broadcast.
 CONFUSED, MOST, RECURS, BROADCAST = 0.3, 0.95, 5, 1_000_000
 
 _SMALL = "of|and|the|in|for|on|to|a|an"
@@ -173,9 +174,10 @@ def candidates(words: DataFrame, least: int) -> DataFrame:
 class Repairer:
     """What one worker knows: repairs by word, words in competition, lexicon, running titles."""
 
-    def __init__(self, repairs: dict[str, str], rivals: dict[str, list[str]], pairs: dict[tuple[str, str], int], lexicon: dict[str, int], titles: set[str]) -> None:
+    def __init__(self, repairs: dict[str, str], rivals: dict[str, list[str]], pairs: dict[tuple[str, str], int], lexicon: Mapping[str, int], titles: set[str]) -> None:
         self.repairs, self.rivals, self.pairs, self.lexicon, self.titles = repairs, rivals, pairs, lexicon, titles
         self.memo: dict[str, str | None] = {}
+        self.asked: set[tuple[str, str]] | None = None
 
     def word(self, token: str) -> str | None:
         """The repaired token, or None if it stands as it is."""
@@ -198,19 +200,33 @@ class Repairer:
 
     def line(self, words: list[str]) -> bool:
         """Repairs the words in place; True if any was misread."""
-        found = False
-        for k, w in enumerate(words):
+        found, before, w = False, "", ""
+        for k, now in enumerate(words):
+            before, w = w, now
             to = self.word(w)
             if to is not None:
                 p = plain(w)
                 if p in self.rivals:
                     left, right = plain(words[k - 1]) if k else "", plain(words[k + 1]) if k + 1 < len(words) else ""
+                    if self.asked is not None:
+                        lefts = {left, *self.rivals.get(plain(before), ())}
+                        self.asked |= {x for v in self.rivals[p] for x in ((v, right), *((a, v) for a in lefts))}
                     best = max(self.rivals[p], key=lambda v: self.pairs.get((left, v), 0) + self.pairs.get((v, right), 0))
                     to = to.replace(self.repairs[p], best)
                 words[k] = to
                 found = True
         return found
 
+    def asks(self, text: str) -> set[tuple[str, str]]:
+        """The pairs of neighbours whose counts ``clean`` may look up, whichever of the words in competition it takes."""
+        words = {*text.split(), *(a + b for a, b in _broken(text.split("\n")))}
+        if not any(self.word(t) is not None and plain(t) in self.rivals for t in words):
+            return set()
+        self.asked = set()
+        self.clean(text)
+        asked, self.asked = self.asked, None
+        return asked
+
     def joins(self, a: str, mark: str, b: str) -> bool:
         """Whether a mark at a line's end does not belong to the word."""
         a, b = plain(a), plain(b)
@@ -285,8 +301,8 @@ def _apply(know, texts: bool):
     return run
 
 
-def _pairs(wanted: set[str]):
-    """(a, b, n): neighbours of which one is wanted."""
+def _pairs(wanted: set[str] | None):
+    """(k, n): neighbours of which one is wanted, or all neighbours."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count: Counter[tuple[str, str]] = Counter()
@@ -294,29 +310,56 @@ def _pairs(wanted: set[str]):
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 words = [memo[t] if t in memo else memo.setdefault(t, plain(t)) for t in text.split()]
-                count.update((a, b) for a, b in zip(words, words[1:], strict=False) if a in wanted or b in wanted)
+                count.update((a, b) for a, b in zip(words, words[1:], strict=False) if wanted is None or a in wanted or b in wanted)
                 if len(memo) > 500_000:
                     memo.clear()
-        rows = [(a, b, n) for (a, b), n in count.items()]
-        if rows:
-            a, b, c = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(c, pa.int64())], names=["a", "b", "n"])
+                if len(count) > 500_000:
+                    yield _counted(count)
+                    count.clear()
+        yield _counted(count)
+
+    return run
+
+
+def _counted(count: Counter[tuple[str, str]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([_pair(*p) for p in count], pa.string()), pa.array(list(count.values()), pa.int64())], names=["k", "n"])
+
+
+def _pair(a: str, b: str) -> str:
+    """The key of a pair of neighbours, which hold no blanks."""
+    return f"p{a} {b}"
+
+
+def _asks(know):
+    """(k, kind, id): the pairs of neighbours that a text may need to know."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        r = Repairer(*know.value) if know is not None else None
+        for batch in batches:
+            keys, kinds, ids = [], [], []
+            own = batch.column(3).to_pylist() if r is None else [None] * len(batch)
+            for kind, i, text, o in zip(*(batch.column(c).to_pylist() for c in range(3)), own, strict=True):
+                asked = (r or _own_repairer(o, {})).asks(text)
+                keys += [_pair(*p) for p in asked]
+                kinds += [kind] * len(asked)
+                ids += [i] * len(asked)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(kinds, pa.string()), pa.array(ids, pa.int64())], names=["k", "kind", "id"])
 
     return run
 
 
 def best_repairs(weighed: DataFrame) -> DataFrame:
-    """(key, meant, rivals, n): the repair of every misreading, and the words that compete with it; a misreading is nobody's repair."""
+    """(key, meant, rivals, n, meant_n): the repair of every misreading, and the words that compete with it; a misreading is nobody's repair."""
     reads = weighed.select(F.col("read").alias("meant")).distinct()
     sound = weighed.join(reads, "meant", "left_anti").withColumn("score", F.col("cost") - F.lit(0.15) * F.log10("meant_n"))
     ranked = sound.groupBy("read").agg(F.max("read_n").alias("n"), F.array_sort(F.collect_list(F.struct("score", (-F.col("meant_n")).alias("m"), "meant"))).alias("c"))  # the lexicon words near one word
     first = F.get("c", F.lit(0))
     rivals = F.transform(F.filter("c", lambda x: x["score"] <= first["score"] + 0.1), lambda x: x["meant"])
-    return ranked.select(F.col("read").alias("key"), first["meant"].alias("meant"), F.when(F.size(rivals) > 1, rivals).alias("rivals"), "n")
+    return ranked.select(F.col("read").alias("key"), first["meant"].alias("meant"), F.when(F.size(rivals) > 1, rivals).alias("rivals"), "n", (-first["m"]).alias("meant_n"))
 
 
-def _joined(lines: list[str]) -> Iterator[str]:
-    """Every word that may come of a word broken over a line end, whichever of the next lines turn out to be noise."""
+def _broken(lines: list[str]) -> Iterator[tuple[str, str]]:
+    """The halves of every word that may be broken over a line end, whichever of the next lines turn out to be noise."""
     for k, line in enumerate(lines):
         line = line.rstrip()
         if not line or line[-1] not in MARKS:
@@ -326,20 +369,23 @@ def _joined(lines: list[str]) -> Iterator[str]:
             s = after.strip()
             counted += not (s and (_PAGENO.fullmatch(s) or _title_like(s)))
             if s:
-                yield line.split()[-1][:-1] + s.split()[0]
+                yield line.split()[-1][:-1], s.split()[0]
             if counted >= REACH:
                 break
 
 
 def _needs(safe: set[str]):
-    """(k, kind, id): what a text may need to know, its words but the safe ones and its lines set like titles."""
+    """(k, kind, id): what a text may need to know, its words and counts of broken ones but the safe ones, and its lines set like titles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, kinds, ids = [], [], []
             for kind, i, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = {*text.split(), *_joined(text.split("\n"))}
+                broken = set(_broken(text.split("\n")))
+                words = {*text.split(), *(a + b for a, b in broken)}
                 asked = {"w" + p for p in map(plain, words) if p not in safe and _WORDY.search(p)}
+                halves = {(plain(a), plain(b)) for a, b in broken}
+                asked |= {"c" + x for a, b in halves if a and b for x in (a, b, a + b, f"{a}-{b}") if x not in safe}
                 asked |= {"h" + skeleton(x) for x in map(str.strip, text.split("\n")) if x and len(x) <= 90 and _title_like(x)}
                 keys += asked
                 kinds += [kind] * len(asked)
@@ -349,18 +395,25 @@ def _needs(safe: set[str]):
     return run
 
 
+def _own_repairer(own: list[dict] | None, lexicon: dict[str, int]) -> Repairer:
+    """One that knows the lexicon and what comes along with a row."""
+    by: dict[str, list[tuple[str, dict]]] = defaultdict(list)
+    for x in own or ():
+        by[x["k"][0]].append((x["k"][1:], x))
+    counts = {x["meant"]: x["n"] for _, x in by["w"]} | {k: x["n"] for k, x in by["c"]}
+    pairs = {tuple(k.split(" ")): x["n"] for k, x in by["p"]}
+    return Repairer({k: x["meant"] for k, x in by["w"]}, {k: x["rivals"] for k, x in by["w"] if x["rivals"]}, pairs, ChainMap(counts, lexicon), {k for k, _ in by["h"]})
+
+
 def _apply_own(know, texts: bool):
     """As ``_apply``, but with the repairs and titles that come along with each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, lexicon = know.value
+        lexicon = know.value
         for batch in batches:
             noise, made = [], []
             for t, own in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                own = own or []
-                words = [x for x in own if x["k"][0] == "w"]
-                r = Repairer({x["k"][1:]: x["meant"] for x in words}, {x["k"][1:]: x["rivals"] for x in words if x["rivals"]}, pairs, lexicon, {x["k"][1:] for x in own if x["k"][0] == "h"})
-                n, c = r.clean(t) if t else ((), t)
+                n, c = _own_repairer(own, lexicon).clean(t) if t else ((), t)
                 noise.append(sorted(n))
                 made.append(c if texts else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(noise, pa.list_(pa.string())), pa.array(made, pa.string())], names=["kind", "id", "noise", "text"])
@@ -380,9 +433,9 @@ def repair_scans(items: DataFrame, titles: DataFrame, texts: bool = True, share:
     stay on lines of their own.  A line is a running title if it is set like one and is a known title, or recurs in
     ``recurs`` items.  Words in scripts without case are not repaired.
 
-    All counts are of all texts.  The lexicon and the counts of neighbours are broadcast: each entry makes up at least a
-    fixed share, so their number is bounded.  Repairs and running titles are broadcast while there are no more than
-    ``broadcast`` of either; beyond that each text is joined with those it needs.
+    All counts are of all texts.  The lexicon, repairs, running titles and the counts of those neighbours that texts ask for
+    are broadcast while there are no more than ``broadcast`` of each; beyond that each text is joined with those it
+    needs, and only the words that make up at least ``share`` of all are broadcast, so their number is bounded.
     """
     spark = items.sparkSession
     base = items.select(F.col("kind").cast("string").alias("kind"), F.col("id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
@@ -391,13 +444,8 @@ def repair_scans(items: DataFrame, titles: DataFrame, texts: bool = True, share:
     words = stats.filter("what = 'w'")
     total = words.agg(F.sum("n")).first()[0] or 0
     bar = max(least, int(total * share))
-    lexicon = {r.key: r.n for r in words.filter(F.col("n") >= bar).select("key", "n").toLocalIterator()}
-    repairs = cut(best_repairs(candidates(words, bar)), "repairs")
-    rival_words = {v for r in repairs.filter("rivals is not null").select(F.explode("rivals").alias("v")).distinct().collect() for v in [r.v]}  # words of the lexicon
-    pairs: dict[tuple[str, str], int] = {}
-    if rival_words:
-        seen = body.select("text").mapInArrow(_pairs(rival_words), "a string, b string, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
-        pairs = {(r.a, r.b): r.n for r in seen.filter(F.col("n") >= bar).toLocalIterator()}  # no more than 1/share, as each counts bar words
+    sound = words.filter(F.col("n") >= least)
+    repairs = cut(best_repairs(candidates(words, least)), "repairs")
     known = titles.select(F.col(titles.columns[0]).cast("string").alias("t")).filter("trim(t) <> ''").distinct()
 
     def bones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -407,15 +455,42 @@ def repair_scans(items: DataFrame, titles: DataFrame, texts: bool = True, share:
     lines = stats.filter("what = 'h'")
     named = known.mapInArrow(bones, "key string").filter("key <> ''").distinct()
     running = cut(lines.filter(F.col("n") >= recurs).unionByName(lines.filter(F.col("n") < recurs).join(named, "key", "left_semi")).select("key", "n"), "titles")
-    if repairs.count() <= broadcast and running.count() <= broadcast:
+    rivals = repairs.filter("rivals is not null")
+    if all(x.count() <= broadcast for x in (repairs, running, sound)):
+        lexicon = {r.key: r.n for r in sound.select("key", "n").toLocalIterator()}
         fixes = repairs.select("key", "meant", "rivals").collect()
-        know = spark.sparkContext.broadcast(({r.key: r.meant for r in fixes}, {r.key: r.rivals for r in fixes if r.rivals}, pairs, lexicon, {r.key for r in running.select("key").collect()}))
-        return base.mapInArrow(_apply(know, texts), _FIXED)
+        own = {r.key: r.meant for r in fixes}, {r.key: r.rivals for r in fixes if r.rivals}
+        heads = {r.key for r in running.select("key").collect()}
+        pairs: dict[tuple[str, str], int] = {}
+        if own[1]:
+            asked = body.mapInArrow(_asks(spark.sparkContext.broadcast((*own, {}, lexicon, heads))), "k string, kind string, id bigint").select("k").distinct()
+            seen = body.select("text").mapInArrow(_pairs({v for r in own[1].values() for v in r}), "k string, n bigint").groupBy("k").agg(F.sum("n").alias("n"))
+            held = cut(seen.join(asked, "k", "left_semi"), "pairs")
+            pairs = {tuple(r.k[1:].split(" ")): r.n for r in held.toLocalIterator()} if held.count() <= broadcast else None
+        if pairs is not None:
+            return base.mapInArrow(_apply(spark.sparkContext.broadcast((*own, pairs, lexicon, heads)), texts), _FIXED)
+    lexicon = {r.key: r.n for r in words.filter(F.col("n") >= bar).select("key", "n").toLocalIterator()}
     misread = {r.key for r in repairs.filter(F.col("n") >= bar).select("key").toLocalIterator()}  # words of the lexicon
-    needs = body.mapInArrow(_needs(set(lexicon) - misread), "k string, kind string, id bigint")
-    table = repairs.select(F.concat(F.lit("w"), "key").alias("k"), "meant", "rivals", "n").unionByName(running.select(F.concat(F.lit("h"), "key").alias("k"), F.lit(None).cast("string").alias("meant"), F.lit(None).cast("array<string>").alias("rivals"), "n"))
-    found = hot_cold_join(needs, table, "k", "n", table.agg(F.sum("n")).first()[0] or 0)
-    own = found.groupBy("kind", "id").agg(F.collect_set(F.struct("k", "meant", "rivals")).alias("own"))  # what one text needs
+    needs = cut(body.mapInArrow(_needs(set(lexicon) - misread), "k string, kind string, id bigint"), "needs")
+    none = F.lit(None).cast("string").alias("meant"), F.lit(None).cast("array<string>").alias("rivals")
+    table = repairs.select(F.concat(F.lit("w"), "key").alias("k"), "meant", "rivals", F.col("meant_n").alias("n"))
+    table = table.unionByName(running.select(F.concat(F.lit("h"), "key").alias("k"), *none, "n")).unionByName(sound.filter(F.col("n") < bar).select(F.concat(F.lit("c"), "key").alias("k"), *none, "n"))
+    found = cut(_known(needs, table), "known")
+    if not rivals.isEmpty():
+        asked = cut(_with_own(body, found).filter("own is not null").mapInArrow(_asks(None), "k string, kind string, id bigint"), "asked")
+        seen = body.select("text").mapInArrow(_pairs(None), "k string, n bigint").join(asked.select("k").distinct(), "k", "left_semi").groupBy("k").agg(F.sum("n").alias("n"))
+        found = found.unionByName(_known(asked, seen.select("k", *none, "n")))
+    return _with_own(base, found).mapInArrow(_apply_own(spark.sparkContext.broadcast(lexicon), texts), _FIXED)
+
+
+def _known(needs: DataFrame, table: DataFrame) -> DataFrame:
+    """What texts need, with what ``table`` knows of it; keys that many texts need stay spread."""
+    weight = needs.groupBy("k").agg(F.count(F.lit(1)).alias("weight"))
+    weighed = cut(table.join(weight, "k"), "weighed")
+    return hot_cold_join(needs, weighed, "k", "weight", weighed.agg(F.sum("weight")).first()[0] or 0).drop("weight")
+
+
+def _with_own(base: DataFrame, found: DataFrame) -> DataFrame:
+    own = found.groupBy("kind", "id").agg(F.collect_set(F.struct("k", "meant", "rivals", "n")).alias("own"))  # what one text needs
     own = own.select(F.col("kind").alias("k1"), F.col("id").alias("k2"), "own")
-    joined = base.join(own, base["kind"].eqNullSafe(own["k1"]) & base["id"].eqNullSafe(own["k2"]), "left").select("kind", "id", "text", "own")
-    return joined.mapInArrow(_apply_own(spark.sparkContext.broadcast((pairs, lexicon)), texts), _FIXED)
+    return base.join(own, base["kind"].eqNullSafe(own["k1"]) & base["id"].eqNullSafe(own["k2"]), "left").select("kind", "id", "text", "own")

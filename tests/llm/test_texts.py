@@ -193,6 +193,18 @@ def test_scan_repair(spark, broadcast):
     assert scanfix.repair_scans(df.limit(0), titles.limit(0), broadcast=broadcast).count() == 0
 
 
+@pytest.mark.parametrize("broadcast", [1_000_000, 0])
+def test_scan_repair_knows_rare_words(spark, broadcast):
+    rare = ["a flat ground", "some fiat money", "the membrane grew", "a cross-hatch and the shift"]
+    rows = [("page", k, "the plotted graph shows how the small fragment settles before the evening", "x") for k in range(300)]
+    rows += [("page", 1000 + k, rare[k % 4], "x") for k in range(160)]
+    rows += [("page", 2000, "a f1at ground", "x"), ("page", 2001, "some f1at money", "x"), ("page", 2002, "the mernbrane grew", "x"), ("page", 2003, "a cross-\nhatch and", "x")]
+    df = spark.createDataFrame(rows, "kind string, id bigint, text string, noise string")
+    out = scanfix.repair_scans(df, spark.createDataFrame([], "t string"), share=0.02, broadcast=broadcast).filter("id >= 2000")
+    want = {2000: (["chars"], "a flat ground"), 2001: (["chars"], "some fiat money"), 2002: (["chars"], "the membrane grew"), 2003: ([], "a cross-hatch and")}
+    assert {r.id: (r.noise, r.text) for r in out.collect()} == want
+
+
 def test_weighted_distance():
     d = scanfix.distance
     assert d("srnall", "small") == pytest.approx(0.3) and d("pl0ttecl", "plotted") == pytest.approx(0.6)
