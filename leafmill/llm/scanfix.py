@@ -29,7 +29,7 @@ CONFUSIONS = (
 MARKS = "-‐¬\xad"
 #: Lines that may stand between the halves of a broken word, and two: page numbers, titles and data are left out before.
 REACH = 5
-#: A word of the lexicon occurs LEAST times, and a repair is so many times as frequent; where the lexicon is too large to broadcast, words that make
+#: A word of the lexicon occurs LEAST times, and a repair is so many times as frequent (see ``candidates``); where the lexicon is too large to broadcast, words that make
 #: up at least SHARE of all words (at most 1/SHARE) still are, and the others are joined.
 SHARE, LEAST, RATIO = 2e-6, 5, 15
 #: Cost of a confusion and most cost of a repair; items that a line recurs in to be a running title; most words, repairs, titles, or pairs of neighbours, that are broadcast.
@@ -75,29 +75,36 @@ def plain(token: str) -> str:
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    raw, lines = Counter(), Counter()
+    """(what, key, n, d) of texts that stand in so many rows: times a word, or items a line, is seen in all rows, and in distinct texts."""
+    raw, lines, more, again = Counter(), Counter(), Counter(), Counter()
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            seen = {s for s in map(str.strip, text.split("\n")) if len(s) <= 90 and s and _title_like(s)}
-            lines.update({skeleton(s) for s in seen})
-            raw.update((_BROKEN.sub(" ", text) if "\n" in text else text).split())
+        for text, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            seen = {skeleton(s) for s in {s for s in map(str.strip, text.split("\n")) if len(s) <= 90 and s and _title_like(s)}}
+            lines.update(seen)
+            tokens = (_BROKEN.sub(" ", text) if "\n" in text else text).split()
+            raw.update(tokens)
+            if rows > 1:
+                for k in seen:
+                    again[k] += rows - 1
+                for t in tokens:
+                    more[t] += rows - 1
         if len(raw) + len(lines) > 500_000:
-            yield from _flush(raw, lines)
-            raw, lines = Counter(), Counter()
-    yield from _flush(raw, lines)
+            yield from _flush(raw, lines, more, again)
+            raw, lines, more, again = Counter(), Counter(), Counter(), Counter()
+    yield from _flush(raw, lines, more, again)
 
 
-def _flush(raw: Counter, lines: Counter) -> Iterator[pa.RecordBatch]:
-    made: Counter[str] = Counter()
+def _flush(raw: Counter, lines: Counter, more: Counter, again: Counter) -> Iterator[pa.RecordBatch]:
+    made: dict[str, list[int]] = defaultdict(lambda: [0, 0])
     for t, n in raw.items():
         if len(t) <= 60 and _WORDY.search(t):
-            made[plain(t)] += n
-            if t[-1] == "!":
-                made[t.strip(_EDGES).lower()] += 0
-    rows = [("w", k, n) for k, n in made.items() if len(k) > 1 and n] + [("h", k, n) for k, n in lines.items()]
+            both = made[plain(t)]
+            both[0] += n + more[t]
+            both[1] += n
+    rows = [("w", k, n, d) for k, (n, d) in made.items() if len(k) > 1] + [("h", k, n + again[k], n) for k, n in lines.items()]
     for k in range(0, len(rows), 50_000):
-        a, b, c = zip(*rows[k : k + 50_000], strict=True)
-        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(c, pa.int64())], names=["what", "key", "n"])
+        a, b, c, d = zip(*rows[k : k + 50_000], strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(c, pa.int64()), pa.array(d, pa.int64())], names=["what", "key", "n", "d"])
 
 
 def merged(word: str) -> str:
@@ -109,12 +116,12 @@ def merged(word: str) -> str:
 
 
 def _deletions(what: str):
-    """(gap, word, n): what is left of a word, its joint letters made one, when up to two characters are taken out."""
+    """(gap, word, n, d): what is left of a word, its joint letters made one, when up to two characters are taken out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gaps, words, counts = [], [], []
-            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            gaps, words, counts, apart = [], [], [], []
+            for word, n, once in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 m = merged(word)
                 most = 1 if len(m) < 5 else 2
                 for d in range(min(most, len(m) - 1) + 1):
@@ -122,7 +129,8 @@ def _deletions(what: str):
                         gaps.append("".join(m[i] for i in keep))
                         words.append(word)
                         counts.append(n)
-            yield pa.RecordBatch.from_arrays([pa.array(gaps, pa.string()), pa.array(words, pa.string()), pa.array(counts, pa.int64())], names=["gap", f"{what}", f"{what}_n"])
+                        apart.append(once)
+            yield pa.RecordBatch.from_arrays([pa.array(gaps, pa.string()), pa.array(words, pa.string()), pa.array(counts, pa.int64()), pa.array(apart, pa.int64())], names=["gap", f"{what}", f"{what}_n", f"{what}_d"])
 
     return run
 
@@ -156,19 +164,25 @@ def distance(read: str, meant: str, most: float = MOST) -> float:
 
 def _weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        read, n, meant, freq = (c.to_pylist() for c in batch.columns)
-        rows = [(a, x, b, y, d) for a, x, b, y in zip(read, n, meant, freq, strict=True) if (d := distance(a, b)) <= MOST]
+        rows = [(*row, d) for row in zip(*(c.to_pylist() for c in batch.columns), strict=True) if (d := distance(row[0], row[2])) <= MOST]
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.float64()], strict=True)], names=["read", "read_n", "meant", "meant_n", "cost"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64()], strict=True)], names=["read", "read_n", "meant", "meant_n", "meant_d", "cost"])
 
 
 def candidates(words: DataFrame, least: int) -> DataFrame:
-    """(read, read_n, meant, meant_n, cost) for words ``(key, n)``: a lexicon word near enough and RATIO times as frequent."""
+    """(read, read_n, meant, meant_n, meant_d, cost) for words ``(key, n, d)``: a lexicon word near enough and frequent enough.
+
+    It is RATIO times as frequent in distinct texts; or in all rows, where the form read does not itself stand LEAST times, and
+    more often, in distinct texts.  A form with signs or digits, that are in no lexicon word, need only be no more frequent.
+    """
     good = words.filter((F.col("n") >= least) & F.col("key").rlike(r"^[a-z]+(['-][a-z]+)*$"))
-    index = good.select("key", "n").mapInArrow(_deletions("meant"), "gap string, meant string, meant_n bigint")
-    asked = words.filter(F.col("key").rlike(r"[a-zÀ-ɏ]") & (F.length("key") <= 40)).select("key", "n").mapInArrow(_deletions("read"), "gap string, read string, read_n bigint")
-    near = asked.join(index, "gap").filter((F.col("meant_n") >= F.lit(RATIO) * F.col("read_n")) & (F.col("read") != F.col("meant")))
-    return near.select("read", "read_n", "meant", "meant_n").distinct().mapInArrow(_weigh, "read string, read_n bigint, meant string, meant_n bigint, cost double")
+    index = good.select("key", "n", "d").mapInArrow(_deletions("meant"), "gap string, meant string, meant_n bigint, meant_d bigint")
+    asked = words.filter(F.col("key").rlike(r"[a-zÀ-ɏ]") & (F.length("key") <= 40)).select("key", "n", "d").mapInArrow(_deletions("read"), "gap string, read string, read_n bigint, read_d bigint")
+    n, d, m, e = (F.col(c) for c in ("read_n", "read_d", "meant_n", "meant_d"))
+    signs = F.col("read").rlike(r"[0-9|!$]") & ((m >= n) | (e >= d))
+    frequent = (e >= F.lit(RATIO) * d) | (m >= F.lit(RATIO) * n) & ((d < F.lit(LEAST)) | (d <= e)) | signs
+    near = asked.join(index, "gap").filter(frequent & (F.col("read") != F.col("meant")))
+    return near.select("read", "read_n", "meant", "meant_n", "meant_d").distinct().mapInArrow(_weigh, "read string, read_n bigint, meant string, meant_n bigint, meant_d bigint, cost double")
 
 
 class Repairer:
@@ -349,13 +363,13 @@ def _asks(know):
 
 
 def best_repairs(weighed: DataFrame) -> DataFrame:
-    """(key, meant, rivals, n, meant_n): the repair of every misreading, and the words that compete with it; a misreading is nobody's repair."""
+    """(key, meant, rivals, n, meant_d): the repair of every misreading, and the words that compete with it; a misreading is nobody's repair."""
     reads = weighed.select(F.col("read").alias("meant")).distinct()
-    sound = weighed.join(reads, "meant", "left_anti").withColumn("score", F.col("cost") - F.lit(0.15) * F.log10("meant_n"))
-    ranked = sound.groupBy("read").agg(F.max("read_n").alias("n"), F.array_sort(F.collect_list(F.struct("score", (-F.col("meant_n")).alias("m"), "meant"))).alias("c"))  # the lexicon words near one word
+    sound = weighed.join(reads, "meant", "left_anti").withColumn("score", F.col("cost") - F.lit(0.15) * F.log10("meant_d"))
+    ranked = sound.groupBy("read").agg(F.max("read_n").alias("n"), F.array_sort(F.collect_list(F.struct("score", (-F.col("meant_n")).alias("m"), "meant", "meant_d"))).alias("c"))  # the lexicon words near one word
     first = F.get("c", F.lit(0))
     rivals = F.transform(F.filter("c", lambda x: x["score"] <= first["score"] + 0.1), lambda x: x["meant"])
-    return ranked.select(F.col("read").alias("key"), first["meant"].alias("meant"), F.when(F.size(rivals) > 1, rivals).alias("rivals"), "n", (-first["m"]).alias("meant_n"))
+    return ranked.select(F.col("read").alias("key"), first["meant"].alias("meant"), F.when(F.size(rivals) > 1, rivals).alias("rivals"), "n", first["meant_d"].alias("meant_d"))
 
 
 def _broken(lines: list[str]) -> Iterator[tuple[str, str]]:
@@ -433,14 +447,16 @@ def repair_scans(items: DataFrame, titles: DataFrame, texts: bool = True, share:
     stay on lines of their own.  A line is a running title if it is set like one and is a known title, or recurs in
     ``recurs`` items.  Words in scripts without case are not repaired.
 
-    All counts are of all texts.  The lexicon, repairs, running titles and the counts of those neighbours that texts ask for
+    All counts are of all texts, of words both in rows and in distinct texts, so that many copies of one text neither make
+    its misreadings words nor keep them from repair.  The lexicon, repairs, running titles and the counts of those neighbours that texts ask for
     are broadcast while there are no more than ``broadcast`` of each; beyond that each text is joined with those it
     needs, and only the words that make up at least ``share`` of all are broadcast, so their number is bounded.
     """
     spark = items.sparkSession
     base = items.select(F.col("kind").cast("string").alias("kind"), F.col("id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
     body = base.filter("text is not null and text <> ''")
-    stats = cut(body.select("text").mapInArrow(_gather, "what string, key string, n bigint").groupBy("what", "key").agg(F.sum("n").alias("n")), "lexicon")
+    once = cut(body.groupBy("text").agg(F.count(F.lit(1)).alias("n")), "texts")
+    stats = cut(once.mapInArrow(_gather, "what string, key string, n bigint, d bigint").groupBy("what", "key").agg(F.sum("n").alias("n"), F.sum("d").alias("d")), "lexicon")
     words = stats.filter("what = 'w'")
     total = words.agg(F.sum("n")).first()[0] or 0
     bar = max(least, int(total * share))
@@ -457,28 +473,28 @@ def repair_scans(items: DataFrame, titles: DataFrame, texts: bool = True, share:
     running = cut(lines.filter(F.col("n") >= recurs).unionByName(lines.filter(F.col("n") < recurs).join(named, "key", "left_semi")).select("key", "n"), "titles")
     rivals = repairs.filter("rivals is not null")
     if all(x.count() <= broadcast for x in (repairs, running, sound)):
-        lexicon = {r.key: r.n for r in sound.select("key", "n").toLocalIterator()}
+        lexicon = {r.key: r.d for r in sound.select("key", "d").toLocalIterator()}
         fixes = repairs.select("key", "meant", "rivals").collect()
         own = {r.key: r.meant for r in fixes}, {r.key: r.rivals for r in fixes if r.rivals}
         heads = {r.key for r in running.select("key").collect()}
         pairs: dict[tuple[str, str], int] = {}
         if own[1]:
             asked = body.mapInArrow(_asks(spark.sparkContext.broadcast((*own, {}, lexicon, heads))), "k string, kind string, id bigint").select("k").distinct()
-            seen = body.select("text").mapInArrow(_pairs({v for r in own[1].values() for v in r}), "k string, n bigint").groupBy("k").agg(F.sum("n").alias("n"))
+            seen = once.select("text").mapInArrow(_pairs({v for r in own[1].values() for v in r}), "k string, n bigint").groupBy("k").agg(F.sum("n").alias("n"))
             held = cut(seen.join(asked, "k", "left_semi"), "pairs")
             pairs = {tuple(r.k[1:].split(" ")): r.n for r in held.toLocalIterator()} if held.count() <= broadcast else None
         if pairs is not None:
             return base.mapInArrow(_apply(spark.sparkContext.broadcast((*own, pairs, lexicon, heads)), texts), _FIXED)
-    lexicon = {r.key: r.n for r in words.filter(F.col("n") >= bar).select("key", "n").toLocalIterator()}
+    lexicon = {r.key: r.d for r in words.filter(F.col("n") >= bar).select("key", "d").toLocalIterator()}
     misread = {r.key for r in repairs.filter(F.col("n") >= bar).select("key").toLocalIterator()}  # words of the lexicon
     needs = cut(body.mapInArrow(_needs(set(lexicon) - misread), "k string, kind string, id bigint"), "needs")
     none = F.lit(None).cast("string").alias("meant"), F.lit(None).cast("array<string>").alias("rivals")
-    table = repairs.select(F.concat(F.lit("w"), "key").alias("k"), "meant", "rivals", F.col("meant_n").alias("n"))
-    table = table.unionByName(running.select(F.concat(F.lit("h"), "key").alias("k"), *none, "n")).unionByName(sound.filter(F.col("n") < bar).select(F.concat(F.lit("c"), "key").alias("k"), *none, "n"))
+    table = repairs.select(F.concat(F.lit("w"), "key").alias("k"), "meant", "rivals", F.col("meant_d").alias("n"))
+    table = table.unionByName(running.select(F.concat(F.lit("h"), "key").alias("k"), *none, "n")).unionByName(sound.filter(F.col("n") < bar).select(F.concat(F.lit("c"), "key").alias("k"), *none, F.col("d").alias("n")))
     found = cut(_known(needs, table), "known")
     if not rivals.isEmpty():
         asked = cut(_with_own(body, found).filter("own is not null").mapInArrow(_asks(None), "k string, kind string, id bigint"), "asked")
-        seen = body.select("text").mapInArrow(_pairs(None), "k string, n bigint").join(asked.select("k").distinct(), "k", "left_semi").groupBy("k").agg(F.sum("n").alias("n"))
+        seen = once.select("text").mapInArrow(_pairs(None), "k string, n bigint").join(asked.select("k").distinct(), "k", "left_semi").groupBy("k").agg(F.sum("n").alias("n"))
         found = found.unionByName(_known(asked, seen.select("k", *none, "n")))
     return _with_own(base, found).mapInArrow(_apply_own(spark.sparkContext.broadcast(lexicon), texts), _FIXED)
 

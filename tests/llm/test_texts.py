@@ -205,6 +205,17 @@ def test_scan_repair_knows_rare_words(spark, broadcast):
     assert {r.id: (r.noise, r.text) for r in out.collect()} == want
 
 
+@pytest.mark.parametrize("broadcast", [1_000_000, 0])
+def test_scan_repair_of_a_text_that_holds_a_third_of_all_rows(spark, broadcast):
+    hot = "the srnall fragment was sca1ed here"
+    rows = [("page", k, f"reading {k} of the small fragment", "x") for k in range(100)] + [("page", 100 + k, f"figure {k} is scaled", "x") for k in range(6)]
+    rows += [("page", 1000 + k, hot, "x") for k in range(2000)]
+    df = spark.createDataFrame(rows, "kind string, id bigint, text string, noise string")
+    out = scanfix.repair_scans(df, spark.createDataFrame([], "t string"), broadcast=broadcast)
+    got = {(r.id >= 1000, tuple(r.noise), r.text if r.id >= 1000 else "") for r in out.collect()}
+    assert got == {(True, ("chars",), "the small fragment was scaled here"), (False, (), "")}
+
+
 def test_weighted_distance():
     d = scanfix.distance
     assert d("srnall", "small") == pytest.approx(0.3) and d("pl0ttecl", "plotted") == pytest.approx(0.6)
