@@ -22,10 +22,12 @@ from ..plans.lineage import cut
 from .lookalike import canonical
 
 #: Words a passage has at least; rare pairs of neighbours taken from every stretch of so many words; of them so many must agree in
-#: offset, up to so much drift. A passage of SCORE keeps more than AGREE of its pairs, as an edit breaks two.
-PASSAGE, RAREST, AGREE, DRIFT = 12, 6, 3, 16
-#: Words that agree, less PENALTY for each one changed, dropped or added, that a passage must reach (12 words as they are, or 14
-#: with one changed, have 11); a run of so many words that so many items share is a stock instruction.
+#: offset, up to so much drift. Two edits break four of the pairs taken from a stretch, which leaves AGREE.
+PASSAGE, RAREST, AGREE, DRIFT = 12, 7, 3, 16
+#: A passage may have an edit in every so many words, whatever its score.
+EDITED = 8
+#: Words that agree, less PENALTY for each one changed, dropped or added, that a passage of more edits must reach; a run of so
+#: many words that so many items share is a stock instruction.
 SCORE, PENALTY, STOCK_RUN, STOCK_ITEMS = 11, 2, 8, 4
 #: Test tokens that are looked up at once; larger test sets are taken in blocks.
 BLOCK_TOKENS = 2_000_000
@@ -63,10 +65,10 @@ class _Items:
         places: dict[tuple[int, int], None] = {}
         for i, ps in own.items():
             for k in range(max(1, len(ps) - PASSAGE + 2)):
-                here = [x for x in range(k, min(k + PASSAGE - 1, len(ps))) if ps[x] is not None]
-                for x in sorted(here, key=lambda x: (seen.get(ps[x], 0) * weight[ps[x]], x))[:RAREST]:
+                here = [x for x in range(k, min(k + PASSAGE - 1, len(ps))) if ps[x] is not None and seen.get(ps[x], 0)]
+                for x in sorted(here, key=lambda x: (seen[ps[x]] * weight[ps[x]], x))[:RAREST]:
                     places[i, x] = None
-        return [(own[i][x], i, x) for i, x in places if seen.get(own[i][x], 0)]
+        return [(own[i][x], i, x) for i, x in places]
 
 
 def _codes(code: dict[str, int]):
@@ -83,34 +85,39 @@ def _codes(code: dict[str, int]):
     return run
 
 
-def align(item: list[int], window: list[int]) -> tuple[int, int, int, int, int]:
-    """(score, first, last place in the item, first, last in the window) of the best stretch: words that agree less PENALTY for each edit."""
-    best, run = (0, 0, 0, 0, 0), None
-    for a, b, n in SequenceMatcher(None, item, window, autojunk=False).get_matching_blocks():
-        if not n:
-            continue
-        if run is not None:
-            score = run[0] - PENALTY * max(a - run[2], b - run[4])
-            run = (score + n, run[1], a + n, run[3], b + n) if score > 0 else None
-        if run is None:
-            run = (n, a, a + n, b, b + n)
-        if run[0] > best[0]:
-            best = run
+def align(item: list[int], window: list[int], score: int = SCORE, passage: int = PASSAGE) -> tuple[int, int, int, int, int]:
+    """(score, first, last place in the item, first, last in the window) of the best stretch that is a passage, or zeros.
+
+    Its score is the words that agree less PENALTY for each edit; it spans ``passage`` words and has that ``score``, or so few edits.
+    """
+    best = (0, 0, 0, 0, 0)
+    blocks = [b for b in SequenceMatcher(None, item, window, autojunk=False).get_matching_blocks() if b.size]
+    for k, (a0, b0, _) in enumerate(blocks):
+        run, edits, a1, b1 = 0, 0, a0, b0
+        for a, b, n in blocks[k:]:
+            lost = max(a - a1, b - b1)
+            run, edits, a1, b1 = run + n - PENALTY * lost, edits + lost, a + n, b + n
+            if run > best[0] and a1 - a0 >= passage and (run >= score or edits <= (a1 - a0) // EDITED):
+                best = (run, a0, a1, b0, b1)
     return best
 
 
 def _verify(seq: dict[int, list[int]], stock: dict[int, set[int]], score: int, passage: int):
+    least = min(score, passage - passage // EDITED)  # words that agree in any passage
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for doc, codes, hits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 best: dict[int, tuple] = {}
-                for h in hits:
-                    i, lo, hi = h["item_id"], h["lo"], h["hi"]
+                for i, lo, hi in sorted({(h["item_id"], h["lo"], h["hi"]) for h in hits}):
                     item = [-1 if k in stock[i] else c for k, c in enumerate(seq[i])]
                     at = max(0, lo - DRIFT)
-                    found = align(item, codes[at : hi + len(item) + DRIFT])
-                    if found[0] >= score and found[2] - found[1] >= passage and found[0] > best.get(i, (0,))[0]:
+                    window = codes[at : hi + len(item) + DRIFT]
+                    if (Counter(item) & Counter(window)).total() < least:
+                        continue
+                    found = align(item, window, score, passage)
+                    if found[0] > best.get(i, (0,))[0]:
                         best[i] = (*found[:3], found[3] + at, found[4] + at)
                 rows += [(doc, i, *v) for i, v in best.items()]
             if rows:
@@ -142,8 +149,8 @@ def leaks(documents: DataFrame, items: DataFrame, score: int = SCORE, passage: i
     """Where passages of test items stand in documents: doc_id, item_id, score, and token ranges in item and document.
 
     ``documents`` has ``doc_id BIGINT, text``, ``items`` ``item_id BIGINT, text``; other columns are ignored.  A row says that at least
-    ``passage`` words of the item stand in the document, those that agree less PENALTY for each edit being at least ``score``; the
-    best place of each pair is given.  Runs of STOCK_RUN words shared by STOCK_ITEMS items are stock and match
+    ``passage`` words of the item stand in the document, with no more than one edit in EDITED words, or those that agree less
+    PENALTY for each edit being at least ``score``; the best place of each pair is given.  Runs of STOCK_RUN words shared by STOCK_ITEMS items are stock and match
     nothing.  Null and empty texts match nothing; of rows with one item_id the texts are searched as one item each
     under that id; a document repeated under one doc_id is searched once for each row.  The test set is the stated
     query set; beyond ``block_tokens`` it is searched in blocks.

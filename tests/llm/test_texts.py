@@ -127,6 +127,16 @@ def test_leaks(spark):
     assert leaks.leaks(df, it.limit(0)).count() == 0
 
 
+def test_short_edited_leaks(spark):
+    item = "quill swaps candle marble gearwheel stalls kettle prism cork acorn canal sledge walnut lantern pebble thimble".split()
+    filler = "the measured pattern spreads slowly while a student writes".split()
+    cases = {1: (12, [5]), 2: (13, [10]), 3: (12, [1]), 4: (16, [5, 10]), 5: (16, [3, 6, 9]), 6: (11, [])}
+    docs = [(k, " ".join(filler + ["heavy" if n in at else w for n, w in enumerate(item[:size])] + filler)) for k, (size, at) in cases.items()]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    it = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    assert {r.doc_id for r in leaks.leaks(df, it).collect()} == {1, 2, 3, 4}
+
+
 ENTRIES = [("axial_reagent", "Axial Reagent"), ("reagent", "Reagent"), ("dual_elasticity", "Dual Elasticity"), ("rate_of_forced_osmosis", "Rate Of Forced Osmosis"), ("isomer_efficiency", "Isomer Efficiency"), ("lomasts_law", "Lomast's Law"), ("forced_osmosis", "Forced Osmosis"), ("mitosis", "Mitosis"), ("meiosis", "Meiosis")]
 
 
