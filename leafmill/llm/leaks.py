@@ -39,19 +39,26 @@ def tokens(text: str) -> list[str]:
     return _TOKEN.findall(unicodedata.normalize("NFKC", canonical(text)).casefold())
 
 
+def stock_runs(rows: list[tuple[int, str]]) -> set[tuple[str, ...]]:
+    """The runs of STOCK_RUN words that STOCK_ITEMS of all test items share, whichever blocks these are searched in."""
+    runs: dict[tuple[str, ...], set[int]] = defaultdict(set)
+    for i, text in rows:
+        t = tokens(text)
+        for k in range(len(t) - STOCK_RUN + 1):
+            own = runs[tuple(t[k : k + STOCK_RUN])]
+            if len(own) < STOCK_ITEMS:
+                own.add(i)
+    return {r for r, own in runs.items() if len(own) >= STOCK_ITEMS}
+
+
 class _Items:
     """The test items of a block: codes of their terms, their code sequences, and which places are stock."""
 
-    def __init__(self, rows: list[tuple[int, str]]) -> None:
+    def __init__(self, rows: list[tuple[int, str]], stock: set[tuple[str, ...]]) -> None:
         self.words = {i: tokens(t) for i, t in rows}
         self.code = {w: n for n, w in enumerate(sorted({w for t in self.words.values() for w in t}), 1)}
         self.seq = {i: [self.code[w] for w in t] for i, t in self.words.items()}
-        runs: dict[tuple[int, ...], set[int]] = defaultdict(set)
-        for i, t in self.seq.items():
-            for k in range(len(t) - STOCK_RUN + 1):
-                runs[tuple(t[k : k + STOCK_RUN])].add(i)
-        stock = {r for r, own in runs.items() if len(own) >= STOCK_ITEMS}
-        self.stock = {i: {k + d for k in range(len(t) - STOCK_RUN + 1) if tuple(t[k : k + STOCK_RUN]) in stock for d in range(STOCK_RUN)} for i, t in self.seq.items()}
+        self.stock = {i: {k + d for k in range(len(t) - STOCK_RUN + 1) if tuple(t[k : k + STOCK_RUN]) in stock for d in range(STOCK_RUN)} for i, t in self.words.items()}
 
     def pairs(self, i: int) -> list[int | None]:
         """Neighbouring terms of an item as one number each, by the place of the first; None where stock."""
@@ -129,8 +136,8 @@ def _verify(seq: dict[int, list[int]], stock: dict[int, set[int]], score: int, p
 _FOUND = "doc_id bigint, item_id bigint, score int, item_start int, item_stop int, doc_start int, doc_stop int"
 
 
-def _one_block(documents: DataFrame, rows: list[tuple[int, str]], score: int, passage: int) -> DataFrame:
-    items = _Items(rows)
+def _one_block(documents: DataFrame, rows: list[tuple[int, str]], stock: set[tuple[str, ...]], score: int, passage: int) -> DataFrame:
+    items = _Items(rows, stock)
     coded = cut(documents.mapInArrow(_codes(items.code), "doc_id bigint, codes array<int>"), "codes")
     spark = documents.sparkSession
     asked = F.broadcast(spark.createDataFrame(sorted({(p,) for i in items.seq for p in items.pairs(i) if p is not None}), "pair bigint"))
@@ -166,9 +173,9 @@ def leaks(documents: DataFrame, items: DataFrame, score: int = SCORE, passage: i
             size, held = len(t) // 5 + 1, set()
         blocks[-1].append((i, t))
         held.add(i)
-    out = None
+    stock, out = stock_runs(asked), None
     for b in blocks:
-        part = _one_block(texts, b, score, passage)
+        part = _one_block(texts, b, stock, score, passage)
         out = part if out is None else out.unionByName(part)
     best = F.max_by(F.struct(*(c.split()[0] for c in _FOUND.split(", ")[2:])), F.struct("score", -F.col("doc_start"))).alias("b")
     return out.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.*")

@@ -137,6 +137,16 @@ def test_short_edited_leaks(spark):
     assert {r.doc_id for r in leaks.leaks(df, it).collect()} == {1, 2, 3, 4}
 
 
+def test_stock_instructions_are_the_same_in_any_blocks(spark):
+    stock = "choose the correct option and justify it in one word only now "
+    items = [(k, stock + f"about thing{k} that matters") for k in range(4)]
+    docs = spark.createDataFrame([(1, "filler " + stock + "filler"), (2, items[2][1])], "doc_id bigint, text string")
+    whole = leaks.leaks(docs, spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert leaks.leaks(docs, spark.createDataFrame(items, "item_id bigint, text string"), block_tokens=10).collect() == whole == []
+    same = [*items[:3], (3, items[3][1]), (3, "another text under the same id")]
+    assert leaks.leaks(docs, spark.createDataFrame(same, "item_id bigint, text string")).collect() == []
+
+
 ENTRIES = [("axial_reagent", "Axial Reagent"), ("reagent", "Reagent"), ("dual_elasticity", "Dual Elasticity"), ("rate_of_forced_osmosis", "Rate Of Forced Osmosis"), ("isomer_efficiency", "Isomer Efficiency"), ("lomasts_law", "Lomast's Law"), ("forced_osmosis", "Forced Osmosis"), ("mitosis", "Mitosis"), ("meiosis", "Meiosis")]
 
 
