@@ -78,6 +78,7 @@ class Reference:
         held = Counter(t for p in self.parts.values() for t in set(p))
         self.idf = {t: math.log(1 + len(self.parts) / n) for t, n in held.items()}
         self.tokens = [t for t in held if t not in LINKING]
+        self.longest = max(map(len, self.tokens), default=0)
         self.near: dict[str, list[str]] = defaultdict(list)
         for t in self.tokens:
             for d in deletions(t, _allowed(len(t))):
@@ -96,6 +97,7 @@ class Reference:
                 self.having[t].add(cid)
             for d in deletions("".join(p), 1):
                 self.joined[d].append(cid)
+        self.widest = max((len("".join(p)) for p in self.parts.values()), default=0)
         self.memo: dict[str, dict[str, float]] = {}
 
     def repair(self, token: str) -> dict[str, float]:
@@ -107,13 +109,13 @@ class Reference:
         scanned = "".join(MISREAD.get(c, c) for c in whole)
         forms.setdefault(scanned, 0.5)
         for a, b in MERGED:
-            for k in range(len(scanned)):
+            for k in range(len(scanned)) if len(scanned) <= self.longest + EDITS + 1 else ():
                 if scanned.startswith(a, k):
                     forms.setdefault(scanned[:k] + b + scanned[k + len(a) :], 1.0)
         out: dict[str, float] = {}
         for form, paid in forms.items():
             most = min(_allowed(len(form) + 1), EDITS)
-            for d in deletions(form, most) if len(form) < 40 else ():
+            for d in deletions(form, most) if len(form) <= self.longest + most else ():
                 for t in self.near.get(d, ()):
                     if out.get(t, 9) > paid and (n := osa(form, t, most)) <= most:
                         out[t] = min(out.get(t, 9), n + paid)
@@ -143,7 +145,7 @@ class Reference:
                     found[cid] = (cost, -soft)
         kept = [w.rstrip(".").replace("'", "") for w in parts]
         for run in {"".join(kept), "".join(w for w in kept if not self._framing(w))}:
-            if 5 <= len(run) < 200:
+            if 5 <= len(run) <= self.widest + 1:
                 for d in deletions(run, 1):
                     for cid in self.joined.get(d, ()):
                         n = osa(run, "".join(self.parts[cid]), 2)
@@ -163,7 +165,7 @@ class Reference:
     def best(self, text: str) -> list[tuple[float, str]]:
         """(edits, entry) of the two entries most likely meant."""
         parts = words(text)
-        if not parts or len(parts) > 40:
+        if not parts:
             return []
         core = [w for w in parts if not self._framing(w.rstrip("."))]
         ranked = self.rank(core) if core else []

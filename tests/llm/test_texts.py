@@ -162,6 +162,16 @@ def test_free_typed_values(typed, meant):
     assert canon.Reference(ENTRIES).match(typed)[0] == meant
 
 
+def test_long_values_and_tokens():
+    token = "pneumono" * 6
+    name = " ".join(f"{a}{b}word" for a in "bcdfghk" for b in "aeiouy")
+    ref = canon.Reference([*ENTRIES, ("long_token", f"{token} Disease"), ("long_name", name)])
+    assert ref.match(f"{token[:-1]} disease")[0] == "long_token"
+    assert ref.match(name.replace("bayword", "baywrd").replace("beword", "bewrd"))[0] == "long_name"
+    assert ref.match("what is " * 30 + "dual elasticity")[0] == "dual_elasticity"
+    assert ref.match("x" * 5000)[0] is None
+
+
 def test_map_to_list(spark):
     rows = [(1, ["Axial Reagent", "axial reagnet", "axial reagnet", None, "", "kite"]), (2, None), (3, []), (4, ["axial reagnet"]), (4, ["axial reagnet"])]
     df = spark.createDataFrame([(i, c, "v") for i, c in rows], "load_id bigint, concepts array<string>, value string")
