@@ -233,7 +233,7 @@ class Repairer:
 
     def asks(self, text: str) -> set[tuple[str, str]]:
         """The pairs of neighbours whose counts ``clean`` may look up, whichever of the words in competition it takes."""
-        words = {*text.split(), *(a + b for a, b in _broken(text.split("\n")))}
+        words = {*text.split(), *(x for a, b in _broken(text.split("\n")) for x in (a + b, f"{a}-{b}"))}
         if not any(self.word(t) is not None and plain(t) in self.rivals for t in words):
             return set()
         self.asked = set()
@@ -396,9 +396,9 @@ def _needs(safe: set[str]):
             keys, kinds, ids = [], [], []
             for kind, i, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 broken = set(_broken(text.split("\n")))
-                words = {*text.split(), *(a + b for a, b in broken)}
-                asked = {"w" + p for p in map(plain, words) if p not in safe and _WORDY.search(p)}
                 halves = {(plain(a), plain(b)) for a, b in broken}
+                words = {*map(plain, {*text.split(), *(x for a, b in broken for x in (a + b, f"{a}-{b}"))}), *(x for a, b in halves for x in (a + b, f"{a}-{b}"))}
+                asked = {"w" + p for p in words if p not in safe and _WORDY.search(p)}
                 asked |= {"c" + x for a, b in halves if a and b for x in (a, b, a + b, f"{a}-{b}") if x not in safe}
                 asked |= {"h" + skeleton(x) for x in map(str.strip, text.split("\n")) if x and len(x) <= 90 and _title_like(x)}
                 keys += asked

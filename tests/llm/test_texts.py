@@ -246,6 +246,15 @@ def test_scan_repair_of_a_text_that_holds_a_third_of_all_rows(spark, broadcast):
     assert got == {(True, ("chars",), "the small fragment was scaled here"), (False, (), "")}
 
 
+@pytest.mark.parametrize("broadcast", [1_000_000, 0])
+def test_scan_repair_of_a_misread_compound_broken_at_its_hyphen(spark, broadcast):
+    rows = [("page", k, f"reading {k} of the colour-shift remains", "x") for k in range(40)]
+    rows += [("page", 100, "the c0lour-shift remains", "x"), ("page", 101, "the c0lour-\nshift remains", "x")]
+    df = spark.createDataFrame(rows, "kind string, id bigint, text string, noise string")
+    out = scanfix.repair_scans(df, spark.createDataFrame([], "t string"), broadcast=broadcast).filter("id >= 100").collect()
+    assert {(tuple(r.noise), r.text) for r in out} == {(("chars",), "the colour-shift remains")} and len(out) == 2
+
+
 def test_weighted_distance():
     d = scanfix.distance
     assert d("srnall", "small") == pytest.approx(0.3) and d("pl0ttecl", "plotted") == pytest.approx(0.6)
