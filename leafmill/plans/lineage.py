@@ -13,10 +13,12 @@ _OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a folder of our own only where that setting is absent (tests)."""
+    """The cluster's ``spark.checkpoint.dir``; a folder of our own only where that setting is absent and all work is on this machine (tests)."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         own = tempfile.mkdtemp(prefix="leafmill-")
@@ -29,13 +31,26 @@ def _root(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/leafmill/{spark.sparkContext.applicationId}"
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing stands at yet."""
+    return f"{_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def files(spark: SparkSession, path: str) -> list[str]:
+    """The data files right in a folder, by name."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+    return sorted(f.getPath().toString() for f in found if f.isFile() and f.getPath().getName()[0] not in "._")
+
+
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write ``df`` once as Parquet into the shared folder and read it back.
 
     Later jobs start from the written files, so a lost executor costs a re-read and never a recomputation, and
     a table used by several jobs is computed once.  Column order and types are kept.
     """
-    path = f"{_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, name)
     df.write.mode("error").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -3,18 +3,30 @@
 from __future__ import annotations
 
 import os
-
+import shutil
+import tempfile
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 
+_SHIPPED: set[str] = set()
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Let the Python workers of a session find this package where it lies, whatever folder the driver was started in."""
-    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
-    have = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if root not in have:
-        env["PYTHONPATH"] = os.pathsep.join([root, *have])
+    """Let the Python workers of a session find this package, whatever folder the driver was started in.
+
+    Workers on this machine are told where it lies; to others it is sent, once an application.
+    """
+    context, root = spark.sparkContext, Path(__file__).resolve().parents[2]
+    if context.master.startswith("local"):
+        have = [p for p in context.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if str(root) not in have:
+            context.environment["PYTHONPATH"] = os.pathsep.join([str(root), *have])
+    elif context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parents[1].name
+        context.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(), package), "zip", root, package))  # the driver serves the file
+        _SHIPPED.add(context.applicationId)
     return spark
 
 

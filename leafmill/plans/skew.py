@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A key is hot when it holds at least one row in so many; there can be no more hot keys than that.
-HOT_ONE_IN = 2000
+#: A key is hot when it holds at least one row in so many; there can be no more hot keys than that. Shares that either side of a hot key is dealt into.
+HOT_ONE_IN, SHARES = 2000, 8
 
 
 def hot_cold_join(left: DataFrame, right: DataFrame, key: str, weight: str, total: int, one_in: int = HOT_ONE_IN) -> DataFrame:
@@ -24,6 +24,22 @@ def hot_cold_join(left: DataFrame, right: DataFrame, key: str, weight: str, tota
     return left.join(hot, key).unionByName(rest.join(cold.hint("shuffle_merge"), key))
 
 
+def grid_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame, by_left: str, by_right: str, shares: int = SHARES) -> DataFrame:
+    """Inner join in which the rows of a hot key meet in shares * shares tasks instead of one.
+
+    ``hot`` holds the hot keys, in ``key``, each once; they must be few by arithmetic, as they are broadcast.  Left rows of a hot key are dealt by the
+    hash of ``by_left`` and copied to the shares of the right side, right rows the other way round; so every pair meets
+    once.  Dealt by hash, not at random, so a task that is run again deals alike.
+    """
+    flag = F.broadcast(hot.select(key, F.lit(True).alias("__hot")))
+    every, own = F.sequence(F.lit(0), F.lit(shares - 1)), lambda c: F.pmod(F.xxhash64(c), F.lit(shares)).cast("int")
+    cell = lambda c, here, there: F.when(F.col("__hot"), F.transform(every, lambda x: F.struct(here(own(c), x).alias("a"), there(own(c), x).alias("b")))).otherwise(F.array(F.struct(F.lit(0).alias("a"), F.lit(0).alias("b"))))
+    one, two = (lambda o, x: o), (lambda o, x: x)
+    dealt_left = left.join(flag, key, "left").withColumn("__c", F.explode(cell(by_left, one, two))).drop("__hot")
+    dealt_right = right.join(flag, key, "left").withColumn("__c", F.explode(cell(by_right, two, one))).drop("__hot")
+    return dealt_left.join(dealt_right, [key, "__c"]).drop("__c")
+
+
 def dense_ids(table: DataFrame, key: str, out: str = "id") -> DataFrame:
     """Number the rows of ``table`` (unique in ``key``) 0, 1, 2 ... in the order of ``key`` without a single-task sort.
 

@@ -287,3 +287,12 @@ def test_cuts_can_be_cleaned(spark):
     assert df.count() == 5 and os.path.isdir(folder)
     lineage.clean(spark)
     assert not os.path.exists(folder)
+
+
+def test_grid_join_meets_every_pair_once(spark):
+    from leafmill.plans.skew import grid_join
+
+    left = spark.createDataFrame([("h", k) for k in range(40)] + [("c", 1), ("d", 2), (None, 3)], "key string, l int")
+    right = spark.createDataFrame([("h", k) for k in range(30)] + [("c", 7), ("c", 8), ("e", 9)], "key string, r int")
+    got = [(r.key, r.l, r.r) for r in grid_join(left, right, "key", spark.createDataFrame([("h",)], "key string"), "l", "r").collect()]
+    assert sorted(got) == sorted([("h", a, b) for a in range(40) for b in range(30)] + [("c", 1, 7), ("c", 1, 8)])
