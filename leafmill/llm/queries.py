@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans import lineage
 from . import canon, cooccur, leaks, lookalike, mixing, pieces, scanfix, splits, termfreq
 from .base import concept_keys, current_resources, document_key, table
 
@@ -43,6 +44,16 @@ def p2_pieces(spark: SparkSession, d: str) -> DataFrame:
     return pieces.split_oversized(_oversized(spark, d))
 
 
+def p2_files(spark: SparkSession, d: str) -> DataFrame:
+    """All texts written to files, and these cut by byte ranges: characters of the files, and whether every piece holds them whole and within the limit."""
+    folder = lineage.scratch(spark, "texts")
+    _oversized(spark, d).filter("text is not null").select("text").write.text(folder)
+    out = pieces.split_ranges(pieces.file_ranges(spark, lineage.files(spark, folder), range_bytes=1 << 20))
+    whole = F.length("text") == F.col("stop") - F.col("start")
+    by_file = out.groupBy("id").agg(F.max("stop").alias("n"), F.bool_and(whole & (F.length("text") <= pieces.LIMIT)).alias("fit"))
+    return by_file.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("characters"), F.coalesce(F.bool_and("fit"), F.lit(True)).alias("fit"))
+
+
 def _repaired(spark: SparkSession, d: str, texts: bool) -> DataFrame:
     titles = table(spark, d, "resources").select("chapter_title").unionByName(table(spark, d, "manifest").select("chapter_title"))
     return scanfix.repair_scans(_oversized(spark, d), titles, texts=texts)
@@ -129,7 +140,7 @@ def p9_texts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (p1_found, p1_pairs, p2_found, p2_pieces, p3_found, p3_texts, p4_found, p4_splits, p5_found, p5_counts, p6_found, p6_unmatched, p7_found, p8_found, p8_shares, p9_found, p9_texts)}
+    return {q.__name__: q for q in (p1_found, p1_pairs, p2_found, p2_pieces, p2_files, p3_found, p3_texts, p4_found, p4_splits, p5_found, p5_counts, p6_found, p6_unmatched, p7_found, p8_found, p8_shares, p9_found, p9_texts)}
 
 
 _KEY = r"nullif(regexp_replace(regexp_replace(regexp_replace(replace(lower(regexp_replace(x, '^\s+|\s+$', '', 'g')), '-', ' '), '[^a-z0-9\s]', '', 'g'), '^\s+|\s+$', '', 'g'), '\s+', '_', 'g'), '')"
@@ -152,6 +163,7 @@ def oracle_sql() -> dict[str, str]:
         "p1_found": f"WITH {_CURRENT} SELECT p.a AS concept_a, p.b AS concept_b {_PAIR_ROWS} WHERE p.n >= 5 AND p.n * t.n >= 8 * x.n * y.n",
         "p1_pairs": f"WITH {_CURRENT} SELECT p.a AS concept_a, p.b AS concept_b, p.n AS n_ab, x.n AS n_a, y.n AS n_b, t.n AS n_records, round(p.n::DOUBLE * t.n / (x.n::DOUBLE * y.n), 6) AS lift, round((p.n + 0.5::DOUBLE) * (t.n - x.n - y.n + p.n + 0.5::DOUBLE) / ((x.n - p.n + 0.5::DOUBLE) * (y.n - p.n + 0.5::DOUBLE)), 6) AS odds_ratio {_PAIR_ROWS}",
         "p2_found": f"SELECT item_kind, item_id, CASE WHEN {_RUN} > 2000 THEN 'forced' ELSE 'natural' END AS cut FROM ({_BOTH}) WHERE length(text) > 2000",
+        "p2_files": f"SELECT sum(length(text) + 1)::BIGINT AS characters, true AS fit FROM ({_BOTH}) WHERE text IS NOT NULL",
         "p4_found": r"""WITH RECURSIVE r AS (SELECT DISTINCT upper(regexp_replace(document_id, '^\s+|\s+$', '', 'g')) AS d, CASE WHEN source_file IS NOT NULL AND chapter_no IS NOT NULL THEN source_file || '|' || chapter_no END AS f FROM resources WHERE document_id IS NOT NULL),
 every AS (SELECT DISTINCT upper(regexp_replace(document_id, '^\s+|\s+$', '', 'g')) AS d FROM resources WHERE document_id IS NOT NULL),
 e AS (SELECT DISTINCT a.d AS a, b.d AS b FROM r a JOIN r b ON a.f = b.f AND a.d <> b.d),

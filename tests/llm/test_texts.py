@@ -2,7 +2,9 @@
 
 import random
 import unicodedata
+from types import SimpleNamespace
 
+import numpy as np
 import pytest
 
 from leafmill.llm import canon, leaks, lookalike, mixing, pieces, scanfix
@@ -32,7 +34,7 @@ def check_pieces(text, rows, limit=2000, overlap=200):
     assert any(r.cut == "forced" for r in rows) == (runs > limit)
 
 
-@pytest.mark.parametrize("size", [65_536, 4_000])
+@pytest.mark.parametrize("size", [65_536, 8_192, 4_000])
 def test_pieces(spark, size):
     texts = long_texts()
     rows = [("t", k, t, "p", "c") for k, t in enumerate(texts)] + [("t", 90, None, "", ""), ("t", 91, "", "", ""), ("t", 92, "short", "", "")]
@@ -51,6 +53,43 @@ def test_ranges_give_the_same_pieces(spark):
     assert sorted(map(tuple, pieces.split_oversized(df, range_chars=7_777).collect())) == whole
 
 
+def test_texts_are_told_apart_by_themselves(spark):
+    a, b = ("".join(random.Random(k).choice(["word ", "end. ", "\n\n", "verylongword" * 9]) for _ in range(3000)) for k in (7, 8))
+    rows = [(None, 1, a), ("t", None, a), (None, None, b), ("t", 5, a), ("t", 5, b), ("t", 5, b)]
+    out = pieces.split_oversized(spark.createDataFrame([(*r, "", "") for r in rows], TEXTS), range_chars=4_000).collect()
+    whole = lambda t: sum(1 for _ in pieces.split_oversized(spark.createDataFrame([("t", 1, t, "", "")], TEXTS)).collect())
+    n, m = whole(a), whole(b)
+    count = lambda *key: sum((r.kind, r.id) == key for r in out)
+    assert (count(None, 1), count("t", None), count(None, None), count("t", 5)) == (n, n, m, n + 2 * m)
+
+
+def test_ranges_of_random_texts():
+    rng = random.Random(5)
+    for _ in range(60):
+        text = "".join(rng.choice(["x" * rng.randint(1, 60), " ", "  ", ". ", "\n", "\n\n", '?" ', "अ", "  \n" * rng.randint(1, 40)]) for _ in range(rng.randint(1, 300)))
+        limit, overlap = rng.choice([(50, 10), (40, 20), (20, 0), (100, 30)])
+        runs = []
+        for size in (10**6, 2 * limit, 2 * limit + 7, 5 * limit):
+            halo, at, before, piece, seen = limit + overlap + pieces.LOOK, 0, 0, 0, []
+            for own in range(0, len(text), size):
+                base, end = max(0, own - halo), min(own + size, len(text))
+                chunk = text[base : own + size + halo]
+                first, exits, starts, n = pieces.trace(chunk, base, own, end, len(text), limit, overlap)
+                if at >= end:
+                    continue
+                k, b = pieces.bisect_right(first, at) - 1, pieces.Boundaries(chunk, base, len(text))
+                told = exits[k], starts[k], piece + n[k]
+                while at < end:
+                    s, e, kind = (int(x[0]) for x in pieces.steps(b, np.array([at]), limit, overlap))
+                    seen.append(SimpleNamespace(piece=piece, start=max(s, before), stop=e, cut=pieces._KINDS[kind], text=text[max(s, before) : e]))
+                    at, before, piece = e, s, piece + 1
+                assert told == (at, before, piece)
+            runs.append(seen)
+        if len(text) > limit:
+            check_pieces(text, runs[0], limit, overlap)
+        assert all(r == runs[0] for r in runs)
+
+
 def test_pieces_of_files(spark, tmp_path):
     text = "".join(random.Random(2).choice(["नमस्ते ", "word ", "é", "end. ", "\n\n", "tail "]) for _ in range(9000))
     (tmp_path / "a.txt").write_text(text, encoding="utf-8")
