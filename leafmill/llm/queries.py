@@ -121,13 +121,28 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaks(table(spark, d, "documents"), table(spark, d, "eval_item")).select("doc_id", "item_id")
 
 
+def _mix(spark: SparkSession, d: str) -> mixing.Mix:
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_target"))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     """Sources too small for their share."""
-    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_target"))[0].filter("short").select("source")
+    return _mix(spark, d).shares.filter("short").select("source")
 
 
 def p8_shares(spark: SparkSession, d: str) -> DataFrame:
-    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_target"))[0]
+    """Wanted, budgeted and actual shares by source."""
+    return _mix(spark, d).shares
+
+
+def p8_leaves(spark: SparkSession, d: str) -> DataFrame:
+    """Budgets and what was mixed by domain, language and source."""
+    return _mix(spark, d).leaves
+
+
+def p8_selection(spark: SparkSession, d: str) -> DataFrame:
+    """The documents of the mix and how often each is taken."""
+    return _mix(spark, d).selection
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
@@ -140,7 +155,7 @@ def p9_texts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (p1_found, p1_pairs, p2_found, p2_pieces, p2_files, p3_found, p3_texts, p4_found, p4_splits, p5_found, p5_counts, p6_found, p6_unmatched, p7_found, p8_found, p8_shares, p9_found, p9_texts)}
+    return {q.__name__: q for q in (p1_found, p1_pairs, p2_found, p2_pieces, p2_files, p3_found, p3_texts, p4_found, p4_splits, p5_found, p5_counts, p6_found, p6_unmatched, p7_found, p8_found, p8_shares, p8_leaves, p8_selection, p9_found, p9_texts)}
 
 
 _KEY = r"nullif(regexp_replace(regexp_replace(regexp_replace(replace(lower(regexp_replace(x, '^\s+|\s+$', '', 'g')), '-', ' '), '[^a-z0-9\s]', '', 'g'), '^\s+|\s+$', '', 'g'), '\s+', '_', 'g'), '')"

@@ -315,7 +315,7 @@ def test_mix(spark):
     docs += [(1000, None, "big", None, None), (1001, "free words", None, "en", "x"), (1002, "un listed", "other", "en", "x"), (1003, "", "big", "en", "x")]
     df = spark.createDataFrame(docs, "doc_id bigint, text string, source string, lang string, subject string")
     goals = spark.createDataFrame([("big", 0.6, 4), ("small", 0.3, 4), ("tiny", 0.05, 1), ("absent", 0.05, 8), ("off", 0.0, 2), (None, 0.5, 1)], "source string, target_share double, max_repeats int")
-    shares, chosen = mixing.mix(df, goals)
+    shares, leaves, chosen = mixing.mix(df, goals)
     by = {r.source: r for r in shares.collect()}
     assert by["absent"].short and not by["off"].short and not by["big"].short
     assert set(by) == {"big", "small", "tiny", "absent", "off"}
@@ -324,5 +324,25 @@ def test_mix(spark):
     rows = chosen.collect()
     assert all(1 <= r.times <= 4 for r in rows) and {r.source for r in rows} == {"big", "small", "tiny"}
     assert sum(r.actual_share for r in by.values()) == pytest.approx(1)
-    assert sorted(map(tuple, mixing.mix(df, goals)[1].collect())) == sorted(map(tuple, rows))
-    assert mixing.mix(df.limit(0), goals)[1].count() == 0 and mixing.mix(df, goals.limit(0))[1].count() == 0
+    assert sorted(map(tuple, mixing.mix(df, goals).selection.collect())) == sorted(map(tuple, rows))
+    assert mixing.mix(df.limit(0), goals).selection.count() == 0 and mixing.mix(df, goals.limit(0)).selection.count() == 0
+    assert sorted((r.doc_id, r.times) for r in mixing.mix(df, goals, range_rows=20).selection.collect()) != [] and sum(r.mixed_tokens for r in leaves.collect()) == sum(r.tokens * r.times for r in rows)
+
+
+def test_mix_of_one_source_in_two_languages(spark):
+    rng = random.Random(9)
+    docs = [(k, " ".join(["word"] * rng.randint(5, 60)), "both" if k % 2 else "only", "hi" if k % 6 == 1 else "en", "Bio") for k in range(1200)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, source string, lang string, subject string")
+    goals = spark.createDataFrame([("both", 0.7, 2), ("only", 0.3, 1)], "source string, target_share double, max_repeats int")
+    for rows in (50_000, 40):
+        shares, leaves, _ = mixing.mix(df, goals, range_rows=rows)
+        by = {(r.source, r.lang): r for r in leaves.collect()}
+        assert set(by) == {("both", "hi"), ("both", "en"), ("only", "en")}
+        assert by["both", "hi"].wanted_tokens / by["both", "en"].wanted_tokens == pytest.approx(by["both", "hi"].leaf_tokens / by["both", "en"].leaf_tokens)
+        assert all(abs(r.mixed_tokens - r.budget_tokens) < 61 for r in by.values()) and not any(r.short for r in shares.collect())
+    tight = mixing.mix(df, spark.createDataFrame([("both", 0.9, 1), ("only", 0.1, 1)], "source string, target_share double, max_repeats int"))
+    by, leaf = {r.source: r for r in tight.shares.collect()}, {(r.source, r.lang): r for r in tight.leaves.collect()}
+    assert by["both"].short and not by["only"].short and leaf["both", "hi"].unplaced_tokens > 0
+    assert by["only"].budget_tokens == pytest.approx(by["only"].source_tokens)  # its siblings' shortage
+    with pytest.raises(ValueError):
+        mixing.mix(df, goals, most_leaves=2)
