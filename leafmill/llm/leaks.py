@@ -1,9 +1,9 @@
 """Problem 7: evaluation texts leaking into training text.
 
-Method: a distributed positional inverted index.  Documents are stored as positional codes of the test vocabulary;
-lists of neighbouring terms are intersected at once, so the stored postings are of pairs; those of the rarest test
-pairs are intersected with offset adjustment (document position less item position), and where several agree the
-stored positions around them are aligned for exact and near matches.
+Method: a distributed positional inverted index.  Of the documents those postings are stored that a test item can ask
+for; lists of neighbouring terms are intersected at once, as the documents are read, so the stored postings are of pairs.  Those of the
+rarest test pairs are intersected with offset adjustment (document position less item position); documents in which several
+agree are read again and aligned around the place, for exact and near matches.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,13 +30,15 @@ EDITED = 8
 #: Words that agree, less PENALTY for each one changed, dropped or added, that a passage of more edits must reach; a run of so
 #: many words that so many items share is a stock instruction.
 SCORE, PENALTY, STOCK_RUN, STOCK_ITEMS = 11, 2, 8, 4
-#: Test tokens that are looked up at once; larger test sets are taken in blocks.
-BLOCK_TOKENS = 2_000_000
+#: Test tokens that are looked up at once; larger test sets are taken in blocks.  Documents with candidates, with these, that are broadcast; more are joined.
+BLOCK_TOKENS, BROADCAST = 2_000_000, 200_000
 _TOKEN = re.compile(r"\w+")
 
 
 def tokens(text: str) -> list[str]:
     """Words in one form, whatever their case, punctuation and coding of characters."""
+    if text.isascii():
+        return _TOKEN.findall(text.lower())
     return _TOKEN.findall(unicodedata.normalize("NFKC", canonical(text)).casefold())
 
 
@@ -78,16 +81,27 @@ class _Items:
         return [(own[i][x], i, x) for i, x in places]
 
 
-def _codes(code: dict[str, int]):
+def _postings(know):
+    """(pair, doc_id, pos) of the asked pairs of neighbouring terms; a batch of texts is looked up at once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, asked = know.value
+        get = code.get
         for batch in batches:
-            ids, out = [], []
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seq = [code.get(w, 0) for w in tokens(t)]
-                if any(seq):
-                    ids.append(i)
-                    out.append(seq)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.list_(pa.int32()))], names=["doc_id", "codes"])
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            seqs = [[get(w, 0) for w in tokens(t)] for t in batch.column(1).to_pylist()]
+            sizes = np.fromiter(map(len, seqs), np.int64, len(seqs))
+            flat = np.fromiter((c for seq in seqs for c in seq), np.int64, int(sizes.sum()))
+            if len(flat) < 2 or not len(asked):
+                continue
+            starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+            doc = np.repeat(np.arange(len(seqs)), sizes)
+            at = np.flatnonzero((flat[:-1] > 0) & (flat[1:] > 0) & (doc[:-1] == doc[1:]))
+            pairs = flat[at] << 32 | flat[at + 1]
+            found = np.searchsorted(asked, pairs)
+            hit = asked[np.minimum(found, len(asked) - 1)] == pairs
+            at, pairs = at[hit], pairs[hit]
+            yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(ids[doc[at]], pa.int64()), pa.array((at - starts[doc[at]]).astype(np.int32))], names=["pair", "doc_id", "pos"])
 
     return run
 
@@ -109,15 +123,21 @@ def align(item: list[int], window: list[int], score: int = SCORE, passage: int =
     return best
 
 
-def _verify(seq: dict[int, list[int]], stock: dict[int, set[int]], score: int, passage: int):
+def _verify(know, score: int, passage: int):
+    """Aligns the items with the stretches of a text where they may stand; ``hits`` come with the row or are broadcast by doc_id."""
     least = min(score, passage - passage // EDITED)  # words that agree in any passage
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, seq, stock, known = know.value
         for batch in batches:
             rows = []
-            for doc, codes, hits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            hits = [known.get(i) for i in batch.column(0).to_pylist()] if known is not None else batch.column(2).to_pylist()
+            for k, places in enumerate(hits):
+                if not places:
+                    continue
+                doc, codes = batch.column(0)[k].as_py(), [code.get(w, 0) for w in tokens(batch.column(1)[k].as_py())]
                 best: dict[int, tuple] = {}
-                for i, lo, hi in sorted({(h["item_id"], h["lo"], h["hi"]) for h in hits}):
+                for i, lo, hi in sorted({(h["item_id"], h["lo"], h["hi"]) for h in places}):
                     item = [-1 if k in stock[i] else c for k, c in enumerate(seq[i])]
                     at = max(0, lo - DRIFT)
                     window = codes[at : hi + len(item) + DRIFT]
@@ -136,34 +156,41 @@ def _verify(seq: dict[int, list[int]], stock: dict[int, set[int]], score: int, p
 _FOUND = "doc_id bigint, item_id bigint, score int, item_start int, item_stop int, doc_start int, doc_stop int"
 
 
-def _one_block(documents: DataFrame, rows: list[tuple[int, str]], stock: set[tuple[str, ...]], score: int, passage: int) -> DataFrame:
-    items = _Items(rows, stock)
-    coded = cut(documents.mapInArrow(_codes(items.code), "doc_id bigint, codes array<int>"), "codes")
-    spark = documents.sparkSession
-    asked = F.broadcast(spark.createDataFrame(sorted({(p,) for i in items.seq for p in items.pairs(i) if p is not None}), "pair bigint"))
-    after = F.transform("codes", lambda x, k: F.when((x > 0) & (F.get("codes", k + 1) > 0), F.shiftleft(x.cast("bigint"), 32).bitwiseOR(F.get("codes", k + 1).cast("bigint"))))
-    postings = cut(coded.select("doc_id", F.posexplode(after).alias("pos", "pair")).join(asked, "pair").select("pair", "doc_id", "pos"), "postings")
+def _one_block(documents: DataFrame, rows: list[tuple[int, str]], stock: set[tuple[str, ...]], score: int, passage: int, broadcast: int) -> DataFrame:
+    spark, items = documents.sparkSession, _Items(rows, stock)
+    share = spark.sparkContext.broadcast
+    asked = np.array(sorted({p for i in items.seq for p in items.pairs(i) if p is not None}), np.int64)
+    postings = cut(documents.mapInArrow(_postings(share((items.code, asked))), "pair bigint, doc_id bigint, pos int"), "postings")
     seen = {r.pair: r.n for r in postings.groupBy("pair").agg(F.count(F.lit(1)).alias("n")).collect()}  # no more rows than the block has pairs
-    seeds = F.broadcast(spark.createDataFrame(items.seeds(seen), "pair bigint, item_id bigint, place int"))
+    seeds = F.broadcast(spark.createDataFrame(items.seeds(seen), "pair bigint, item_id bigint, place int"))  # no more than the block has words
     hits = postings.join(seeds, "pair").select("doc_id", "item_id", "place", (F.col("pos") - F.col("place")).alias("offset"))
     grid = F.explode(F.array(F.floor(F.col("offset") / DRIFT) * 2, F.floor((F.col("offset") + DRIFT // 2) / DRIFT) * 2 + 1))
     agreed = hits.withColumn("cell", grid).groupBy("doc_id", "item_id", "cell").agg(F.countDistinct("place").alias("n"), F.min("offset").alias("lo"), F.max("offset").alias("hi")).filter(F.col("n") >= AGREE)
-    wanted = agreed.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "lo", "hi")).alias("hits"))
-    return coded.join(wanted, "doc_id").select("doc_id", "codes", "hits").mapInArrow(_verify(items.seq, items.stock, score, passage), _FOUND)
-
-
-def leaks(documents: DataFrame, items: DataFrame, score: int = SCORE, passage: int = PASSAGE, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    wanted = cut(agreed.select("doc_id", "item_id", "lo", "hi"), "candidates")
+    known = None
+    if wanted.count() <= broadcast:
+        known = defaultdict(list)
+        for r in wanted.toLocalIterator():
+            known[r.doc_id].append({"item_id": r.item_id, "lo": r.lo, "hi": r.hi})
+        texts = documents
+    else:
+        texts = documents.join(wanted.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "lo", "hi")).alias("hits")), "doc_id").select("doc_id", "text", "hits")
+    return texts.mapInArrow(_verify(share((items.code, items.seq, items.stock, known)), score, passage), _FOUND)
+
+
+def leaks(documents: DataFrame, items: DataFrame, score: int = SCORE, passage: int = PASSAGE, block_tokens: int = BLOCK_TOKENS, broadcast: int = BROADCAST) -> DataFrame:
     """Where passages of test items stand in documents: doc_id, item_id, score, and token ranges in item and document.
 
     ``documents`` has ``doc_id BIGINT, text``, ``items`` ``item_id BIGINT, text``; other columns are ignored.  A row says that at least
     ``passage`` words of the item stand in the document, with no more than one edit in EDITED words, or those that agree less
     PENALTY for each edit being at least ``score``; the best place of each pair is given.  Runs of STOCK_RUN words shared by STOCK_ITEMS items are stock and match
-    nothing.  Null and empty texts match nothing; of rows with one item_id the texts are searched as one item each
+    nothing.  Null and empty texts, and texts without doc_id, match nothing; of rows with one item_id the texts are searched as one item each
     under that id; a document repeated under one doc_id is searched once for each row.  The test set is the stated
-    query set; beyond ``block_tokens`` it is searched in blocks.
+    query set; beyond ``block_tokens`` it is searched in blocks.  Documents are read once for the postings and once more where they
+    have candidates: up to ``broadcast`` candidates are told to the second reading, more are joined with it.
     """
     asked = [(r.item_id, r.text) for r in items.select("item_id", "text").filter("text is not null and item_id is not null").distinct().toLocalIterator()]
-    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
+    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("text is not null and doc_id is not null")
     blocks: list[list[tuple[int, str]]] = [[]]
     size, held = 0, set()
     for i, t in sorted(asked):
@@ -175,7 +202,7 @@ def leaks(documents: DataFrame, items: DataFrame, score: int = SCORE, passage: i
         held.add(i)
     stock, out = stock_runs(asked), None
     for b in blocks:
-        part = _one_block(texts, b, stock, score, passage)
+        part = _one_block(texts, b, stock, score, passage, broadcast)
         out = part if out is None else out.unionByName(part)
     best = F.max_by(F.struct(*(c.split()[0] for c in _FOUND.split(", ")[2:])), F.struct("score", -F.col("doc_start"))).alias("b")
     return out.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.*")

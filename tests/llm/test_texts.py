@@ -163,6 +163,7 @@ def test_leaks(spark):
     assert found == {(1, 1), (2, 1), (3, 1), (8, 2), (9, 1)}
     blocks = {(r.doc_id, r.item_id) for r in leaks.leaks(df, it, block_tokens=10).collect()}
     assert {p for p in blocks if p[1] < 10} == found
+    assert {(r.doc_id, r.item_id) for r in leaks.leaks(df, it, broadcast=0).collect()} == found
     assert leaks.leaks(df.limit(0), it).count() == 0
     assert leaks.leaks(df, it.limit(0)).count() == 0
 
