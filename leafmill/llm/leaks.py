@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.lineage import cut
-from .lookalike import canonical
+from .lookalike import letters
 
 #: Words a passage has at least; rare pairs of neighbours taken from every stretch of so many words; of them so many must agree in
 #: offset, up to so much drift. Two edits break four of the pairs taken from a stretch, which leaves AGREE.
@@ -39,7 +39,7 @@ def tokens(text: str) -> list[str]:
     """Words in one form, whatever their case, punctuation and coding of characters."""
     if text.isascii():
         return _TOKEN.findall(text.lower())
-    return _TOKEN.findall(unicodedata.normalize("NFKC", canonical(text)).casefold())
+    return _TOKEN.findall(unicodedata.normalize("NFKC", letters(text)).casefold())
 
 
 def stock_runs(rows: list[tuple[int, str]]) -> set[tuple[str, ...]]:

@@ -73,15 +73,23 @@ def _links() -> dict:
     return {"document": document_key(F.col("document_id")), "chapter": F.when(F.col("source_file").isNotNull() & F.col("chapter_no").isNotNull(), chapter)}
 
 
-def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    """Pairs of document keys that must share a split."""
+def _related_documents(spark: SparkSession, d: str) -> DataFrame:
+    """(document_id, component) of the document keys."""
     links = _links()
     rows = table(spark, d, "resources").select(*(c.alias(k) for k, c in links.items())).distinct()
     tagged = [F.concat(F.lit(f"{i}\x1f"), F.col(k)) for i, k in enumerate(links)]
     parts = splits.components(splits.link_edges(rows.select(F.filter(F.array(*tagged), lambda x: x.isNotNull()).alias("nodes"))))
-    docs = parts.filter(F.col("node").startswith("0\x1f")).select(F.expr("substring(node, 3)").alias("k"), "component")
-    a, b = docs.select(F.col("k").alias("document_id_a"), "component"), docs.select(F.col("k").alias("document_id_b"), "component")
-    return a.join(b, "component").filter("document_id_a < document_id_b").select("document_id_a", "document_id_b")
+    return lineage.cut(parts.filter(F.col("node").startswith("0\x1f")).select(F.expr("substring(node, 3)").alias("document_id"), "component"), "documents")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of document keys that must share a split."""
+    return splits.pairs_within(_related_documents(spark, d), "document_id", "component")
+
+
+def p4_classes(spark: SparkSession, d: str) -> DataFrame:
+    """One row a document key: the least key it must share a split with, and the number of others."""
+    return splits.classes(_related_documents(spark, d), "document_id", "component")
 
 
 def p4_splits(spark: SparkSession, d: str) -> DataFrame:
@@ -150,12 +158,17 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.lookalike_pairs(table(spark, d, "documents"))
 
 
+def p9_classes(spark: SparkSession, d: str) -> DataFrame:
+    """One row a document that looks like another: its class and number of links."""
+    return lookalike.lookalike_groups(table(spark, d, "documents"))
+
+
 def p9_texts(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.canonical_texts(table(spark, d, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (p1_found, p1_pairs, p2_found, p2_pieces, p2_files, p3_found, p3_texts, p4_found, p4_splits, p5_found, p5_counts, p6_found, p6_unmatched, p7_found, p8_found, p8_shares, p8_leaves, p8_selection, p9_found, p9_texts)}
+    return {q.__name__: q for q in (p1_found, p1_pairs, p2_found, p2_pieces, p2_files, p3_found, p3_texts, p4_found, p4_classes, p4_splits, p5_found, p5_counts, p6_found, p6_unmatched, p7_found, p8_found, p8_shares, p8_leaves, p8_selection, p9_found, p9_classes, p9_texts)}
 
 
 _KEY = r"nullif(regexp_replace(regexp_replace(regexp_replace(replace(lower(regexp_replace(x, '^\s+|\s+$', '', 'g')), '-', ' '), '[^a-z0-9\s]', '', 'g'), '^\s+|\s+$', '', 'g'), '\s+', '_', 'g'), '')"
@@ -180,10 +193,14 @@ def oracle_sql() -> dict[str, str]:
         "p2_found": f"SELECT item_kind, item_id, CASE WHEN {_RUN} > 2000 THEN 'forced' ELSE 'natural' END AS cut FROM ({_BOTH}) WHERE length(text) > 2000",
         "p2_files": f"SELECT sum(length(text) + 1)::BIGINT AS characters, true AS fit FROM ({_BOTH}) WHERE text IS NOT NULL",
         "p4_found": r"""WITH RECURSIVE r AS (SELECT DISTINCT upper(regexp_replace(document_id, '^\s+|\s+$', '', 'g')) AS d, CASE WHEN source_file IS NOT NULL AND chapter_no IS NOT NULL THEN source_file || '|' || chapter_no END AS f FROM resources WHERE document_id IS NOT NULL),
-every AS (SELECT DISTINCT upper(regexp_replace(document_id, '^\s+|\s+$', '', 'g')) AS d FROM resources WHERE document_id IS NOT NULL),
 e AS (SELECT DISTINCT a.d AS a, b.d AS b FROM r a JOIN r b ON a.f = b.f AND a.d <> b.d),
 reach(a, b) AS (SELECT a, b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a)
 SELECT a AS document_id_a, b AS document_id_b FROM reach WHERE a < b""",
+        "p4_classes": r"""WITH RECURSIVE r AS (SELECT DISTINCT upper(regexp_replace(document_id, '^\s+|\s+$', '', 'g')) AS d, CASE WHEN source_file IS NOT NULL AND chapter_no IS NOT NULL THEN source_file || '|' || chapter_no END AS f FROM resources WHERE document_id IS NOT NULL),
+every AS (SELECT DISTINCT d FROM r),
+e AS (SELECT d AS a, d AS b FROM every UNION SELECT a.d AS a, b.d AS b FROM r a JOIN r b ON a.f = b.f),
+reach(a, b) AS (SELECT a, b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a)
+SELECT a AS document_id, min(b) AS class_id, count(*) - 1 AS n_links FROM reach GROUP BY a""",
         "p5_found": f"WITH {_CURRENT} SELECT k AS concept, 'rare' AS mark FROM single WHERE n < 3 UNION ALL SELECT k, 'common' FROM single, total t WHERE single.n > 0.1 * t.spoken",
         "p5_counts": f"WITH {_CURRENT}, occ AS (SELECT k, count(*) AS n FROM held GROUP BY k) SELECT o.k AS concept, o.n AS occurrences, s.n AS resources, CASE WHEN s.n < 3 THEN 'rare' WHEN s.n > 0.1 * t.spoken THEN 'common' END AS mark FROM occ o JOIN single s ON s.k = o.k CROSS JOIN total t",
     }

@@ -15,11 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.lineage import cut
-from ..plans.skew import hot_cold_join
+from ..plans.skew import HOT_ONE_IN, grid_join, hot_cold_join
 
 #: Most collision edges that one task merges; expansions of the frontier in a round; neighbours from which a node
 #: can be a hub, the most hubs there can be, and the shares a hub's list is split into.
 SMALL_GRAPH, STEPS, HUB, HUBS, SALTS = 200_000, 2, 1_000, 10_000, 32
+#: Members from which a component can be hot.
+HOT = 1_000
 
 
 def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,6 +95,25 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", small_graph: int =
     return out.select("node", F.col("label").alias("component"))
 
 
+def pairs_within(members: DataFrame, node: str, component: str, hot: int = HOT) -> DataFrame:
+    """(node_a, node_b), a < b, of ``members`` (unique in ``node``) of one component.
+
+    As many rows as there are such pairs; ``classes`` says the same in one row a node.  Components of ``hot`` members or more, and no less than one
+    in HOT_ONE_IN of all, are dealt over a grid of tasks.
+    """
+    sizes = members.groupBy(component).agg(F.count(F.lit(1)).alias("n"))
+    large = sizes.filter(F.col("n") >= max(hot, members.count() // HOT_ONE_IN)).select(component)
+    a, b = members.select(F.col(node).alias(f"{node}_a"), component), members.select(F.col(node).alias(f"{node}_b"), component)
+    return grid_join(a, b, component, large, f"{node}_a", f"{node}_b").filter(F.col(f"{node}_a") < F.col(f"{node}_b")).select(f"{node}_a", f"{node}_b")
+
+
+def classes(members: DataFrame, node: str, component: str) -> DataFrame:
+    """(node, class_id, n_links): the least node of its component, and how many others that has."""
+    sizes = cut(members.groupBy(component).agg(F.count(F.lit(1)).alias("n"), F.min(node).alias("class_id")), "sizes")
+    out = hot_cold_join(members, sizes, component, "n", members.count())
+    return out.select(node, "class_id", (F.col("n") - 1).alias("n_links"))
+
+
 def deal(weights: DataFrame, proportions: dict[str, float], seed: int = 0, buckets: int = 4096) -> DataFrame:
     """(component, split) for ``weights(component, n)``: whole components, as near to ``proportions`` as they allow.
 

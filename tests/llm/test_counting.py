@@ -151,3 +151,14 @@ def test_splits_of_nothing(spark):
 
     df = spark.createDataFrame([], "load_id bigint, doc string")
     assert splits.related_splits(df, "load_id", {"doc": F.col("doc")}, {"train": 1.0}).count() == 0
+
+
+def test_pairs_and_classes_within_components(spark):
+    rows = [(f"n{k:03}", "big" if k < 40 else f"c{k % 7}") for k in range(60)] + [("alone", "x")]
+    df = spark.createDataFrame(rows, "node string, component string")
+    want = {(a, b) for a, c in rows for b, e in rows if c == e and a < b}
+    for hot in (1_000, 5):
+        got = [tuple(r) for r in splits.pairs_within(df, "node", "component", hot).collect()]
+        assert set(got) == want and len(got) == len(want)
+    links = {r.node: (r.class_id, r.n_links) for r in splits.classes(df, "node", "component").collect()}
+    assert links == {a: (min(b for b, e in rows if e == c), sum(e == c for _, e in rows) - 1) for a, c in rows}

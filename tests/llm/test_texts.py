@@ -115,6 +115,9 @@ def test_canonical_forms():
     assert c("क्‍ष") != c("क्ष")  # a joiner after a virama changes the print
     assert c("क‍ख") == c("कख")
     assert c("ẹ́") == c("ẹ́") == c("ẹ́")
+    assert c("अा") == c("आ") == "आ" and c("अॉ") == c("आॅ") == "ऑ" and c("एे") == "ऐ" and c("अब") == "अब"
+    assert c("\U00010404\U00010415") == "OC" and c("ꓢꓳ") == "SO" and c("\U0001d400") == "\U0001d400"
+    assert c("\U000e0041a") == "a" and c("\U0002f800") == c("\u4e3d")
     assert c("") == "" and c("plain") == "plain" and c("a \n b\r\nc ") == "a\nb\nc"
     long = ("x" * 99 + "́ ") * 1000
     assert c(c(long)) == c(long)
@@ -134,7 +137,9 @@ def test_lookalike_pairs(spark):
     rows = [(1, "same a"), (2, "same а"), (3, "same a"), (4, "other"), (5, None), (6, ""), (7, ""), (8, "same A"), (9, "ｓame a")] + [(100 + k, "copy") for k in range(50)]
     df = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], "doc_id bigint, text string, form string, raw string")
     assert {tuple(r) for r in lookalike.lookalike_pairs(df).collect()} == {(1, 2), (2, 3), (1, 9), (2, 9), (3, 9)}
-    assert lookalike.lookalike_pairs(df.limit(0)).count() == 0
+    assert {tuple(r) for r in lookalike.lookalike_pairs(df, hot=1).collect()} == {(1, 2), (2, 3), (1, 9), (2, 9), (3, 9)}
+    assert {tuple(r) for r in lookalike.lookalike_groups(df).collect()} == {(1, 1, 2), (2, 1, 3), (3, 1, 2), (9, 1, 3)}
+    assert lookalike.lookalike_pairs(df.limit(0)).count() == lookalike.lookalike_groups(df.limit(0)).count() == 0
     out = {r.doc_id: r.canonical for r in lookalike.canonical_texts(df).collect()}
     assert out[5] is None and out[6] == "" and out[2] == "same a"
 
