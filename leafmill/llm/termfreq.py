@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from ..plans.lineage import cut
 
-#: Terms a leaf holds before it bursts, terms a worker's trie holds before it is emptied as a sorted run, and terms a prefix carries at least.
-LEAF, HELD, ROUTE = 512, 500_000, 20_000
+#: Terms a leaf holds before it bursts, terms a worker's trie holds before it is emptied as a sorted run; rows a prefix carries at most, and, where
+#: there are few, about so many prefixes as there are tasks to keep busy, of so many rows at least.
+LEAF, HELD, ROUTE, SPREAD, SMALL = 512, 500_000, 500_000, 64, 20_000
 _SCHEMA = "term string, occurrences bigint, records bigint"
 
 
@@ -110,21 +111,43 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _emit(trie)
 
 
-def adaptive_prefixes(runs: DataFrame, least: int = ROUTE) -> dict[int, list[str]]:
-    """Prefixes by length such that none but whole terms carries more than ``least`` rows or a 64th of all, if longer.
+def prefix_of(term: str, longer: dict[str, int]) -> str:
+    """The prefix a term travels by: its first character, lengthened as long as that is too heavy."""
+    p = term[:1]
+    while p in longer and len(p) < len(term):
+        p = term[: longer[p]]
+    return p
 
-    One small count per length; the driver sees the children of heavy prefixes only, at most 64 or rows/least of them.
+
+def _route(know):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        longer = know.value
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([prefix_of(t, longer) for t in batch.column(0).to_pylist()], pa.string()), *batch.columns], names=["route", "term", "occurrences", "records"])
+
+    return run
+
+
+def _common(a: str, b: str) -> int:
+    return next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+
+
+def adaptive_prefixes(runs: DataFrame, most: int = ROUTE) -> dict[str, int]:
+    """By each prefix that carries too many rows the length to lengthen it to, so that no prefix but a whole term carries more than ``most``.
+
+    One count a round.  All that is under a heavy prefix lies between its least and its greatest term, so it is lengthened at once to one more than what
+    these have in common, and as many rounds are made as prefixes branch, whatever they share.  The driver sees the heavy prefixes only, which
+    are no more than rows/most a round.
     """
-    rows = runs.count()
-    bar, heavy, out, depth = max(least, rows // 64), [""], {}, 0
-    while heavy and rows:
-        depth += 1
-        under = runs.filter(F.substring("term", 1, depth - 1).isin(heavy)) if depth > 1 else runs
-        seen = under.groupBy(F.substring("term", 1, depth).alias("p"), (F.length("term") < depth).alias("short")).agg(F.count(F.lit(1)).alias("n")).collect()
-        heavy = [r.p for r in seen if r.n > bar and not r.short]
-        out[depth] = [r.p for r in seen if r.n <= bar and not r.short]
-        out.setdefault(0, []).extend(r.p for r in seen if r.short)
-    return out
+    context, longer, rows = runs.sparkSession.sparkContext, {}, runs.count()
+    bar = min(most, max(SMALL, rows // SPREAD))
+    while True:
+        routed = runs.mapInArrow(_route(context.broadcast(dict(longer))), f"route string, {_SCHEMA}")
+        counts = routed.groupBy("route").agg(F.count(F.lit(1)).alias("n"), F.min("term").alias("a"), F.max("term").alias("b"))
+        heavy = counts.filter((F.col("n") > bar) & (F.col("b") != F.col("route"))).collect()
+        if not heavy:
+            return longer
+        longer |= {r.route: max(_common(r.a, r.b), len(r.route)) + 1 for r in heavy}
 
 
 def term_frequency(records: DataFrame, terms: str = "terms", rare_below: int = 3, common_above: float = 0.1) -> DataFrame:
@@ -134,17 +157,14 @@ def term_frequency(records: DataFrame, terms: str = "terms", rare_below: int = 3
     empty terms are not counted; a record without terms is no record here.  Result: ``term``, ``occurrences``,
     ``records``, ``mark``: 'rare' if in fewer than ``rare_below`` records, else 'common' if in more than ``common_above``
     of the records that hold any term, else null; ``too_common`` is that second test by itself.  An empty table gives no rows.
+    A merging task holds no more than ROUTE terms at once, however many there are.
     """
     held = records.select(F.filter(F.col(terms), lambda x: x.isNotNull() & (x != "")).alias("t"))
     spoken = cut(held.filter(F.size("t") > 0), "terms")
     total = spoken.count()
     runs = cut(spoken.mapInArrow(_count, _SCHEMA), "tries")
-    route = F.lit(None).cast("string")
-    for depth, prefixes in sorted(adaptive_prefixes(runs).items(), reverse=True):
-        if prefixes:
-            p = F.col("term") if depth == 0 else F.substring("term", 1, depth)
-            route = F.coalesce(route, F.when(p.isin(prefixes), p))
-    routed = runs.withColumn("route", route).repartition("route").sortWithinPartitions("route")
+    longer = adaptive_prefixes(runs, ROUTE)
+    routed = runs.mapInArrow(_route(records.sparkSession.sparkContext.broadcast(longer)), f"route string, {_SCHEMA}").repartition("route").sortWithinPartitions("route")
     merged = routed.select("route", "term", "occurrences", "records").mapInArrow(_merge, _SCHEMA)
     common = F.col("records") > F.lit(common_above) * F.lit(total)
     mark = F.when(F.col("records") < rare_below, "rare").when(common, "common")
