@@ -1,8 +1,8 @@
 """Problem 1: items that appear together.
 
-Method: pairs are packed into 64-bit codes, sorted run by run on disk (Spark's external row sorter spills sorted runs
-and merges them), run-length counted, exchanged, merged and run-length counted again; then lift and the
-continuity-corrected odds ratio are computed.
+Method: items get dense 32-bit numbers; pairs are packed into 64-bit codes, which each worker gathers into runs that it sorts and
+run-length counts; the runs are exchanged, merged (Spark's external row sorter spills sorted runs and merges them) and run-length counted
+again; then lift and the continuity-corrected odds ratio are computed.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from ..plans.lineage import cut
 from ..plans.skew import dense_ids, hot_cold_join
 
-#: Largest dictionary of items, in rows, that is broadcast; a row is about 100 bytes.
-BROADCAST_ITEMS = 500_000
+#: Largest dictionary of items that is broadcast, in rows and in characters of all items; codes that a worker's run holds.
+BROADCAST_ITEMS, BROADCAST_CHARS, RUN = 200_000, 8_000_000, 2_000_000
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -42,11 +42,35 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([code], pa.int64()), pa.array([n], pa.int64())], names=["code", "n"])
 
 
-def count_codes(codes: DataFrame) -> DataFrame:
-    """(code, n) of a frame with one column ``code BIGINT``: sorted runs, run-length, exchange, merge, run-length."""
-    schema = "code bigint, n bigint"
-    local = codes.select("code", F.lit(1).cast("bigint").alias("n")).sortWithinPartitions("code").mapInArrow(_runs, schema)
-    return local.repartition("code").sortWithinPartitions("code").mapInArrow(_runs, schema)
+def _codes(numbers):
+    """Sorted runs (code, n) of the pairs of each record's items, which come as strings to be numbered, or as numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = numbers.value if numbers is not None else None
+        held, size = [], 0
+
+        def flush() -> pa.RecordBatch:
+            codes, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(codes, pa.int64()), pa.array(n, pa.int64())], names=["code", "n"])
+
+        for batch in batches:
+            for row in batch.column(0).to_pylist():
+                ids = np.array(sorted({number[x] for x in row if x in number} if number is not None else set(row)), np.int64)
+                for k in range(len(ids) - 1):  # never all pairs of a large record at once
+                    held.append(ids[k] << 32 | ids[k + 1 :])
+                    size += len(ids) - 1 - k
+                    if size >= RUN:
+                        yield flush()
+                        held, size = [], 0
+        if held:
+            yield flush()
+
+    return run
+
+
+def count_codes(runs: DataFrame) -> DataFrame:
+    """(code, n) of sorted runs (code, n): exchange, merge, run-length."""
+    return runs.repartition("code").sortWithinPartitions("code").mapInArrow(_runs, "code bigint, n bigint")
 
 
 def cooccurrence(records: DataFrame, items: str = "items", min_pair: int = 1, min_lift: float = 0.0, broadcast_items: int = BROADCAST_ITEMS) -> DataFrame:
@@ -59,8 +83,9 @@ def cooccurrence(records: DataFrame, items: str = "items", min_pair: int = 1, mi
 
     ``min_pair`` and ``min_lift`` prune before pairs are made, without loss: an item in fewer than ``min_pair`` records
     has no such pair, and since n_ab ≤ min(n_a, n_b), an item in more than N/min_lift records cannot reach the lift.
-    Items get dense 32-bit numbers in sorted order.  A dictionary of up to ``broadcast_items`` rows is broadcast; a
-    larger one is joined by a shuffle in which only hot items (at most 2,000) are broadcast.
+    Items get dense 32-bit numbers in sorted order, once per record, before pairs are made.  A dictionary of up to ``broadcast_items``
+    items, and BROADCAST_CHARS characters, is broadcast; a larger one is joined by a shuffle in which only hot items (at most 2,000) are
+    broadcast.
     """
     base = cut(records.select(F.array_sort(F.array_distinct(F.filter(F.col(items), lambda x: x.isNotNull() & (x != "")))).alias("k")), "records")
     held = base.select(F.explode("k").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
@@ -69,21 +94,21 @@ def cooccurrence(records: DataFrame, items: str = "items", min_pair: int = 1, mi
     if min_lift > 0:
         kept = kept.filter(F.col("n") * F.lit(float(min_lift)) <= F.lit(float(total)))
     words = dense_ids(kept, "item")
-    size, uses = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    size, uses, chars = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.length("item")), F.lit(0))).first()
     if size >= 1 << 31:
         raise ValueError("more than 2^31 distinct items: raise min_pair")
-    pack = F.shiftleft(F.col("a"), 32).bitwiseOR(F.col("b"))
-    if size <= broadcast_items:
-        number = F.broadcast(words.select("item", "id"))
-        first = base.filter(F.size("k") > 1).select(F.posexplode("k").alias("i", "item"), "k").join(number, "item").select(F.col("id").alias("a"), F.expr("slice(k, i + 2, size(k))").alias("later"))
-        pairs = first.select("a", F.explode("later").alias("item")).join(number, "item").select("a", F.col("id").alias("b"))
+    small = size <= broadcast_items and chars <= BROADCAST_CHARS
+    spark = records.sparkSession
+    if small:
+        number = spark.sparkContext.broadcast({r.item: r.id for r in words.select("item", "id").toLocalIterator()})
+        runs = base.filter(F.size("k") > 1).select("k").mapInArrow(_codes(number), "code bigint, n bigint")
     else:
         single = base.filter(F.size("k") > 1).withColumn("rid", F.monotonically_increasing_id()).select("rid", F.explode("k").alias("item"))
-        ids = hot_cold_join(single, words, "item", "n", uses).groupBy("rid").agg(F.array_sort(F.collect_list("id")).alias("v"))
-        pairs = ids.select(F.posexplode("v").alias("i", "a"), "v").select("a", F.explode(F.expr("slice(v, i + 2, size(v))")).alias("b"))
-    counted = count_codes(pairs.select(pack.alias("code"))).filter(F.col("n") >= min_pair)
+        ids = hot_cold_join(single, words, "item", "n", uses).groupBy("rid").agg(F.collect_list("id").alias("v"))  # the items of one record
+        runs = ids.select("v").mapInArrow(_codes(None), "code bigint, n bigint")
+    counted = count_codes(runs).filter(F.col("n") >= min_pair)
     names = lambda s: words.select(F.col("id").alias(s), F.col("item").alias(f"concept_{s}"), F.col("n").alias(f"n_{s}"))
-    if size <= broadcast_items:
+    if small:
         names_a, names_b = F.broadcast(names("a")), F.broadcast(names("b"))
     else:
         names_a, names_b = names("a"), names("b")

@@ -77,13 +77,18 @@ def test_trie_bursts_and_keeps_order(monkeypatch):
     assert [(t, n) for t, n, _ in trie.walk()] == [(w, 3) for w in sorted(words)]
 
 
-def test_adaptive_prefixes_cover_every_term_once(spark):
-    terms = [f"{a}{b}{c}" for a in "ab" for b in "cdef" for c in "0123456789"] + ["a", "b", "ac"]
+def test_adaptive_prefixes_bound_every_route(spark, monkeypatch):
+    monkeypatch.setattr(termfreq, "SMALL", 1)
+    deep = "https://www.example.org/" * 4
+    terms = [f"{a}{b}{c}" for a in "ab" for b in "cdef" for c in "0123456789"] + ["a", "b", "ac"] + [f"{deep}{k:02}" for k in range(30)] + ["same"] * 20
     runs = spark.createDataFrame([(t, 1, 1) for t in terms], "term string, occurrences bigint, records bigint")
-    routes = termfreq.adaptive_prefixes(runs, least=5)
+    longer = termfreq.adaptive_prefixes(runs, most=5)
+    routes = {}
     for t in terms:
-        own = [p for d, ps in routes.items() if d for p in ps if t[:d] == p and len(t) >= d] + [p for p in routes.get(0, []) if p == t]
-        assert len(own) == 1, (t, own)
+        p = termfreq.prefix_of(t, longer)
+        assert t.startswith(p)
+        routes.setdefault(p, set()).add(t)
+    assert all(len(ts) <= 5 or ts == {p} for p, ts in routes.items()) and len(longer) < 20
 
 
 def brute_components(edges):
