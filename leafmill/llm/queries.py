@@ -56,7 +56,10 @@ def p2_files(spark: SparkSession, d: str) -> DataFrame:
 
 def _repaired(spark: SparkSession, d: str, texts: bool) -> DataFrame:
     titles = table(spark, d, "resources").select("chapter_title").unionByName(table(spark, d, "manifest").select("chapter_title"))
-    return scanfix.repair_scans(_oversized(spark, d), titles, texts=texts)
+    pages, resources = table(spark, d, "page_data"), table(spark, d, "resources")
+    paged = pages.select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), "text", F.coalesce("source_pdf", "document_id").alias("doc"))
+    items = paged.unionByName(resources.select(F.lit("resource").alias("kind"), F.col("load_id").alias("id"), "text", F.coalesce("source_file", "document_id").alias("doc")))
+    return scanfix.repair_scans(items, titles, texts=texts)
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:

@@ -1,12 +1,13 @@
 """Problem 3: noise in text from scanned pages.
 
 Method: a frequency lexicon of the whole corpus; a symmetric-delete index over it yields correction candidates for
-every distinct token; a weighted edit distance with confusion pairs, and the words on either side where candidates
-compete, pick the repair.  Lines are told apart by form, by the titles in the tables, and by how often they recur.
+every distinct token; a weighted edit distance with confusion pairs, frequency, and the words on either side wherever there is more than one candidate,
+pick the repair.  Lines are told apart by form, by the titles in the tables, and by how they recur within documents.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import ChainMap, Counter, defaultdict
 from collections.abc import Iterator, Mapping
@@ -32,8 +33,14 @@ REACH = 5
 #: A word of the lexicon occurs LEAST times, and a repair is so many times as frequent (see ``candidates``); where the lexicon is too large to broadcast, words that make
 #: up at least SHARE of all words (at most 1/SHARE) still are, and the others are joined.
 SHARE, LEAST, RATIO = 2e-6, 5, 15
-#: Cost of a confusion and most cost of a repair; items that a line recurs in to be a running title; most words, repairs, titles, or pairs of neighbours, that are broadcast.
-CONFUSED, MOST, RECURS, BROADCAST = 0.3, 0.95, 5, 1_000_000
+#: Cost of a confusion and most cost of a repair; what a tenfold frequency in distinct texts, and tenfold company by the words beside it, make up for.
+CONFUSED, MOST, FREQUENT, CONTEXT = 0.3, 0.95, 0.15, 0.3
+#: Texts in which a line recurs to be a running title, in documents that hold it in TWICE of their texts; part of its texts that these are.
+RECURS, TWICE, MOSTLY = 5, 2, 0.5
+#: Most words, repairs, titles, or pairs of neighbours, and characters of them, that are broadcast; most repeated texts told by their hashes.
+BROADCAST, BROADCAST_CHARS, REPEATED = 200_000, 8_000_000, 1_000_000
+#: Longer words are looked up by pieces of so many characters instead of by deletions; lines of data are no longer than DATA_LINE.
+LONG, GRAM, DATA_LINE = 32, 4, 90
 
 _SMALL = "of|and|the|in|for|on|to|a|an"
 _TITLE = re.compile(rf"(?=.*[A-Za-z])(?:[^a-z\sऀ-ॿ][^\sऀ-ॿ]*|l[a-z]\S*|{_SMALL})(?:[ \t]+(?:[^a-z\sऀ-ॿ][^\sऀ-ॿ]*|l[a-z]\S*|{_SMALL}))*")
@@ -63,7 +70,7 @@ def skeleton(line: str) -> str:
 
 
 def _title_like(s: str) -> bool:
-    return 4 <= len(s) <= 90 and s[-1] not in ".?!,;:।" and _TITLE.fullmatch(s) is not None and not _HEADING.match(s) and _PAGENO.fullmatch(s) is None and not _DATA.fullmatch(s) and not _UNIT.search(s)
+    return 4 <= len(s) and s[-1] not in ".?!,;:।" and _TITLE.fullmatch(s) is not None and not _HEADING.match(s) and _PAGENO.fullmatch(s) is None and not _DATA.fullmatch(s) and not _UNIT.search(s)
 
 
 def plain(token: str) -> str:
@@ -74,37 +81,42 @@ def plain(token: str) -> str:
     return t.lower()
 
 
-def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(what, key, n, d) of texts that stand in so many rows: times a word, or items a line, is seen in all rows, and in distinct texts."""
-    raw, lines, more, again = Counter(), Counter(), Counter(), Counter()
-    for batch in batches:
-        for text, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            seen = {skeleton(s) for s in {s for s in map(str.strip, text.split("\n")) if len(s) <= 90 and s and _title_like(s)}}
-            lines.update(seen)
-            tokens = (_BROKEN.sub(" ", text) if "\n" in text else text).split()
-            raw.update(tokens)
-            if rows > 1:
-                for k in seen:
-                    again[k] += rows - 1
-                for t in tokens:
-                    more[t] += rows - 1
-        if len(raw) + len(lines) > 500_000:
-            yield from _flush(raw, lines, more, again)
-            raw, lines, more, again = Counter(), Counter(), Counter(), Counter()
-    yield from _flush(raw, lines, more, again)
-
-
-def _flush(raw: Counter, lines: Counter, more: Counter, again: Counter) -> Iterator[pa.RecordBatch]:
+def _gather(words: bool, lines: bool):
+    """(what, key, doc, n, d) of texts (text, doc, rows): times a word is seen in all rows, and in distinct texts; texts of a document in which a line set like a title stands."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        raw, more, titles = Counter(), Counter(), Counter()
+        for batch in batches:
+            for text, doc, rows in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if lines:
+                    titles.update((k, doc) for k in {skeleton(s) for s in {s for s in map(str.strip, text.split("\n")) if s and _title_like(s)}})
+                if words:
+                    tokens = (_BROKEN.sub(" ", text) if "\n" in text else text).split()
+                    raw.update(tokens)
+                    for t in tokens if rows > 1 else ():
+                        more[t] += rows - 1
+            if len(raw) + len(titles) > 500_000:
+                yield from _flush(raw, more, titles)
+                raw, more, titles = Counter(), Counter(), Counter()
+        yield from _flush(raw, more, titles)
+
+    return run
+
+
+_GATHERED = "what string, key string, doc string, n bigint, d bigint"
+
+
+def _flush(raw: Counter, more: Counter, titles: Counter) -> Iterator[pa.RecordBatch]:
     made: dict[str, list[int]] = defaultdict(lambda: [0, 0])
     for t, n in raw.items():
-        if len(t) <= 60 and _WORDY.search(t):
+        if _WORDY.search(t):
             both = made[plain(t)]
             both[0] += n + more[t]
             both[1] += n
-    rows = [("w", k, n, d) for k, (n, d) in made.items() if len(k) > 1] + [("h", k, n + again[k], n) for k, n in lines.items()]
+    rows = [("w", k, None, n, d) for k, (n, d) in made.items() if len(k) > 1] + [("h", k, doc, n, n) for (k, doc), n in titles.items()]
     for k in range(0, len(rows), 50_000):
-        a, b, c, d = zip(*rows[k : k + 50_000], strict=True)
-        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(c, pa.int64()), pa.array(d, pa.int64())], names=["what", "key", "n", "d"])
+        a, b, c, d, e = zip(*rows[k : k + 50_000], strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(c, pa.string()), pa.array(d, pa.int64()), pa.array(e, pa.int64())], names=["what", "key", "doc", "n", "d"])
 
 
 def merged(word: str) -> str:
@@ -115,22 +127,30 @@ def merged(word: str) -> str:
     return word
 
 
+def gaps(word: str, listed: bool) -> set[str]:
+    """What a word is found by: what is left of it, its joint letters made one, when up to two characters are taken out.
+
+    A repair makes three confusions at most, which touch six pieces at most, so longer words share one of their eight or more
+    pieces of GRAM characters; those of the lexicon give all places of such pieces.
+    """
+    m = merged(word)
+    out = set()
+    if len(m) <= LONG + 4 * listed:
+        most = 1 if len(m) < 5 else 2
+        out = {"".join(m[i] for i in keep) for d in range(min(most, len(m) - 1) + 1) for keep in combinations(range(len(m)), len(m) - d)}
+    if len(m) > LONG - 4 * listed:
+        out |= {"\x00" + m[k : k + GRAM] for k in range(0, len(m) - GRAM + 1, 1 if listed else GRAM)}
+    return out
+
+
 def _deletions(what: str):
-    """(gap, word, n, d): what is left of a word, its joint letters made one, when up to two characters are taken out."""
+    """(gap, word, n, d) of lexicon words, or of words that are read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gaps, words, counts, apart = [], [], [], []
-            for word, n, once in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                m = merged(word)
-                most = 1 if len(m) < 5 else 2
-                for d in range(min(most, len(m) - 1) + 1):
-                    for keep in combinations(range(len(m)), len(m) - d):
-                        gaps.append("".join(m[i] for i in keep))
-                        words.append(word)
-                        counts.append(n)
-                        apart.append(once)
-            yield pa.RecordBatch.from_arrays([pa.array(gaps, pa.string()), pa.array(words, pa.string()), pa.array(counts, pa.int64()), pa.array(apart, pa.int64())], names=["gap", f"{what}", f"{what}_n", f"{what}_d"])
+            rows = [(g, word, n, once) for word, n, once in zip(*(c.to_pylist() for c in batch.columns), strict=True) for g in gaps(word, what == "meant")]
+            columns = zip(*rows, strict=True) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64()), strict=True)], names=["gap", f"{what}", f"{what}_n", f"{what}_d"])
 
     return run
 
@@ -147,7 +167,7 @@ def distance(read: str, meant: str, most: float = MOST) -> float:
     table[0][0] = 0.0
     for i in range(len(read) + 1):
         row, low = table[i], inf
-        for j in range(m + 1):
+        for j in range(max(0, i - 4), min(m, i + 4) + 1):  # a confusion moves by one at most, and there are three at most
             c = row[j]
             if c > most:
                 continue
@@ -177,7 +197,7 @@ def candidates(words: DataFrame, least: int) -> DataFrame:
     """
     good = words.filter((F.col("n") >= least) & F.col("key").rlike(r"^[a-z]+(['-][a-z]+)*$"))
     index = good.select("key", "n", "d").mapInArrow(_deletions("meant"), "gap string, meant string, meant_n bigint, meant_d bigint")
-    asked = words.filter(F.col("key").rlike(r"[a-zÀ-ɏ]") & (F.length("key") <= 40)).select("key", "n", "d").mapInArrow(_deletions("read"), "gap string, read string, read_n bigint, read_d bigint")
+    asked = words.filter(F.col("key").rlike(r"[a-zÀ-ɏ]")).select("key", "n", "d").mapInArrow(_deletions("read"), "gap string, read string, read_n bigint, read_d bigint")
     n, d, m, e = (F.col(c) for c in ("read_n", "read_d", "meant_n", "meant_d"))
     signs = F.col("read").rlike(r"[0-9|!$]") & ((m >= n) | (e >= d))
     frequent = (e >= F.lit(RATIO) * d) | (m >= F.lit(RATIO) * n) & ((d < F.lit(LEAST)) | (d <= e)) | signs
@@ -185,10 +205,20 @@ def candidates(words: DataFrame, least: int) -> DataFrame:
     return near.select("read", "read_n", "meant", "meant_n", "meant_d").distinct().mapInArrow(_weigh, "read string, read_n bigint, meant string, meant_n bigint, meant_d bigint, cost double")
 
 
+def _cased(token: str, p: str, to: str) -> str | None:
+    """``token`` with ``to`` in place of its plain form ``p``, set in capitals as that is."""
+    at = token.lower().find(p)
+    if at < 0:
+        return None
+    old = token[at : at + len(p)]
+    new = to.upper() if old.isupper() and len(old) > 1 and old.isalpha() else to.capitalize() if old[:1].isupper() else to
+    return token[:at] + new + token[at + len(p) :]
+
+
 class Repairer:
     """What one worker knows: repairs by word, words in competition, lexicon, running titles."""
 
-    def __init__(self, repairs: dict[str, str], rivals: dict[str, list[str]], pairs: dict[tuple[str, str], int], lexicon: Mapping[str, int], titles: set[str]) -> None:
+    def __init__(self, repairs: dict[str, str], rivals: dict[str, list[tuple[str, float]]], pairs: dict[tuple[str, str], int], lexicon: Mapping[str, int], titles: set[str]) -> None:
         self.repairs, self.rivals, self.pairs, self.lexicon, self.titles = repairs, rivals, pairs, lexicon, titles
         self.memo: dict[str, str | None] = {}
         self.asked: set[tuple[str, str]] | None = None
@@ -201,13 +231,7 @@ class Repairer:
             pass
         p = plain(token)
         to = self.repairs.get(p)
-        out = None
-        if to is not None:
-            at = token.lower().find(p)
-            if at >= 0:
-                old = token[at : at + len(p)]
-                new = to.upper() if old.isupper() and len(old) > 1 and old.isalpha() else to.capitalize() if old[:1].isupper() else to
-                out = token[:at] + new + token[at + len(p) :]
+        out = None if to is None else _cased(token, p, to)
         if len(self.memo) < 500_000:
             self.memo[token] = out
         return out
@@ -223,10 +247,11 @@ class Repairer:
                 if p in self.rivals:
                     left, right = plain(words[k - 1]) if k else "", plain(words[k + 1]) if k + 1 < len(words) else ""
                     if self.asked is not None:
-                        lefts = {left, *self.rivals.get(plain(before), ())}
-                        self.asked |= {x for v in self.rivals[p] for x in ((v, right), *((a, v) for a in lefts))}
-                    best = max(self.rivals[p], key=lambda v: self.pairs.get((left, v), 0) + self.pairs.get((v, right), 0))
-                    to = to.replace(self.repairs[p], best)
+                        lefts = {left, *(v for v, _ in self.rivals.get(plain(before), ()))}
+                        self.asked |= {x for v, _ in self.rivals[p] for x in ((v, right), *((a, v) for a in lefts))}
+                    company = lambda v: self.pairs.get((left, v), 0) + self.pairs.get((v, right), 0)  # noqa: B023, E731 - called at once
+                    best = min(self.rivals[p], key=lambda x: (x[1] - CONTEXT * math.log10(1 + company(x[0])), x))[0]
+                    to = _cased(w, p, best) or to
                 words[k] = to
                 found = True
         return found
@@ -262,11 +287,11 @@ class Repairer:
             s = line.strip()
             if not s:
                 lines.append(("blank", []))
-            elif len(s) <= 24 and _PAGENO.fullmatch(s):
+            elif _PAGENO.fullmatch(s):
                 noise.add("pageno")
-            elif len(s) <= 90 and _title_like(s) and skeleton(s) in self.titles:
+            elif _title_like(s) and skeleton(s) in self.titles:
                 noise.add("header")
-            elif len(s) <= 90 and (_HEADING.match(s) or _DATA.fullmatch(s) or _UNIT.search(s) and _TITLE.fullmatch(s)):
+            elif len(s) <= DATA_LINE and (_HEADING.match(s) or _DATA.fullmatch(s) or _UNIT.search(s) and _TITLE.fullmatch(s)):
                 lines.append(("apart", s.split()))
             else:
                 lines.append(("body", s.split()))
@@ -363,13 +388,13 @@ def _asks(know):
 
 
 def best_repairs(weighed: DataFrame) -> DataFrame:
-    """(key, meant, rivals, n, meant_d): the repair of every misreading, and the words that compete with it; a misreading is nobody's repair."""
+    """(key, meant, rivals, n, meant_d): the repair of every misreading, and all that compete for it with their scores; a misreading is nobody's repair."""
     reads = weighed.select(F.col("read").alias("meant")).distinct()
-    sound = weighed.join(reads, "meant", "left_anti").withColumn("score", F.col("cost") - F.lit(0.15) * F.log10("meant_d"))
+    sound = weighed.join(reads, "meant", "left_anti").withColumn("score", F.col("cost") - F.lit(FREQUENT) * F.log10("meant_d"))
     ranked = sound.groupBy("read").agg(F.max("read_n").alias("n"), F.array_sort(F.collect_list(F.struct("score", (-F.col("meant_n")).alias("m"), "meant", "meant_d"))).alias("c"))  # the lexicon words near one word
     first = F.get("c", F.lit(0))
-    rivals = F.transform(F.filter("c", lambda x: x["score"] <= first["score"] + 0.1), lambda x: x["meant"])
-    return ranked.select(F.col("read").alias("key"), first["meant"].alias("meant"), F.when(F.size(rivals) > 1, rivals).alias("rivals"), "n", first["meant_d"].alias("meant_d"))
+    rivals = F.transform("c", lambda x: F.struct(x["meant"].alias("meant"), x["score"].alias("score")))
+    return ranked.select(F.col("read").alias("key"), first["meant"].alias("meant"), F.when(F.size("c") > 1, rivals).alias("rivals"), "n", first["meant_d"].alias("meant_d"))
 
 
 def _broken(lines: list[str]) -> Iterator[tuple[str, str]]:
@@ -400,7 +425,7 @@ def _needs(safe: set[str]):
                 words = {*map(plain, {*text.split(), *(x for a, b in broken for x in (a + b, f"{a}-{b}"))}), *(x for a, b in halves for x in (a + b, f"{a}-{b}"))}
                 asked = {"w" + p for p in words if p not in safe and _WORDY.search(p)}
                 asked |= {"c" + x for a, b in halves if a and b for x in (a, b, a + b, f"{a}-{b}") if x not in safe}
-                asked |= {"h" + skeleton(x) for x in map(str.strip, text.split("\n")) if x and len(x) <= 90 and _title_like(x)}
+                asked |= {"h" + skeleton(x) for x in map(str.strip, text.split("\n")) if x and _title_like(x)}
                 keys += asked
                 kinds += [kind] * len(asked)
                 ids += [i] * len(asked)
@@ -416,7 +441,7 @@ def _own_repairer(own: list[dict] | None, lexicon: dict[str, int]) -> Repairer:
         by[x["k"][0]].append((x["k"][1:], x))
     counts = {x["meant"]: x["n"] for _, x in by["w"]} | {k: x["n"] for k, x in by["c"]}
     pairs = {tuple(k.split(" ")): x["n"] for k, x in by["p"]}
-    return Repairer({k: x["meant"] for k, x in by["w"]}, {k: x["rivals"] for k, x in by["w"] if x["rivals"]}, pairs, ChainMap(counts, lexicon), {k for k, _ in by["h"]})
+    return Repairer({k: x["meant"] for k, x in by["w"]}, {k: [(r["meant"], r["score"]) for r in x["rivals"]] for k, x in by["w"] if x["rivals"]}, pairs, ChainMap(counts, lexicon), {k for k, _ in by["h"]})
 
 
 def _apply_own(know, texts: bool):
@@ -438,14 +463,36 @@ def _apply_own(know, texts: bool):
 _FIXED = "kind string, id bigint, noise array<string>, text string"
 
 
+def _within(frame: DataFrame, key: str, rows: int) -> bool:
+    """Whether a frame is small enough to be broadcast."""
+    n, chars = frame.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length(key)), F.lit(0))).first()
+    return n <= rows and chars <= BROADCAST_CHARS
+
+
+def distinct_texts(body: DataFrame, repeated: int = REPEATED) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(single, again, held) of ``body`` (text, doc): texts that stand once (text, doc, rows), others (text, doc, rows) with null doc, and the others by document.
+
+    Only texts whose hash comes again travel; which hashes do is broadcast while they are no more than ``repeated``, else joined.
+    """
+    hashed = body.select("text", "doc", F.xxhash64("text").alias("h"))
+    twice = cut(hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "repeated")
+    known = F.broadcast(twice) if twice.count() <= repeated else twice
+    more = hashed.join(known, "h", "left_semi")
+    again = cut(more.groupBy("text").agg(F.count(F.lit(1)).alias("rows")), "again")
+    one = F.lit(1).cast("bigint").alias("rows")
+    return hashed.join(known, "h", "left_anti").select("text", "doc", one), again.select("text", F.lit(None).cast("string").alias("doc"), "rows"), more.select("text", "doc").distinct().select("text", "doc", one)
+
+
 def repair_scans(items: DataFrame, titles: DataFrame, texts: bool = True, share: float = SHARE, least: int = LEAST, recurs: int = RECURS, broadcast: int = BROADCAST) -> DataFrame:
     """(kind, id, noise, text) of every row: the kinds of noise found and the text as clean running paragraphs.
 
-    ``items`` has ``kind STRING, id BIGINT, text STRING``; ``titles`` one column of known chapter, subject or book titles.  ``noise`` is a
-    sorted array of 'chars', 'header', 'hyphen', 'pageno'.  Null text stays null and empty text empty, with empty
-    noise; repeated rows are repaired each; texts are taken whole.  Headings with section numbers and lines of data
-    stay on lines of their own.  A line is a running title if it is set like one and is a known title, or recurs in
-    ``recurs`` items.  Words in scripts without case are not repaired.
+    ``items`` has ``kind STRING, id BIGINT, text STRING`` and may have ``doc STRING``, the document of each text (else each kind is
+    one); ``titles`` one column of known chapter, subject or book titles.  ``noise`` is a sorted array of 'chars', 'header',
+    'hyphen', 'pageno'.  Null text stays null and empty text empty, with empty noise; repeated rows are repaired each; texts are taken
+    whole.  Headings with section numbers and lines of data, of DATA_LINE characters at most, stay on lines of their own.  A line is a running title if it is set
+    like one and is a known title, or runs through documents: it stands in ``recurs`` distinct texts or more of documents that
+    each hold it in TWICE or more of theirs, and these are MOSTLY of all that hold it.  So neither more text nor other documents make a
+    title of a line.  Words in scripts without case are not repaired; words and titles may be of any length.
 
     All counts are of all texts, of words both in rows and in distinct texts, so that many copies of one text neither make
     its misreadings words nor keep them from repair.  The lexicon, repairs, running titles and the counts of those neighbours that texts ask for
@@ -453,10 +500,14 @@ def repair_scans(items: DataFrame, titles: DataFrame, texts: bool = True, share:
     needs, and only the words that make up at least ``share`` of all are broadcast, so their number is bounded.
     """
     spark = items.sparkSession
-    base = items.select(F.col("kind").cast("string").alias("kind"), F.col("id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
+    doc = F.col("doc").cast("string") if "doc" in items.columns else F.lit(None).cast("string")
+    base = items.select(F.col("kind").cast("string").alias("kind"), F.col("id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"), F.coalesce(doc, F.col("kind").cast("string"), F.lit("")).alias("doc"))
     body = base.filter("text is not null and text <> ''")
-    once = cut(body.groupBy("text").agg(F.count(F.lit(1)).alias("n")), "texts")
-    stats = cut(once.mapInArrow(_gather, "what string, key string, n bigint, d bigint").groupBy("what", "key").agg(F.sum("n").alias("n"), F.sum("d").alias("d")), "lexicon")
+    single, again, held = distinct_texts(body.select("text", "doc"))
+    once = single.select("text").unionByName(again.select("text"))
+    gathered = single.mapInArrow(_gather(True, True), _GATHERED).unionByName(again.mapInArrow(_gather(True, False), _GATHERED)).unionByName(held.mapInArrow(_gather(False, True), _GATHERED))
+    stats = cut(gathered.groupBy("what", "key", "doc").agg(F.sum("n").alias("n"), F.sum("d").alias("d")), "lexicon")
+    base, body = base.drop("doc"), body.drop("doc")
     words = stats.filter("what = 'w'")
     total = words.agg(F.sum("n")).first()[0] or 0
     bar = max(least, int(total * share))
@@ -468,33 +519,34 @@ def repair_scans(items: DataFrame, titles: DataFrame, texts: bool = True, share:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([skeleton(t) for t in batch.column(0).to_pylist()], pa.string())], names=["key"])
 
-    lines = stats.filter("what = 'h'")
+    lines = stats.filter("what = 'h'").groupBy("key").agg(F.sum("n").alias("n"), F.coalesce(F.sum(F.when(F.col("n") >= TWICE, F.col("n"))), F.lit(0)).alias("runs"))
     named = known.mapInArrow(bones, "key string").filter("key <> ''").distinct()
-    running = cut(lines.filter(F.col("n") >= recurs).unionByName(lines.filter(F.col("n") < recurs).join(named, "key", "left_semi")).select("key", "n"), "titles")
+    runs = (F.col("runs") >= recurs) & (F.col("runs") >= F.lit(MOSTLY) * F.col("n"))
+    running = cut(lines.filter(runs).unionByName(lines.filter(~runs).join(named, "key", "left_semi")).select("key", "n"), "titles")
     rivals = repairs.filter("rivals is not null")
-    if all(x.count() <= broadcast for x in (repairs, running, sound)):
+    if all(_within(x, "key", broadcast) for x in (repairs, running, sound)):
         lexicon = {r.key: r.d for r in sound.select("key", "d").toLocalIterator()}
         fixes = repairs.select("key", "meant", "rivals").collect()
-        own = {r.key: r.meant for r in fixes}, {r.key: r.rivals for r in fixes if r.rivals}
+        own = {r.key: r.meant for r in fixes}, {r.key: [(x.meant, x.score) for x in r.rivals] for r in fixes if r.rivals}
         heads = {r.key for r in running.select("key").collect()}
-        pairs: dict[tuple[str, str], int] = {}
+        pairs: dict[tuple[str, str], int] | None = {}
         if own[1]:
             asked = body.mapInArrow(_asks(spark.sparkContext.broadcast((*own, {}, lexicon, heads))), "k string, kind string, id bigint").select("k").distinct()
-            seen = once.select("text").mapInArrow(_pairs({v for r in own[1].values() for v in r}), "k string, n bigint").groupBy("k").agg(F.sum("n").alias("n"))
-            held = cut(seen.join(asked, "k", "left_semi"), "pairs")
-            pairs = {tuple(r.k[1:].split(" ")): r.n for r in held.toLocalIterator()} if held.count() <= broadcast else None
+            seen = once.mapInArrow(_pairs({v for r in own[1].values() for v, _ in r}), "k string, n bigint").groupBy("k").agg(F.sum("n").alias("n"))
+            met = cut(seen.join(asked, "k", "left_semi"), "pairs")
+            pairs = {tuple(r.k[1:].split(" ")): r.n for r in met.toLocalIterator()} if _within(met, "k", broadcast) else None
         if pairs is not None:
             return base.mapInArrow(_apply(spark.sparkContext.broadcast((*own, pairs, lexicon, heads)), texts), _FIXED)
     lexicon = {r.key: r.d for r in words.filter(F.col("n") >= bar).select("key", "d").toLocalIterator()}
     misread = {r.key for r in repairs.filter(F.col("n") >= bar).select("key").toLocalIterator()}  # words of the lexicon
     needs = cut(body.mapInArrow(_needs(set(lexicon) - misread), "k string, kind string, id bigint"), "needs")
-    none = F.lit(None).cast("string").alias("meant"), F.lit(None).cast("array<string>").alias("rivals")
+    none = F.lit(None).cast("string").alias("meant"), F.lit(None).cast("array<struct<meant: string, score: double>>").alias("rivals")
     table = repairs.select(F.concat(F.lit("w"), "key").alias("k"), "meant", "rivals", F.col("meant_d").alias("n"))
     table = table.unionByName(running.select(F.concat(F.lit("h"), "key").alias("k"), *none, "n")).unionByName(sound.filter(F.col("n") < bar).select(F.concat(F.lit("c"), "key").alias("k"), *none, F.col("d").alias("n")))
     found = cut(_known(needs, table), "known")
     if not rivals.isEmpty():
         asked = cut(_with_own(body, found).filter("own is not null").mapInArrow(_asks(None), "k string, kind string, id bigint"), "asked")
-        seen = once.select("text").mapInArrow(_pairs(None), "k string, n bigint").join(asked.select("k").distinct(), "k", "left_semi").groupBy("k").agg(F.sum("n").alias("n"))
+        seen = once.mapInArrow(_pairs(None), "k string, n bigint").join(asked.select("k").distinct(), "k", "left_semi").groupBy("k").agg(F.sum("n").alias("n"))
         found = found.unionByName(_known(asked, seen.select("k", *none, "n")))
     return _with_own(base, found).mapInArrow(_apply_own(spark.sparkContext.broadcast(lexicon), texts), _FIXED)
 

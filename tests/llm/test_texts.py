@@ -308,7 +308,7 @@ def test_scan_repair(spark, broadcast):
         (107, "", set()),
         (109, "OPEN B0ARD\nthe small reading", {"header"}),
     ]
-    boards = [("resource", 200 + k, "Open Board\nthe small reading settles", "x") for k in range(6)]
+    boards = [("resource", 200 + k, f"Open Board\nthe small reading {k} settles", "x") for k in range(6)]
     rows = [*body, *(("page", i, t, "x") for i, t, _ in noisy), ("page", 108, None, "x"), *boards, ("page", 101, noisy[1][1], "x")]
     df = spark.createDataFrame(rows, "kind string, id bigint, text string, noise string")
     titles = spark.createDataFrame([("Membrane And Synapse ",), (None,), ("",)], "t string")
@@ -357,6 +357,41 @@ def test_scan_repair_of_a_misread_compound_broken_at_its_hyphen(spark, broadcast
     assert {(tuple(r.noise), r.text) for r in out} == {(("chars",), "the colour-shift remains")} and len(out) == 2
 
 
+def test_running_titles_recur_within_documents(spark):
+    rows = [("page", k, f"Red Kettle\nreading {k} of the small fragment" if k % 80 == 0 else f"reading {k} of the small fragment", f"book{k}") for k in range(400)]
+    rows += [("page", 1000 + k, f"Blue Lantern\nnote {k} about the evening", f"own{k // 3}") for k in range(6)] + [("page", 1006, "Blue Lantern\nthe last note", "elsewhere")]
+    df = spark.createDataFrame(rows, "kind string, id bigint, text string, doc string")
+    out = scanfix.repair_scans(df, spark.createDataFrame([], "t string")).collect()
+    assert {r.id for r in out if "header" in r.noise} == set(range(1000, 1007))
+
+
+@pytest.mark.parametrize("broadcast", [200_000, 0])
+def test_scan_repair_of_long_words_and_of_capitals_in_context(spark, broadcast):
+    long = "electroencephalographically" * 3
+    rows = [("page", k, f"{long} seen {k}", "x") for k in range(30)] + [("page", 100 + k, f"an old farm {k} stood", "x") for k in range(60)] + [("page", 200 + k, f"the new form {k} fills", "x") for k in range(60)]
+    rows += [("page", 1000, long.replace("electro", "e1ectro", 1) + " seen", "x"), ("page", 1001, "an old F0rm stood", "x"), ("page", 1002, "the new F0rm fills", "x"), ("page", 1003, "an old f0rm stood", "x")]
+    rows += [("page", 300 + k, f"the f0rm {k}", "x") for k in range(3)]
+    df = spark.createDataFrame(rows, "kind string, id bigint, text string, noise string")
+    twice = df.unionByName(spark.createDataFrame([("page", 5000 + k, f"quite unrelated words {k % 7} fill this text", "x") for k in range(400)], df.schema))
+    for items in (df, twice):
+        out = {r.id: (r.noise, r.text) for r in scanfix.repair_scans(items, spark.createDataFrame([], "t string"), broadcast=broadcast).filter("id between 1000 and 1003").collect()}
+        assert out[1000] == (["chars"], f"{long} seen") and out[1002] == (["chars"], "the new Form fills")
+        assert out[1001][0] == out[1003][0] == ["chars"] and out[1001][1].lower() == out[1003][1]
+
+
+def test_gaps_of_long_words_meet():
+    rng = random.Random(8)
+    for _ in range(300):
+        word = "".join(rng.choice("abcdefghiklmnorstuv") for _ in range(rng.randint(40, 80)))
+        read = word
+        for _ in range(3):
+            a, b = rng.choice(scanfix.CONFUSIONS)
+            at = read.find(b)
+            read = read[:at] + a + read[at + len(b) :] if at >= 0 else read
+        if scanfix.distance(read, word) < 9:
+            assert scanfix.gaps(read, False) & scanfix.gaps(word, True), (read, word)
+
+
 def test_weighted_distance():
     d = scanfix.distance
     assert d("srnall", "small") == pytest.approx(0.3) and d("pl0ttecl", "plotted") == pytest.approx(0.6)
