@@ -1,9 +1,9 @@
 """Problem 7: evaluation texts leaking into training text.
 
 Method: a distributed positional inverted index.  Of the documents those postings are stored that a test item can ask
-for; lists of neighbouring terms are intersected at once, as the documents are read, so the stored postings are of pairs.  Those of the
-rarest test pairs are intersected with offset adjustment (document position less item position); documents in which several
-agree are read again and aligned around the place, for exact and near matches.
+for; lists of neighbouring terms are intersected at once, as the documents are read, so the stored postings are of pairs, and those of one
+document stay together, so that lists are intersected where they lie.  From the rarest test pairs on, lists are intersected with offset
+adjustment (document position less item position); documents in which enough agree are read again and aligned around the place, for exact and near matches.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -81,27 +82,71 @@ class _Items:
         return [(own[i][x], i, x) for i, x in places]
 
 
-def _postings(know):
-    """(pair, doc_id, pos) of the asked pairs of neighbouring terms; a batch of texts is looked up at once."""
+def least_pairs(score: int, passage: int) -> int:
+    """Neighbouring pairs that stand unchanged in any passage: an edit breaks two, and long drifting passages hold as many in some part."""
+    return min(score - 1, min(n - 1 - 2 * (n // EDITED) for n in range(passage, passage + EDITED)))
+
+
+def _postings(know, least: int):
+    """(doc_id, pairs, places) of texts with ``least`` or more asked pairs of neighbouring terms; a batch of texts is looked up at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, asked = know.value
         get = code.get
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
             seqs = [[get(w, 0) for w in tokens(t)] for t in batch.column(1).to_pylist()]
             sizes = np.fromiter(map(len, seqs), np.int64, len(seqs))
-            flat = np.fromiter((c for seq in seqs for c in seq), np.int64, int(sizes.sum()))
+            flat = np.fromiter(chain.from_iterable(seqs), np.int64, int(sizes.sum()))
             if len(flat) < 2 or not len(asked):
                 continue
             starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
             doc = np.repeat(np.arange(len(seqs)), sizes)
             at = np.flatnonzero((flat[:-1] > 0) & (flat[1:] > 0) & (doc[:-1] == doc[1:]))
             pairs = flat[at] << 32 | flat[at + 1]
-            found = np.searchsorted(asked, pairs)
-            hit = asked[np.minimum(found, len(asked) - 1)] == pairs
+            hit = asked[np.minimum(np.searchsorted(asked, pairs), len(asked) - 1)] == pairs
             at, pairs = at[hit], pairs[hit]
-            yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(ids[doc[at]], pa.int64()), pa.array((at - starts[doc[at]]).astype(np.int32))], names=["pair", "doc_id", "pos"])
+            held = np.bincount(doc[at], minlength=len(seqs))
+            keep = held[doc[at]] >= least
+            at, pairs, docs = at[keep], pairs[keep], np.flatnonzero(held >= least)
+            ends = pa.array(np.concatenate(([0], np.cumsum(held[docs]))).astype(np.int32))
+            ids = batch.column(0).take(pa.array(docs))
+            yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(ends, pa.array(pairs)), pa.ListArray.from_arrays(ends, pa.array((at - starts[doc[at]]).astype(np.int32)))], names=["doc_id", "pairs", "places"])
+
+    return run
+
+
+def _intersect(know, least: int):
+    """(doc_id, item_id, lo, hi): offsets at which the rarest pairs of an item agree in AGREE places, and all its pairs in ``least``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rare, every = know.value
+        for batch in batches:
+            rows = []
+            for doc, pairs, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                cells: dict[tuple[int, int], set[int]] = defaultdict(set)
+                for p, at in zip(pairs, places, strict=True):
+                    for item, place in rare.get(p, ()):
+                        off = at - place
+                        cells[item, off // DRIFT * 2].add(place)
+                        cells[item, (off + DRIFT // 2) // DRIFT * 2 + 1].add(place)
+                asked: dict[int, set[int]] = defaultdict(set)
+                for (item, cell), seen in cells.items():
+                    if len(seen) >= AGREE:
+                        asked[item].add(cell)
+                if not asked:
+                    continue
+                found: dict[tuple[int, int], tuple[set[int], list[int]]] = defaultdict(lambda: (set(), []))
+                for p, at in zip(pairs, places, strict=True):
+                    for item, place in every.get(p, ()):
+                        if item in asked:
+                            off = at - place
+                            for cell in (off // DRIFT * 2, (off + DRIFT // 2) // DRIFT * 2 + 1):
+                                if cell in asked[item]:
+                                    found[item, cell][0].add(place)
+                                    found[item, cell][1].append(off)
+                rows += [(doc, item, min(offs), max(offs)) for (item, _), (seen, offs) in found.items() if len(seen) >= least]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 2 + [pa.int32()] * 2, strict=True)], names=["doc_id", "item_id", "lo", "hi"])
 
     return run
 
@@ -124,18 +169,15 @@ def align(item: list[int], window: list[int], score: int = SCORE, passage: int =
 
 
 def _verify(know, score: int, passage: int):
-    """Aligns the items with the stretches of a text where they may stand; ``hits`` come with the row or are broadcast by doc_id."""
+    """Aligns the items with the stretches of a text where they may stand."""
     least = min(score, passage - passage // EDITED)  # words that agree in any passage
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, seq, stock, known = know.value
+        code, seq, stock = know.value
         for batch in batches:
             rows = []
-            hits = [known.get(i) for i in batch.column(0).to_pylist()] if known is not None else batch.column(2).to_pylist()
-            for k, places in enumerate(hits):
-                if not places:
-                    continue
-                doc, codes = batch.column(0)[k].as_py(), [code.get(w, 0) for w in tokens(batch.column(1)[k].as_py())]
+            for doc, text, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                codes = [code.get(w, 0) for w in tokens(text)]
                 best: dict[int, tuple] = {}
                 for i, lo, hi in sorted({(h["item_id"], h["lo"], h["hi"]) for h in places}):
                     item = [-1 if k in stock[i] else c for k, c in enumerate(seq[i])]
@@ -157,25 +199,21 @@ _FOUND = "doc_id bigint, item_id bigint, score int, item_start int, item_stop in
 
 
 def _one_block(documents: DataFrame, rows: list[tuple[int, str]], stock: set[tuple[str, ...]], score: int, passage: int, broadcast: int) -> DataFrame:
-    spark, items = documents.sparkSession, _Items(rows, stock)
-    share = spark.sparkContext.broadcast
-    asked = np.array(sorted({p for i in items.seq for p in items.pairs(i) if p is not None}), np.int64)
-    postings = cut(documents.mapInArrow(_postings(share((items.code, asked))), "pair bigint, doc_id bigint, pos int"), "postings")
-    seen = {r.pair: r.n for r in postings.groupBy("pair").agg(F.count(F.lit(1)).alias("n")).collect()}  # no more rows than the block has pairs
-    seeds = F.broadcast(spark.createDataFrame(items.seeds(seen), "pair bigint, item_id bigint, place int"))  # no more than the block has words
-    hits = postings.join(seeds, "pair").select("doc_id", "item_id", "place", (F.col("pos") - F.col("place")).alias("offset"))
-    grid = F.explode(F.array(F.floor(F.col("offset") / DRIFT) * 2, F.floor((F.col("offset") + DRIFT // 2) / DRIFT) * 2 + 1))
-    agreed = hits.withColumn("cell", grid).groupBy("doc_id", "item_id", "cell").agg(F.countDistinct("place").alias("n"), F.min("offset").alias("lo"), F.max("offset").alias("hi")).filter(F.col("n") >= AGREE)
-    wanted = cut(agreed.select("doc_id", "item_id", "lo", "hi"), "candidates")
-    known = None
-    if wanted.count() <= broadcast:
-        known = defaultdict(list)
-        for r in wanted.toLocalIterator():
-            known[r.doc_id].append({"item_id": r.item_id, "lo": r.lo, "hi": r.hi})
-        texts = documents
-    else:
-        texts = documents.join(wanted.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "lo", "hi")).alias("hits")), "doc_id").select("doc_id", "text", "hits")
-    return texts.mapInArrow(_verify(share((items.code, items.seq, items.stock, known)), score, passage), _FOUND)
+    share, items, least = documents.sparkSession.sparkContext.broadcast, _Items(rows, stock), least_pairs(score, passage)
+    every: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    for i in items.seq:
+        for k, p in enumerate(items.pairs(i)):
+            if p is not None:
+                every[p].append((i, k))
+    index = cut(documents.mapInArrow(_postings(share((items.code, np.array(sorted(every), np.int64))), least), "doc_id bigint, pairs array<bigint>, places array<int>"), "postings")
+    seen = {r.pair: r.n for r in index.select(F.explode("pairs").alias("pair")).groupBy("pair").agg(F.count(F.lit(1)).alias("n")).collect()}  # no more rows than the block has pairs
+    rare: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    for p, i, k in items.seeds(seen):
+        rare[p].append((i, k))
+    wanted = index.mapInArrow(_intersect(share((dict(rare), dict(every))), least), "doc_id bigint, item_id bigint, lo int, hi int").distinct()
+    hits = cut(wanted.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "lo", "hi")).alias("hits")), "candidates")  # the items of one document
+    near = documents.join(F.broadcast(hits) if hits.count() <= broadcast else hits, "doc_id").select("doc_id", "text", "hits")
+    return near.mapInArrow(_verify(share((items.code, items.seq, items.stock)), score, passage), _FOUND)
 
 
 def leaks(documents: DataFrame, items: DataFrame, score: int = SCORE, passage: int = PASSAGE, block_tokens: int = BLOCK_TOKENS, broadcast: int = BROADCAST) -> DataFrame:
@@ -187,7 +225,7 @@ def leaks(documents: DataFrame, items: DataFrame, score: int = SCORE, passage: i
     nothing.  Null and empty texts, and texts without doc_id, match nothing; of rows with one item_id the texts are searched as one item each
     under that id; a document repeated under one doc_id is searched once for each row.  The test set is the stated
     query set; beyond ``block_tokens`` it is searched in blocks.  Documents are read once for the postings and once more where they
-    have candidates: up to ``broadcast`` candidates are told to the second reading, more are joined with it.
+    have candidates; up to ``broadcast`` such documents are told by a broadcast, more by a shuffle.
     """
     asked = [(r.item_id, r.text) for r in items.select("item_id", "text").filter("text is not null and item_id is not null").distinct().toLocalIterator()]
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("text is not null and doc_id is not null")
