@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,8 @@ from ..operators import segment as S
 from ..operators import stats as A
 from ..operators import tables as B
 from ..operators import vocabulary as V
-from ..operators.boards import OPEN, STATE, Board, Mark
+from ..operators.boards import NATIONAL, OPEN, OPEN_CLASS, STATE
+from . import board_sql as Q
 from .skew import strip
 
 _REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -63,15 +65,6 @@ def _chapters(spark: SparkSession, d: str) -> DataFrame:
     return docs.join(titles, "file", "left").select("doc_id", "source", "subject", F.coalesce("class_no", F.lit(12)).alias("class_no"), "chapter_no", F.coalesce("chapter_title", F.lit("")).alias("chapter_title"))
 
 
-# Blocks as they occur in the test pages, to run the recipe of marks where the books' own marks do not occur.
-PAGES_BOARD = Board(
-    name="pages",
-    section=OPEN.section,
-    marks=(Mark(r"^(Label|Pour|Repeat) ", "activity"), Mark(r"^(State|Using) ", "exercise"), Mark(r"^For example", "example", hard=False, keep=True), Mark(r"^(Compare|Why) ", "exercise", hard=False, keep=True, within="exercise")),
-    clean=T.clean_base,
-    suppress=("exercise",),
-)
-
 _STRIP = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
 _LINES = "lines AS (SELECT source_pdf AS doc_id, page_no, page_id AS page_seq, unnest(range(len(string_split(text, chr(10))))) AS line_no, unnest(string_split(text, chr(10))) AS line FROM page_data)"
 _ORDER = "ORDER BY page_no, page_seq, line_no"
@@ -79,28 +72,69 @@ _DOC = r"coalesce(upper(regexp_replace(document_id, '^\s+|\s+$', '', 'g')), '?')
 _CANON = r"regexp_replace(regexp_replace(regexp_replace(replace(replace(lower(regexp_replace({0}, '^\s+|\s+$', '', 'g')), '''', ''), '-', ' '), '[^a-z0-9\s]', '', 'g'), '^\s+|\s+$', '', 'g'), '\s+', '_', 'g')"
 
 
-@query()
+def _marked_pages(spark: SparkSession, d: str, board: str) -> DataFrame:
+    """All pages, one line in so many replaced by a line that starts a block in the books of the board."""
+    lines = Q.MARK_LINES[board]
+    case = lambda x, i: reduce(lambda c, k: F.when(F.pmod(F.col("page_seq") * 7 + i, F.lit(Q.EVERY)) == k, lines[k]).otherwise(c), range(len(lines)), x)
+    return _pages(spark, d).withColumn("text", F.array_join(F.transform(F.split("text", "\n", -1), case), "\n"))
+
+
+def _sql(board: str, *parts: str, final: str) -> str:
+    return f"WITH {', '.join([Q.pages(Q.MARK_LINES[board]), Q.chapters(_SUBJECT), *parts])} {final}"
+
+
+_RESOURCE = "doc_id, chunk_seq, document_id, resource_id, resource_type, class_no, subject, chapter_no, chapter_title, section, subsection, page_start, page_end, text, image_path, image_caption, description, summary, concepts, figure_references, has_equation"
+_BUILT = (Q.chunks(OPEN), Q.merged("chunks", "merged"), Q.built("merged", "built", R.OPEN_CHUNK_TO_TYPE, r"upper(regexp_replace(doc_id, '(?i)\.pdf$', ''))"))
+
+
+def _built(spark: SparkSession, d: str) -> DataFrame:
+    pages = _marked_pages(spark, d, "open")
+    chunks = S.merge_short(S.segment(pages, OPEN, _chapters(spark, d)))
+    return R.validate(R.build(chunks, F.regexp_replace(F.upper("doc_id"), r"\.PDF$", ""), pages, R.OPEN_CHUNK_TO_TYPE))[0]
+
+
+@query(_sql("open", *_BUILT, final="SELECT resource_type, count(*)::BIGINT AS n, sum(has_equation::INT)::BIGINT AS with_equation, sum(length(text))::BIGINT AS characters FROM built GROUP BY resource_type"))
 def pages_to_resources(spark: SparkSession, d: str) -> DataFrame:
     """Flagship: pages to chunks, merged, built, validated; resources by type."""
-    pages = _pages(spark, d)
-    chunks = S.merge_short(S.segment(pages, OPEN, _chapters(spark, d)))
-    built = R.build(chunks, F.regexp_replace(F.upper("doc_id"), r"\.PDF$", ""), pages, R.OPEN_CHUNK_TO_TYPE)
-    return R.validate(built)[0].groupBy("resource_type").agg(_big(F.count(F.lit(1))).alias("n"), _big(F.sum(F.col("has_equation").cast("int"))).alias("with_equation"), _big(F.sum(F.length("text"))).alias("characters"))
+    return _built(spark, d).groupBy("resource_type").agg(_big(F.count(F.lit(1))).alias("n"), _big(F.sum(F.col("has_equation").cast("int"))).alias("with_equation"), _big(F.sum(F.length("text"))).alias("characters"))
 
 
-@query()
+@query(_sql("open", *_BUILT, final=f"SELECT {_RESOURCE} FROM built"))
+def resources_built(spark: SparkSession, d: str) -> DataFrame:
+    """The resources themselves, all columns."""
+    return _built(spark, d)
+
+
+@query(_sql("open", Q.chunks(OPEN), final="SELECT * FROM chunks"))
 def chunks_open(spark: SparkSession, d: str) -> DataFrame:
-    return S.segment(_pages(spark, d), OPEN, _chapters(spark, d))
+    return S.segment(_marked_pages(spark, d, "open"), OPEN, _chapters(spark, d))
 
 
-@query()
+@query(_sql("open", Q.chunks(OPEN_CLASS), Q.merged("chunks", "merged", most_page=True, distinct=True), final="SELECT * FROM merged"))
+def chunks_class(spark: SparkSession, d: str) -> DataFrame:
+    """The open board by its class-based rules."""
+    from .pipelines import class_book
+
+    return class_book(_marked_pages(spark, d, "open"), _chapters(spark, d))
+
+
+_CLASSES = "of_all AS (SELECT * FROM chunks WHERE class_no >= 10 UNION ALL BY NAME SELECT * FROM lower_chunks WHERE class_no < 10)"
+
+
+@query(_sql("national", Q.chunks(NATIONAL), Q.lower_chunks(), _CLASSES, Q.merged("of_all", "merged"), final="SELECT * FROM merged"))
 def chunks_national(spark: SparkSession, d: str) -> DataFrame:
-    return S.parse_national(_pages(spark, d), _chapters(spark, d))
+    return S.parse_national(_marked_pages(spark, d, "national"), _chapters(spark, d))
 
 
-@query()
+@query(_sql("state", Q.chunks(STATE), Q.merged("chunks", "merged", most_page=True, distinct=True), final="SELECT * FROM merged"))
 def chunks_state(spark: SparkSession, d: str) -> DataFrame:
-    return S.merge_short(S.segment(_pages(spark, d), STATE, _chapters(spark, d)), page_end="max", distinct_equations=True)
+    return S.merge_short(S.segment(_marked_pages(spark, d, "state"), STATE, _chapters(spark, d)), page_end="max", distinct_equations=True)
+
+
+@query(_sql("sticky", Q.chunks(STATE), final="SELECT * FROM chunks"))
+def chunks_state_exercises(spark: SparkSession, d: str) -> DataFrame:
+    """The state board behind its exercises, where sections and inline marks are off for good."""
+    return S.segment(_marked_pages(spark, d, "sticky"), STATE, _chapters(spark, d))
 
 
 @query(f"WITH {_LINES} SELECT doc_id, page_no, page_seq, line_no::BIGINT AS line_no, line AS text FROM lines")
@@ -124,11 +158,12 @@ def dehyphenate(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "page_data").filter("text is not null").select("page_id", F.regexp_replace("text", r"([A-Za-z]+)-\n([a-z]+)", "$1$2\n").alias("text"))
 
 
-@query()
+@query(f"SELECT page_id, {Q.clean_base('text')} AS base, {Q.clean_module('text')} AS module, {Q.clean_science('text')} AS science, {Q.preprocess_module('text')} AS module_page, {Q.preprocess_state('text')} AS state_page FROM (SELECT page_id, {Q.marked_text('text', 'page_id', Q.MARK_LINES['state'])} AS text FROM page_data)")
 def clean_pages(spark: SparkSession, d: str) -> DataFrame:
-    """The cleanings with back-references, which the checking engine cannot express."""
+    """Every cleaning, over pages that also hold what it takes out."""
     c = F.col("text")
-    return _t(spark, d, "page_data").select("page_id", T.clean_module(c).alias("module"), T.clean_science(c).alias("science"), T.preprocess_module(c).alias("module_page"), T.preprocess_state(c).alias("state_page"))
+    pages = _marked_pages(spark, d, "state")
+    return pages.select(F.col("page_seq").alias("page_id"), T.clean_base(c).alias("base"), T.clean_module(c).alias("module"), T.clean_science(c).alias("science"), T.preprocess_module(c).alias("module_page"), T.preprocess_state(c).alias("state_page"))
 
 
 @query(rf"WITH {_LINES}, s AS (SELECT *, {_STRIP.format('line')} AS s FROM lines) SELECT doc_id, page_seq, line_no::BIGINT AS line_no, regexp_replace(regexp_extract(s, '^(\d{{1,2}}\.\d{{1,2}}(?:\.\d{{1,2}})?\.?)\s+([A-Za-z].+?)\s*$', 1), '\.$', '') AS section_no, regexp_extract(s, '^(\d{{1,2}}\.\d{{1,2}}(?:\.\d{{1,2}})?\.?)\s+([A-Za-z].+?)\s*$', 2) AS title FROM s WHERE regexp_matches(s, '^(\d{{1,2}}\.\d{{1,2}}(?:\.\d{{1,2}})?\.?)\s+([A-Za-z].+?)\s*$')")
@@ -138,26 +173,11 @@ def sections(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", "page_seq", _big("line_no").alias("line_no"), F.regexp_replace(F.regexp_extract(s, OPEN.section, 1), r"\.$", "").alias("section_no"), F.regexp_extract(s, OPEN.section, 2).alias("title"))
 
 
-_MARKED = rf"""{_LINES},
-s AS (SELECT *, {_STRIP.format('line')} AS s FROM lines),
-m AS (SELECT *, regexp_matches(s, '^(\d{{1,2}}\.\d{{1,2}}(?:\.\d{{1,2}})?\.?)\s+([A-Za-z].+?)\s*$') AS sec,
-  CASE WHEN regexp_matches(s, '^(Label|Pour|Repeat) ') THEN 'activity' WHEN regexp_matches(s, '^(State|Using) ') THEN 'exercise' END AS hard,
-  regexp_matches(s, '^For example') AS soft, regexp_matches(s, '^(Compare|Why) ') AS inside FROM s),
-b AS (SELECT *, last_value(CASE WHEN sec THEN 'section' ELSE hard END IGNORE NULLS) OVER (PARTITION BY doc_id {_ORDER} ROWS UNBOUNDED PRECEDING) AS base FROM m),
-a AS (SELECT *, CASE WHEN sec THEN 'content' WHEN hard IS NOT NULL THEN hard WHEN soft AND coalesce(base, '') <> 'exercise' THEN 'example' WHEN inside AND base = 'exercise' THEN 'exercise' END AS kind FROM b),
-marked AS (SELECT *, sum(CASE WHEN kind IS NOT NULL THEN 1 ELSE 0 END) OVER w AS chunk, coalesce(last_value(kind IGNORE NULLS) OVER w, 'content') AS mode FROM a WINDOW w AS (PARTITION BY doc_id {_ORDER} ROWS UNBOUNDED PRECEDING))"""
-
-
-@query(f"WITH {_MARKED} SELECT doc_id, page_seq, line_no::BIGINT AS line_no, chunk::BIGINT AS chunk, mode FROM marked")
+@query(_sql("national", Q.marked(NATIONAL), final="SELECT doc_id, page_seq, line_no::BIGINT AS line_no, chunk::BIGINT AS chunk, mode, keep, section_no, section, subsection_no, subsection FROM marked"))
 def segment_lines(spark: SparkSession, d: str) -> DataFrame:
-    """Hard, soft, suppressed and inner marks with the carried mode, line by line."""
-    return S.mark_lines(L.pages_to_lines(_pages(spark, d)), PAGES_BOARD).select("doc_id", "page_seq", _big("line_no").alias("line_no"), _big("chunk").alias("chunk"), "mode")
-
-
-@query(f"WITH {_MARKED}, c AS (SELECT doc_id, chunk, arg_min(page_no, (page_no, page_seq, line_no)) AS page_start, arg_max(page_no, (page_no, page_seq, line_no)) AS last_page FROM marked GROUP BY doc_id, chunk) SELECT doc_id, chunk::BIGINT AS chunk, page_start, coalesce(lead(page_start) OVER (PARTITION BY doc_id ORDER BY chunk), last_page) AS page_end FROM c")
-def chunk_pages(spark: SparkSession, d: str) -> DataFrame:
-    marked = S.mark_lines(L.pages_to_lines(_pages(spark, d)), PAGES_BOARD)
-    return S.raw_chunks(marked, T.clean_base).select("doc_id", _big("chunk").alias("chunk"), "page_start", "page_end")
+    """Hard, soft, suppressed and inner marks with the carried mode and sections, line by line."""
+    marked = S.mark_lines(L.pages_to_lines(_marked_pages(spark, d, "national"), drop_page_numbers=True), NATIONAL)
+    return marked.select("doc_id", "page_seq", _big("line_no").alias("line_no"), _big("chunk").alias("chunk"), "mode", "keep", "section_no", "section", "subsection_no", "subsection")
 
 
 @query(rf"""WITH {_LINES}, s AS (SELECT *, {_STRIP.format('line')} AS s FROM lines),
@@ -486,10 +506,9 @@ def page_equations(spark: SparkSession, d: str) -> DataFrame:
     return L.pages_with_equations(_pages(spark, d))
 
 
-@query()
+@query(_sql("open", Q.chunks(OPEN), final="SELECT doc_id, chunk_seq, printf('%3d %-18s %-8s %-10s %4s-%-4s', chunk_seq, chunk_type, coalesce(section_no, '-'), coalesce(subsection_no, '-'), coalesce(page_start::VARCHAR, '-'), coalesce(page_end::VARCHAR, '-')) AS line FROM chunks"))
 def chunk_audit(spark: SparkSession, d: str) -> DataFrame:
-    return A.audit_lines(S.segment(_pages(spark, d), OPEN, _chapters(spark, d)))
-
+    return A.audit_lines(S.segment(_marked_pages(spark, d, "open"), OPEN, _chapters(spark, d)))
 
 
 @query(rf"SELECT page_id, concat_ws(chr(10), nullif({_STRIP.format('text')}, ''), CASE WHEN len(equations) > 0 THEN 'x=1' END) AS text, (CASE WHEN len(equations) > 0 THEN 1 ELSE 0 END)::BIGINT AS equations FROM page_data WHERE text IS NOT NULL AND NOT contains(text, '<') AND NOT contains(text, '&')")
