@@ -110,6 +110,8 @@ STATE = Board(
     ),
     distinct_equations=True,
 )
+#: The lower classes have headings for marks; see ``segment.headings_lower``.
+LOWER = Board(name="lower", section=OPEN.section, marks=(), clean=T.clean_science, default="explanation")
 BOARDS = {b.name: b for b in (OPEN, OPEN_CLASS, NATIONAL, STATE)}
 
 # Titles of chapters whose extraction lacks them, titles that are none, and headings of the lower classes.

@@ -1,21 +1,22 @@
 """Cutting documents into typed chunks.
 
 The parsers' mutable mode has a closed form: a soft mark counts unless the last hard mark is a suppressing one, so the
-mode is a running last value and the chunk number a running sum; both run block-wise (``plans.scan``).
+mode is a running last value and the chunk number a running sum.  Both run inside blocks of pages; what a block hands on is one
+row; and all that belongs to a chunk from its start on is run over its parts, of which there are as many as chunks and blocks, not over lines.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..plans.lineage import cut
-from ..plans.scan import running
+from ..plans.scan import running, spread
 from ..plans.skew import strip
-from .boards import HEADINGS, NOT_HEADINGS, Board
+from .boards import HEADINGS, LOWER, NOT_HEADINGS, Board
 from .lines import blank_context, pages_to_lines, pages_with_equations
 
 ORDER = ["page_no", "page_seq", "line_no"]
@@ -26,88 +27,111 @@ def _either(cols: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, cols, F.lit(False))
 
 
-def mark_lines(lines: DataFrame, board: Board, inline: bool = True) -> DataFrame:
-    """``lines`` with chunk (number), mode, starts, keep, section_no, section, subsection_no, subsection.
-
-    Line for line what the boards' parsers do; inline triggers of the state board are matched at the start of their own line, which
-    keeps the trigger line's text (the reference's buffer search loses it).
-    """
+def _started(lines: DataFrame, board: Board, inline: bool) -> DataFrame:
+    """``lines`` with starts, kind, keep and, where a section starts, one and two (section and subsection); part: starts so far in the block."""
     s = strip(F.col("text"))
     number, title = F.regexp_extract(s, board.section, 1), F.regexp_extract(s, board.section, 2)
     base = lines.withColumn("__s", s).withColumn("__no", F.nullif(F.regexp_replace(number, r"\.$", ""), F.lit(""))).withColumn("__title", T.per_word_capitals(title) if board.title_capitals else strip(title))
-    hits = F.lit(None).cast("string")
-    for k, m in reversed(list(enumerate(board.marks))):
-        if m.within is None:
-            hits = F.when(F.col("__s").rlike(m.pattern), F.lit(k)).otherwise(hits)
-    inside = F.lit(None).cast("string")
-    for k, m in reversed(list(enumerate(board.marks))):
-        if m.within is not None:
-            inside = F.when(F.col("__s").rlike(m.pattern), F.lit(k)).otherwise(inside)
-    # Every running value reads its input twice; lines are classified once and written, so that no plan grows by powers of two.
-    base = cut(base.withColumn("__mark", hits.cast("int")).withColumn("__inside", inside.cast("int")), "lines")
-    section = F.col("__no").isNotNull()
-    kinds = F.array(*(F.lit(m.kind) for m in board.marks))
-    hard_ids = [k for k, m in enumerate(board.marks) if m.hard and m.within is None]
-    keep_ids = [k for k, m in enumerate(board.marks) if m.keep]
+    first = lambda marks: reduce(lambda rest, m: F.when(F.col("__s").rlike(m[0]), m[1]).otherwise(rest), reversed(marks), F.lit(None))
+    plain = first([(m.pattern, F.lit(k)) for k, m in enumerate(board.marks) if m.within is None]).cast("int")
+    inner = first([(m.pattern, F.lit(k)) for k, m in enumerate(board.marks) if m.within is not None]).cast("int")
+    trigger = first([(p, F.lit(k)) for p, k in board.inline] if inline else []).cast("string")
+    # Lines are classified once and written: what blocks hand on is read from there as well.
+    base = cut(base.withColumn("__mark", plain).withColumn("__inside", inner).withColumn("__inline", trigger).drop("__s"), "lines")
+    kinds, section = F.array(*(F.lit(m.kind) for m in board.marks)), F.col("__no").isNotNull()
     kind = F.get(kinds, F.col("__mark"))
+    w = Window.partitionBy("doc_id", "block").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("doc_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = base.groupBy("doc_id", "block")
     if board.sticky:
-        ahead = running(base, "doc_id", "block", ORDER, sums={"__stuck": (F.coalesce(kind == board.sticky, F.lit(False))).cast("int")})
-        was = F.col("__stuck") - F.coalesce(kind == board.sticky, F.lit(False)).cast("int") > 0
-        first = F.when(section & ~was, F.lit("section")).when(F.col("__mark").isNotNull(), F.lit("mark")).when(was & F.col("__inside").isNotNull(), F.lit("inside"))
-        trigger = F.lit(None).cast("string")
-        if inline:
-            for pattern, what in reversed(board.inline):
-                trigger = F.when(F.col("__s").rlike(pattern), what).otherwise(trigger)
-        typed = ahead.withColumn("__how", F.coalesce(first, F.when(~was & trigger.isNotNull(), F.lit("inline"))))
-        how = F.col("__how")
-        started = F.when(how == "section", F.lit(board.default)).when(how == "mark", kind).when(how == "inside", F.get(kinds, F.col("__inside"))).when(how == "inline", trigger)
-        flagged = typed.withColumn("__kind", started).withColumn("starts", how.isNotNull()).withColumn("__keep", how.isNull() | (how == "inline")).withColumn("__sec", how == "section")
+        stuck = F.coalesce(kind == board.sticky, F.lit(False)).cast("int")
+        carry = blocks.agg(F.sum(stuck).alias("__b")).select("doc_id", "block", F.coalesce(F.sum("__b").over(before), F.lit(0)).alias("__b"))
+        was = F.col("__b") + F.sum(stuck).over(w) - stuck > 0
+        how = F.when(section & ~F.col("__was"), "section").when(F.col("__mark").isNotNull(), "mark").when(F.col("__was") & F.col("__inside").isNotNull(), "inside").when(~F.col("__was") & F.col("__inline").isNotNull(), "inline")
+        typed = base.join(carry, ["doc_id", "block"]).withColumn("__was", was).withColumn("__how", how)
+        keep = F.col("__how").isNull() | (F.col("__how") == "inline")
     else:
         # A section outranks marks wherever it counts; a hard section always does, a soft one unless it is suppressed.
-        is_hard = F.coalesce(F.col("__mark").isin(hard_ids), F.lit(False))
-        hard_kind = F.when(section, F.lit("section")).when(is_hard, kind) if board.section_hard else F.when(is_hard, kind)
-        if not board.section_hard:
-            hard_kind = F.when(is_hard & ~section, kind)  # a line that is both a section and a mark cannot be
-        ahead = running(base, "doc_id", "block", ORDER, lasts={"__base": hard_kind})
+        is_hard = F.coalesce(F.col("__mark").isin([k for k, m in enumerate(board.marks) if m.hard and m.within is None]), F.lit(False))
+        hard = F.when(section, F.lit("section")).when(is_hard, kind) if board.section_hard else F.when(is_hard & ~section, kind)
+        last = F.max(F.when(hard.isNotNull(), F.struct(*ORDER, hard.alias("v")))).getField("v")
+        carry = blocks.agg(last.alias("__b")).select("doc_id", "block", F.last("__b", ignorenulls=True).over(before).alias("__b"))
         off = F.coalesce(F.col("__base").isin(list(board.suppress)), F.lit(False))
-        hard_here = hard_kind.isNotNull()
-        soft_section = section & ~off if not board.section_hard else section
-        soft_mark = F.col("__mark").isNotNull() & ~is_hard & ~off
-        within = reduce(lambda a, b: a | b, ((F.col("__base") == m.within) & (F.col("__inside") == k) for k, m in enumerate(board.marks) if m.within), F.lit(False))
-        how = F.when(soft_section, "section").when(hard_here, "hard").when(soft_mark, "soft").when(F.coalesce(within, F.lit(False)), "inside")
-        typed = ahead.withColumn("__how", how)
-        how = F.col("__how")
-        started = F.when(how == "section", F.lit(board.default)).when(how.isin("hard", "soft"), kind).when(how == "inside", F.get(kinds, F.col("__inside")))
-        keep = how.isNull() | (how == "inside") | (how.isin("hard", "soft") & F.col("__mark").isin(keep_ids))
-        flagged = typed.withColumn("__kind", started).withColumn("starts", how.isNotNull()).withColumn("__keep", F.coalesce(keep, F.lit(True))).withColumn("__sec", F.coalesce(how == "section", F.lit(False)))
-    one = F.when(F.col("__sec") & (T.dots(F.col("__no")) == 1), F.struct(F.col("__no").alias("no"), F.col("__title").alias("title")))
-    two = F.when(F.col("__sec"), F.when(T.dots(F.col("__no")) == 2, F.struct(F.col("__no").alias("no"), F.col("__title").alias("title"))).otherwise(F.struct(F.lit(None).cast("string").alias("no"), F.lit(None).cast("string").alias("title"))))
-    flagged = flagged.withColumn("__one", one).withColumn("__two", two)
-    out = running(flagged, "doc_id", "block", ORDER, sums={"chunk": F.col("starts").cast("int")}, lasts={"mode": F.col("__kind"), "__o": F.col("__one"), "__t": F.col("__two")})
-    mode = F.coalesce("mode", F.lit(board.default))
+        within = _either([(F.col("__base") == m.within) & (F.col("__inside") == k) for k, m in enumerate(board.marks) if m.within])
+        how = F.when(section if board.section_hard else section & ~off, "section").when(hard.isNotNull(), "hard").when(F.col("__mark").isNotNull() & ~is_hard & ~off, "soft").when(F.coalesce(within, F.lit(False)), "inside")
+        typed = base.join(carry, ["doc_id", "block"]).withColumn("__base", F.coalesce(F.last(hard, ignorenulls=True).over(w), "__b")).withColumn("__how", how)
+        keep = F.col("__how").isNull() | (F.col("__how") == "inside") | (F.col("__how").isin("hard", "soft") & F.coalesce(F.col("__mark").isin([k for k, m in enumerate(board.marks) if m.keep]), F.lit(False)))
+    how = F.col("__how")
+    started = F.when(how == "section", board.default).when(how == "inside", F.get(kinds, F.col("__inside"))).when(how == "inline", F.col("__inline")).when(how.isNotNull(), kind)
+    named = F.struct(F.col("__no").alias("no"), F.col("__title").alias("title"))
+    unnamed = F.struct(F.lit(None).cast("string").alias("no"), F.lit(None).cast("string").alias("title"))
+    one = F.when((how == "section") & (T.dots(F.col("__no")) == 1), named)
+    two = F.when(how == "section", F.when(T.dots(F.col("__no")) == 2, named).otherwise(unnamed))
+    flagged = typed.select(*lines.columns, how.isNotNull().alias("starts"), started.alias("kind"), keep.alias("keep"), one.alias("one"), two.alias("two"))
+    return flagged.withColumn("part", F.sum(F.col("starts").cast("int")).over(w))
+
+
+def _numbered(parts: DataFrame, board: Board) -> DataFrame:
+    """``parts`` (doc_id, block, part, kind, one, two), read twice, with chunk, mode and sections; part 0 of a block goes on with the chunk before."""
+    spans = parts.withColumn("__span", F.floor(F.col("block") / 64))
+    out = running(spans, "doc_id", "__span", ["block", "part"], sums={"chunk": (F.col("part") > 0).cast("int")}, lasts={"__m": F.col("kind"), "__o": F.col("one"), "__t": F.col("two")})
+    mode = F.coalesce("__m", F.lit(board.default))
     for a, b in board.rename.items():
         mode = F.when(mode == a, b).otherwise(mode)
-    return out.select(*lines.columns, "chunk", mode.alias("mode"), "starts", F.col("__keep").alias("keep"), F.col("__o.no").alias("section_no"), F.col("__o.title").alias("section"), F.col("__t.no").alias("subsection_no"), F.col("__t.title").alias("subsection"))
+    return out.drop("__span").withColumn("mode", mode).withColumn("section_no", F.col("__o.no")).withColumn("section", F.col("__o.title")).withColumn("subsection_no", F.col("__t.no")).withColumn("subsection", F.col("__t.title")).drop("__m", "__o", "__t")
 
 
-def raw_chunks(marked: DataFrame, clean) -> DataFrame:
-    """One row per chunk number: text cleaned, page_start, page_end, mode, section columns; null text where no line is kept.
+_KEYS = ["doc_id", "block", "part"]
+_SECTIONS = ["mode", "section_no", "section", "subsection_no", "subsection"]
+
+
+def _start(c: str) -> Column:
+    """A value of the line that starts a part."""
+    return F.max(F.when(F.col("starts"), F.col(c))).alias(c)
+
+
+def mark_lines(lines: DataFrame, board: Board, inline: bool = True) -> DataFrame:
+    """``lines`` with chunk (number), mode, starts, keep, section_no, section, subsection_no, subsection.
+
+    Line for line what the boards' parsers do; inline triggers of the state board are matched at the start of their own line, which
+    keeps the trigger line's text (the reference's buffer search loses it).
+    """
+    marked = cut(_started(lines, board, inline), "marked")
+    parts = cut(marked.groupBy(*_KEYS).agg(_start("kind"), _start("one"), _start("two")), "parts")
+    told = _numbered(parts, board).select(*_KEYS, "chunk", *_SECTIONS)
+    return marked.join(told, _KEYS).select(*lines.columns, "chunk", "mode", "starts", "keep", *_SECTIONS[1:])
+
+
+def raw_chunks(lines: DataFrame, board: Board, inline: bool = True) -> DataFrame:
+    """One row per chunk number: text cleaned, page_start, page_end, mode, section columns; empty text where no line is kept.
 
     ``page_end`` is the page of the line that starts the next chunk, as the parsers flush only then; the last chunk
-    ends on the last line's page.  Looked up by number, not by a window.
+    ends on the last line's page.  Lines are brought together by blocks of pages once; their parts of chunks make up the chunks.
     """
     at = F.struct(*ORDER)
-    line = F.when(F.col("keep"), F.struct(*ORDER, "text"))
-    chunks = marked.groupBy("doc_id", "chunk").agg(
-        F.array_sort(F.collect_list(line)).alias("lines"),
-        F.min_by("page_no", at).alias("page_start"),
-        F.max_by("page_no", at).alias("last_page"),
-        *(F.max_by(c, at).alias(c) for c in ("mode", "section_no", "section", "subsection_no", "subsection")),
+    held = F.array_sort(F.collect_list(F.when(F.col("keep"), F.struct(*ORDER, "text"))))
+    parts = _started(lines, board, inline).groupBy(*_KEYS).agg(held.alias("l"), F.min_by("page_no", at).alias("page_start"), F.max_by("page_no", at).alias("last_page"), _start("kind"), _start("one"), _start("two"))
+    text = F.when(F.size("l") > 0, F.array_join(F.transform("l", lambda x: x["text"]), "\n"))
+    return _joined(_numbered(cut(parts.withColumn("text", text).drop("l"), "parts"), board), board.clean)
+
+
+def _joined(parts: DataFrame, clean) -> DataFrame:
+    """Chunks of numbered parts (doc_id, block, part, chunk, text, page_start, last_page, sections)."""
+    place = F.struct("block", "part")
+    # The page on which a chunk starts ends the chunk before.
+    ends = F.when(F.col("part") > 0, F.array(F.col("chunk"), F.col("chunk") - 1)).otherwise(F.array(F.col("chunk")))
+    told = parts.select("*", F.explode(ends).alias("__c"))
+    own = F.col("__c") == F.col("chunk")
+    mine = lambda c: F.when(own, F.col(c))
+    out = told.groupBy("doc_id", F.col("__c").alias("chunk")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(own & F.col("text").isNotNull(), F.struct("block", "part", "text")))), lambda x: x["text"]), "\n").alias("text"),
+        F.min_by(mine("page_start"), F.when(own, place)).alias("page_start"),
+        F.max_by(mine("last_page"), F.when(own, place)).alias("last_page"),
+        F.max(F.when(~own, F.col("page_start"))).alias("next_page"),
+        *(F.max(mine(c)).alias(c) for c in _SECTIONS),
     )
-    starts = chunks.select("doc_id", (F.col("chunk") - 1).alias("chunk"), F.col("page_start").alias("next_page"))
-    out = chunks.join(starts, ["doc_id", "chunk"], "left")
-    text = clean(F.array_join(F.transform("lines", lambda x: x["text"]), "\n"))
-    return out.select("doc_id", "chunk", "page_start", F.coalesce("next_page", "last_page").alias("page_end"), "mode", "section_no", "section", "subsection_no", "subsection", text.alias("text"))
+    # Chunk 0 is what stands before the first start; there may be nothing.
+    return out.filter("page_start is not null").select("doc_id", "chunk", "page_start", F.coalesce("next_page", "last_page").alias("page_end"), *_SECTIONS, clean(F.col("text")).alias("text"))
 
 
 def segment(pages: DataFrame, board: Board, chapters: DataFrame, least: int = SHORT) -> DataFrame:
@@ -117,10 +141,10 @@ def segment(pages: DataFrame, board: Board, chapters: DataFrame, least: int = SH
     chapter_title.  Chunks whose cleaned text is under ``least`` characters are dropped before they are numbered.
     Documents without a row in ``chapters`` give no chunks.
     """
-    ready = pages.withColumn("text", board.preprocess(F.col("text"))) if board.preprocess else pages
-    marked = mark_lines(pages_to_lines(ready, drop_page_numbers=True), board)
+    ready = spread(pages)
+    ready = ready.withColumn("text", board.preprocess(F.col("text"))) if board.preprocess else ready
     # Filtered after the cut: pushed below it, the condition would clean every text a second time.
-    kept = cut(raw_chunks(marked, board.clean), "chunks").filter(F.length(F.trim("text")) >= least)
+    kept = cut(raw_chunks(pages_to_lines(ready, drop_page_numbers=True), board), "chunks").filter(F.length(F.trim("text")) >= least)
     numbered = running(kept.withColumn("block", F.floor(F.col("chunk") / 1024).cast("int")), "doc_id", "block", ["chunk"], sums={"n": F.lit(1)})
     equations = pages_with_equations(pages).select("doc_id", F.col("page_no").alias("page_end"), "equations")
     out = numbered.join(equations, ["doc_id", "page_end"], "left").join(chapters, "doc_id")
@@ -167,12 +191,16 @@ def headings_lower(lines: DataFrame) -> DataFrame:
 
 def segment_headings(pages: DataFrame, chapters: DataFrame, least: int = SHORT) -> DataFrame:
     """Chunks of the lower classes: a heading starts a chunk of explanation; short text is carried into the next one."""
-    marked = cut(headings_lower(pages_to_lines(pages)), "headings")
-    title = F.when(F.col("heading"), strip(F.col("text")))
-    run = running(marked, "doc_id", "block", ORDER, sums={"chunk": F.col("heading").cast("int")}, lasts={"section": title})
+    title = F.when(F.col("heading"), F.struct(F.lit(None).cast("string").alias("no"), strip(F.col("text")).alias("title")))
     null = F.lit(None).cast("string")
-    cols = run.select(*lines_columns(), "chunk", F.lit("explanation").alias("mode"), (~F.col("heading")).alias("keep"), null.alias("section_no"), "section", null.alias("subsection_no"), null.alias("subsection"))
-    raw = cut(raw_chunks(cols, lambda c: c), "chunks")
+    w = Window.partitionBy("doc_id", "block").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
+    marked = headings_lower(pages_to_lines(spread(pages))).select("doc_id", "block", *ORDER, "text", F.col("heading").alias("starts"), title.alias("one"), F.sum(F.col("heading").cast("int")).over(w).alias("part"))
+    at = F.struct(*ORDER)
+    held = F.array_sort(F.collect_list(F.when(~F.col("starts"), F.struct(*ORDER, "text"))))
+    parts = marked.groupBy(*_KEYS).agg(held.alias("l"), F.min_by("page_no", at).alias("page_start"), F.max_by("page_no", at).alias("last_page"), _start("one"))
+    text = F.when(F.size("l") > 0, F.array_join(F.transform("l", lambda x: x["text"]), "\n"))
+    parts = cut(parts.select(*_KEYS, "page_start", "last_page", null.alias("kind"), "one", F.lit(None).cast("struct<no: string, title: string>").alias("two"), text.alias("text")), "parts")
+    raw = cut(_joined(_numbered(parts, LOWER), lambda c: c), "chunks")
     # A chunk too short for itself is carried on: chunks are grouped from the first after the last long enough one.
     sized = raw.withColumn("__long", F.length(F.trim(T.clean_science(F.col("text")))) >= least).withColumn("block", F.floor(F.col("chunk") / 1024).cast("int"))
     grouped = running(sized, "doc_id", "block", ["chunk"], sums={"__done": F.col("__long").cast("int")}).withColumn("__g", F.col("__done") - F.col("__long").cast("int"))
@@ -188,10 +216,6 @@ def segment_headings(pages: DataFrame, chapters: DataFrame, least: int = SHORT)
     )
 
 
-def lines_columns() -> list[str]:
-    return ["doc_id", "block", "page_no", "page_seq", "line_no", "text"]
-
-
 def parse_national(pages: DataFrame, chapters: DataFrame) -> DataFrame:
     """Chunks by class: 10 to 12 by numbered sections, 8 and 9 by headings, merged; any other class is an error when run."""
     classed = pages.join(chapters.select("doc_id", F.col("class_no").alias("__c")), "doc_id")

@@ -180,6 +180,13 @@ def segment_lines(spark: SparkSession, d: str) -> DataFrame:
     return marked.select("doc_id", "page_seq", _big("line_no").alias("line_no"), _big("chunk").alias("chunk"), "mode", "keep", "section_no", "section", "subsection_no", "subsection")
 
 
+@query(_sql("national", Q.chunks(NATIONAL), final="SELECT doc_id, chunk::BIGINT AS chunk, page_start, page_end, mode, section_no, section, subsection_no, subsection, text FROM cleaned"))
+def chunk_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks before the short ones are dropped, empty ones too."""
+    chunks = S.raw_chunks(L.pages_to_lines(_marked_pages(spark, d, "national"), drop_page_numbers=True), NATIONAL)
+    return chunks.withColumn("chunk", _big("chunk"))
+
+
 @query(rf"""WITH {_LINES}, s AS (SELECT *, {_STRIP.format('line')} AS s FROM lines),
 n AS (SELECT *, CASE WHEN regexp_matches(s, '^(\d{{1,2}}\.\d{{1,2}}(?:\.\d{{1,2}})?\.?)\s+([A-Za-z].+?)\s*$') THEN regexp_replace(regexp_extract(s, '^(\d{{1,2}}\.\d{{1,2}}(?:\.\d{{1,2}})?\.?)\s+', 1), '\.$', '') END AS no FROM s)
 SELECT doc_id, page_seq, line_no::BIGINT AS line_no, last_value(CASE WHEN length(no) - length(replace(no, '.', '')) = 1 THEN no END IGNORE NULLS) OVER (PARTITION BY doc_id {_ORDER} ROWS UNBOUNDED PRECEDING) AS section_no FROM n""")

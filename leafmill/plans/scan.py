@@ -6,6 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in as many tasks as there are cores, where it comes in fewer: a small file is one task however much work its rows are.
+
+    Tables of as many splits as cores, so all large ones, are left as they are: nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def running(df: DataFrame, doc: str, block: str, order: list[str], sums: dict[str, Column] | None = None, lasts: dict[str, Column] | None = None) -> DataFrame:
     """``df`` with running sums and running last non-null values along ``order`` within ``doc``.
 
