@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..plans.lineage import cut
-from ..plans.skew import strip
+from ..plans.skew import hot_cold_join, strip
 
 THRESHOLD, ALIKE, CONTAINED = 3, 0.92, 5
 
@@ -36,22 +37,18 @@ def ranked(counts: DataFrame) -> DataFrame:
     return counts.withColumn("rank", F.struct((-F.col("n")).alias("m"), F.col("term").alias("t")))
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(piece, width, at, term, norm): by pigeonhole a string more than 0.92 alike keeps one of these pieces whole, at one of these places.
-
-    Of two such strings fewer than 0.08 of all characters fail to match; cut into one piece more than that number, some
-    piece is untouched, and it is moved by no more than that number.
-    """
+def _numbered_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, g): the grams of three characters of a term's form, repeated ones told apart by their number."""
     for batch in batches:
-        rows = []
-        for term, norm in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            n = len(norm)
-            slack = int((2 - 2 * ALIKE) / ALIKE * n + 1e-9)
-            edges = [round(k * n / (slack + 1)) for k in range(slack + 2)]
-            rows += [(norm[a:b], b - a, at, term, norm) for a, b in zip(edges, edges[1:], strict=False) if b > a for at in range(max(0, a - slack), a + slack + 1)]
-        if rows:
-            a, b, c, d, e = zip(*dict.fromkeys(rows), strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b, pa.int32()), pa.array(c, pa.int32()), pa.array(d), pa.array(e)], names=["piece", "width", "at", "term", "norm"])
+        terms, grams_ = [], []
+        for term, form in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            seen: Counter[str] = Counter()
+            for k in range(len(form) - 2):
+                g = form[k : k + 3]
+                grams_.append(f"{g}{seen[g] or ''}")
+                terms.append(term)
+                seen[g] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(grams_, pa.string())], names=["term", "g"])
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,7 +67,7 @@ def near_duplicates(counts: DataFrame) -> DataFrame:
 
     Equal once normalised; or one of more than five characters contained in the other; or equal but for British and
     American spelling; or more than 0.92 alike.  Each case is an equi-join on a key that is exact for it: the form
-    itself, six characters of the contained one (its rarest), the form in one spelling, and pieces by pigeonhole.
+    itself, six characters of the contained one (its rarest), the form in one spelling, and the rarest grams.
     """
     base = cut(ranked(counts).withColumn("f", T.similarity_form(F.col("term"))).select("term", "f", "rank"), "terms")
     l, r = base.select(F.col("term").alias("a"), F.col("f").alias("af"), F.col("rank").alias("ar")), base.select(F.col("term").alias("b"), F.col("f").alias("bf"), F.col("rank").alias("br"))
@@ -92,22 +89,31 @@ def near_duplicates(counts: DataFrame) -> DataFrame:
     outer = held.join(base, "term").select(F.col("term").alias("y"), F.col("f").alias("yf"), F.col("rank").alias("yr"), "g")
     contained = inner.join(outer, "g").filter((F.col("x") != F.col("y")) & F.col("yf").contains(F.col("xf")))
     contained = contained.select(F.when(F.col("xr") < F.col("yr"), F.col("x")).otherwise(F.col("y")).alias("a"), F.when(F.col("xr") < F.col("yr"), F.col("y")).otherwise(F.col("x")).alias("b"))
-    cuts = cut(base.select("term", "f").mapInArrow(_pieces, "piece string, width int, at int, term string, norm string"), "pieces")
+    return same.unionByName(contained.select("a", "b")).unionByName(_alike_pairs(base)).distinct()
+
+
+def _alike_pairs(base: DataFrame) -> DataFrame:
+    """(a, b) of ``base`` (term, f, rank), a ranked first, whose forms are more than ALIKE alike.
+
+    Of two such forms fewer than 1 - ALIKE of all characters fail to match, and each spoils three grams at most.  So if all
+    grams are put in one order, rarest first, the two share a gram among one more of their first ones than can be spoilt: terms meet
+    by these only, as many as a term is long, and no pair is lost.
+    """
+    held = cut(base.select("term", "f").mapInArrow(_numbered_grams, "term string, g string"), "grams")
+    weight = cut(held.groupBy("g").agg(F.count(F.lit(1)).alias("w")), "weights")
+    weighed = hot_cold_join(held, weight, "g", "w", weight.agg(F.sum("w")).first()[0] or 0)
+    size = F.length("f")
+    spoilt = 3 * (F.ceil(F.lit(2 * (1 - ALIKE) / ALIKE) * size) - 1)  # the other is no longer than (2 - ALIKE) / ALIKE times as long
+    first = weighed.groupBy("term").agg(F.array_sort(F.collect_list(F.struct("w", "g"))).alias("gs")).join(base, "term")
+    keys = first.select("term", "f", "rank", F.explode(F.transform(F.slice("gs", F.lit(1), (spoilt + 1).cast("int")), lambda x: x["g"])).alias("g"))
     # Comparing costs far more than the bytes of a pair let the adaptive coalescing see, so the number of tasks is kept.
     tasks = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    widths = [x.width for x in cuts.select("width").distinct().collect()]  # widths of a few characters: a handful
-    tried = contained.select("a", "b").limit(0)
-    for width in widths:
-        several = F.transform(F.sequence(F.lit(1), F.length("f") - (width - 1)), lambda i: F.substring(F.col("f"), i, F.lit(width)))  # noqa: B023 - called at once
-        windows = base.filter(F.length("f") >= width).select(F.col("term").alias("y"), F.col("f").alias("yf"), F.posexplode(several).alias("at", "piece"))
-        met = cuts.filter(F.col("width") == width).repartition(tasks, "piece", "at").join(windows.repartition(tasks, "piece", "at").hint("shuffle_hash"), ["piece", "at"]).filter(F.col("term") != F.col("y"))
-        # What fails to match bounds the edit distance from above, so the built-in distance leaves few pairs and loses none.
-        most = (1 - ALIKE) * (F.length("norm") + F.length("yf"))
-        near = (F.abs(F.length("norm") - F.length("yf")) <= most) & (F.levenshtein("norm", "yf") <= most)
-        tried = tried.unionByName(met.filter(near).select(F.col("term").alias("a"), F.col("y").alias("b")))
-    possible = tried.distinct().join(l, "a").join(r, "b").select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(first, F.col("af")).otherwise(F.col("bf")).alias("af"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("b"), F.when(first, F.col("bf")).otherwise(F.col("af")).alias("bf")).distinct()
-    alike = possible.repartition(tasks, "a", "b").mapInArrow(_alike, "a string, b string")
-    return same.unionByName(contained.select("a", "b")).unionByName(alike).distinct()
+    side = lambda x: keys.select("g", F.col("term").alias(x), F.col("f").alias(f"{x}f"), F.col("rank").alias(f"{x}r"))
+    met = side("a").repartition(tasks, "g").join(side("b").repartition(tasks, "g"), "g").filter(F.col("ar") < F.col("br"))
+    # What fails to match bounds the edit distance from above, so the built-in distance leaves few pairs and loses none.
+    most = F.floor(F.lit(1 - ALIKE) * (F.length("af") + F.length("bf"))).cast("int")
+    near = met.withColumn("most", most).filter((F.abs(F.length("af") - F.length("bf")) <= F.col("most")) & (F.expr("levenshtein(af, bf, most)") >= 0))
+    return near.select("a", "af", "b", "bf").distinct().repartition(tasks, "a", "b").mapInArrow(_alike, "a string, b string")
 
 
 def cluster(counts: DataFrame) -> DataFrame:
