@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from ..functions import text as T
 from ..operators import resources as R
-from ..operators.boards import HEADINGS, NOT_HEADINGS, Board
+from ..operators.boards import HEADINGS, KNOWN_TITLES, NO_TITLES, NOT_HEADINGS, Board
 
 #: Lines put into the pages of the queries, so that every mark of every board occurs: one in so many lines is replaced.
 EVERY = 61
@@ -100,9 +100,9 @@ def lookup(x: str, table: dict[str, str], default: str) -> str:
     return f"CASE {x} " + " ".join(f"WHEN {quoted(k)} THEN {quoted(v)}" for k, v in table.items()) + f" ELSE {quoted(default)} END"
 
 
-def chapters(subjects: dict[str, str]) -> str:
+def chapters(subjects: dict[str, str], name: str = "chapters") -> str:
     return rf"""names AS (SELECT DISTINCT doc_id, regexp_replace(doc_id, '\.pdf$', '') AS name FROM pages),
-chapters AS (SELECT doc_id, upper(split_part(name, '_', 1)) AS source, {lookup("split_part(name, '_', 2)", subjects, "General")} AS subject,
+{name} AS (SELECT doc_id, upper(split_part(name, '_', 1)) AS source, {lookup("split_part(name, '_', 2)", subjects, "General")} AS subject,
   coalesce(try_cast(nullif(regexp_extract(name, '_(\d{{1,2}})_', 1), '') AS INT), 12) AS class_no, coalesce(try_cast(nullif(regexp_extract(name, '_ch(\d+)', 1), '') AS INT), 0) AS chapter_no, coalesce(t.title, '') AS chapter_title
   FROM names LEFT JOIN (SELECT file, max(trim(chapter_title)) AS title FROM manifest GROUP BY file) t ON t.file = name || '_resources.json')"""
 
@@ -223,3 +223,57 @@ def built(source: str, name: str, types: dict[str, str], document_id: str) -> st
 {name} AS (SELECT doc_id, chunk_seq, {document_id} AS document_id, printf('%s_%02d_CH%02d_%s_%03d', prefix, class_no, chapter_no, slug, k) AS resource_id, resource_type, class_no, subject, chapter_no, chapter_title, section, subsection, page_start, page_end, text,
   NULL::VARCHAR AS image_path, NULL::VARCHAR AS image_caption, NULL::VARCHAR AS description, NULL::VARCHAR AS summary, []::VARCHAR[] AS concepts, figure_references, EXISTS (SELECT 1 FROM pages q WHERE q.doc_id = r.doc_id AND len(q.equations) > 0 AND q.page_no BETWEEN r.page_start AND r.page_end) AS has_equation
   FROM {name}_n r WHERE {strip('text')} <> '' AND page_start <= page_end)"""
+
+
+def titled(inferred: str) -> str:
+    """CTE ``chapters`` from ``given``: the title inferred where none is given."""
+    return f"""{inferred},
+chapters AS (SELECT given.* EXCLUDE (chapter_title), coalesce(nullif(chapter_title, ''), t.title, '') AS chapter_title FROM given LEFT JOIN inferred t USING (doc_id))"""
+
+
+def title_case(x: str) -> str:
+    return rf"array_to_string(list_transform(string_split({x}, ''), lambda c, i: CASE WHEN i = 1 OR NOT regexp_matches(substr({x}, i - 1, 1), '\p{{L}}') THEN upper(c) ELSE lower(c) END), '')"
+
+
+def inferred_caps() -> str:
+    """CTEs up to ``inferred``: the first line of the first page that is set in capitals."""
+    return rf"""t_first AS (SELECT doc_id, arg_min({{'t': text}}, (page_no, page_seq)).t AS text FROM pages GROUP BY doc_id),
+t_lines AS (SELECT doc_id, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: {strip('x')}), lambda x: regexp_matches(x, '^[A-Z][A-Z0-9\s,\(\)\-\/]{{8,80}}$') AND NOT regexp_matches(x, '^MODULE\s*-')) AS l FROM t_first),
+inferred AS (SELECT doc_id, {title_case("coalesce(l[1], '')")} AS title FROM t_lines)"""
+
+
+def inferred_general(name: str = "inferred") -> str:
+    """CTEs up to ``name``: capitals, else a numbered title, else the line after a number, else the first line."""
+    return rf"""t_first AS (SELECT doc_id, arg_min({{'t': text}}, (page_no, page_seq)).t AS text FROM pages GROUP BY doc_id),
+t_lines AS (SELECT doc_id, unnest(l) AS x, unnest(range(len(l))) AS i, l FROM (SELECT doc_id, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: {strip('x')}), lambda x: x <> '') AS l FROM t_first)),
+t_told AS (SELECT *, regexp_matches(x, '^[A-Z][A-Z0-9\s,\(\)\-\/]{{8,80}}$') AND NOT regexp_matches(x, '^MODULE\s*-') AS caps, {strip("regexp_extract(x, '^[0-9][0-9]?[.]" + chr(92) + "s+(.+)$', 1)")} AS dotted, l[i + 2] AS after FROM t_lines),
+t_hit AS (SELECT doc_id, arg_min(CASE WHEN caps THEN x WHEN length(dotted) BETWEEN 4 AND 80 AND NOT contains(lower(dotted), 'introduction') THEN dotted ELSE after END, i) AS t FROM t_told
+  WHERE caps OR (length(dotted) BETWEEN 4 AND 80 AND NOT contains(lower(dotted), 'introduction')) OR (regexp_matches(x, '^\d{{1,2}}\.$') AND length(after) BETWEEN 4 AND 80 AND NOT contains(lower(after), 'introduction')) GROUP BY doc_id),
+t_top AS (SELECT doc_id, CASE WHEN regexp_matches(l[1], '^\d{{1,2}}\.?$') AND len(l) > 1 THEN l[2] ELSE l[1] END AS t FROM t_lines WHERE i = 0),
+t_named AS (SELECT f.doc_id, coalesce(h.t, CASE WHEN length(p.t) BETWEEN 4 AND 100 AND NOT contains(lower(p.t), 'introduction') THEN p.t END) AS t FROM t_first f LEFT JOIN t_hit h USING (doc_id) LEFT JOIN t_top p USING (doc_id)),
+{name} AS (SELECT doc_id, coalesce({title_case('t')}, '') AS title FROM t_named)"""
+
+
+def inferred_state() -> str:
+    """CTEs up to ``inferred``: known titles first; none where only the heading of a box was found. ``given`` comes before."""
+    known = " ".join(f"WHEN subject = {quoted(s)} AND class_no = {c} AND chapter_no = {n} THEN {quoted(t)}" for (s, c, n), t in KNOWN_TITLES.items())
+    return f"""{inferred_general('found')},
+inferred AS (SELECT f.doc_id, CASE {known} WHEN lower(title) IN ({', '.join(map(quoted, NO_TITLES))}) THEN '' ELSE title END AS title FROM found f JOIN given USING (doc_id))"""
+
+
+def images() -> str:
+    return r"""files AS (SELECT document_id, chapter_no, min(file) AS file FROM manifest GROUP BY document_id, chapter_no),
+images AS (SELECT row_number() OVER () AS k, regexp_replace(f.file, '_resources\.json$', '.pdf') AS doc_id, image_id, page_no, image_path, caption FROM image_meta JOIN files f USING (document_id, chapter_no))"""
+
+
+def multimodal(source: str, name: str, document_id: str) -> str:
+    """CTE ``name``: resources (part 0) and the diagrams of ``images`` (part 1) with the context of the first resource on their page, else of their document."""
+    number = "regexp_replace(coalesce(i.image_id, '000'), '[^0-9]', '', 'g')"
+    pad = lambda x, n: f"CASE WHEN length({x}) >= {n} THEN {x} ELSE lpad({x}, {n}, '0') END"
+    ctx = "{'class_no': class_no, 'subject': subject, 'chapter_no': chapter_no, 'chapter_title': chapter_title, 'section': section, 'subsection': subsection, 'd': 1}"
+    return f"""m_page AS (SELECT i.k, arg_min({ctx.replace("'class_no': class_no", "'class_no': r.class_no")}, r.chunk_seq) AS c FROM images i JOIN {source} r ON r.doc_id = i.doc_id AND i.page_no BETWEEN r.page_start AND r.page_end GROUP BY i.k),
+m_doc AS (SELECT doc_id, arg_min({ctx}, chunk_seq) AS c FROM {source} GROUP BY doc_id),
+m_images AS (SELECT i.*, coalesce(p.c, d.c) AS c FROM images i LEFT JOIN m_page p USING (k) LEFT JOIN m_doc d ON d.doc_id = i.doc_id),
+{name} AS (SELECT 0 AS part, * FROM {source} UNION ALL BY NAME SELECT 1 AS part, i.doc_id, {document_id} AS document_id, 'IMG_' || {pad('coalesce(i.c.class_no, 12)::VARCHAR', 2)} || '_CH' || {pad('coalesce(i.c.chapter_no, 0)::VARCHAR', 2)} || '_' || {pad(number, 3)} AS resource_id, 'diagram' AS resource_type,
+  coalesce(i.c.class_no, 12) AS class_no, i.c.subject AS subject, coalesce(i.c.chapter_no, 0) AS chapter_no, coalesce(i.c.chapter_title, '') AS chapter_title, i.c.section AS section, i.c.subsection AS subsection, i.page_no AS page_start, i.page_no AS page_end, i.image_path, i.caption AS image_caption, []::VARCHAR[] AS concepts, []::VARCHAR[] AS figure_references, false AS has_equation
+  FROM m_images i LEFT JOIN chapters h ON h.doc_id = i.doc_id)"""

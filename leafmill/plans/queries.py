@@ -19,7 +19,7 @@ from ..operators import tables as B
 from ..operators import vocabulary as V
 from ..operators.boards import NATIONAL, OPEN, OPEN_CLASS, STATE
 from . import board_sql as Q
-from .skew import strip
+from .skew import dense_ids, strip
 
 _REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -292,9 +292,9 @@ def resume(spark: SparkSession, d: str) -> DataFrame:
     return B.resume(_t(spark, d, "resources"), done, ["document_id", "page_start"]).select("load_id")
 
 
-@query("SELECT document_id, resource_id, arg_max(load_id, (extracted_at, load_id)) AS load_id FROM resources WHERE document_id IS NOT NULL GROUP BY document_id, resource_id")
+@query("SELECT document_id, resource_id, arg_max(load_id, (extracted_at, load_id)) AS load_id FROM resources GROUP BY document_id, resource_id")
 def upsert(spark: SparkSession, d: str) -> DataFrame:
-    rows = _t(spark, d, "resources").filter("document_id is not null").select("document_id", "resource_id", F.struct("extracted_at", "load_id").alias("run"))
+    rows = _t(spark, d, "resources").select("document_id", "resource_id", F.struct("extracted_at", "load_id").alias("run"))
     return B.upsert(rows, ["document_id", "resource_id"], "run").select("document_id", "resource_id", "run.load_id")
 
 
@@ -327,12 +327,27 @@ def new_terms(spark: SparkSession, d: str) -> DataFrame:
     return V.new_terms(V.term_counts(_t(spark, d, "resources"), "load_id"), _vocab(spark, d))
 
 
+_DISPLAY = rf"array_to_string(list_transform(list_filter(regexp_split_to_array({_STRIP.format('{0}')}, '\s+'), lambda w: w <> ''), lambda w: CASE WHEN upper(w) = w AND lower(w) <> w AND length(w) > 1 THEN w ELSE upper(w[1]) || lower(substr(w, 2)) END), ' ')"
+
+
 @query(f"""WITH {_TERMS}, {_NEW}, ok AS (SELECT * FROM new WHERE n >= 3 AND cid <> ''), b AS (SELECT cid, arg_min(term, (-n, term)) AS term, max(n) AS n FROM ok GROUP BY cid)
-SELECT canonical_id, coalesce(frequency, 0)::BIGINT AS frequency, 'structural' AS source FROM vocab UNION ALL SELECT cid, n, 'extracted' FROM b""")
+SELECT canonical_id, display_name, frequency::BIGINT AS frequency, 'structural' AS source FROM vocab UNION ALL SELECT cid, {_DISPLAY.format('term')}, n, 'extracted' FROM b""")
 def extended_vocabulary(spark: SparkSession, d: str) -> DataFrame:
     """Threshold and union without clustering, which SQL can check."""
     new = V.new_terms(V.term_counts(_t(spark, d, "resources"), "load_id"), _vocab(spark, d))
-    return V.extend(_vocab(spark, d), V.threshold(new)[0]).select("canonical_id", F.coalesce("frequency", F.lit(0)).cast("bigint").alias("frequency"), "source")
+    return V.extend(_vocab(spark, d), V.threshold(new)[0])
+
+
+_FORM = r"regexp_replace(replace(lower({0}), '''s', 's'), '[^a-z0-9 ]', '', 'g')"
+
+
+@query(f"""WITH {_TERMS}, {_NEW}, forms AS (SELECT term, n, {_FORM.format('term')} AS f FROM new)
+SELECT a.term AS a, b.term AS b FROM forms a JOIN forms b ON (-a.n, a.term) < (-b.n, b.term) WHERE a.f = b.f OR length(a.f) > 5 AND contains(b.f, a.f) OR length(b.f) > 5 AND contains(a.f, b.f)
+ OR replace(a.f, 'centre', 'center') = b.f OR a.f = replace(b.f, 'centre', 'center') OR replace(a.f, 'colour', 'color') = b.f OR a.f = replace(b.f, 'colour', 'color') OR replace(a.f, 'fibre', 'fiber') = b.f OR a.f = replace(b.f, 'fibre', 'fiber')""")
+def near_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    """The near-duplicates that are so by their letters; those by likeness are checked in the tests."""
+    new = V.new_terms(V.term_counts(_t(spark, d, "resources"), "load_id"), _vocab(spark, d))
+    return V.near_duplicates(new).filter(V.spelled_alike(F.col("a"), F.col("b")))
 
 
 @query()
@@ -363,57 +378,76 @@ def word_sets(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "resources").select("load_id", _big(F.size(w)).alias("words"), F.get(F.array_sort(w), F.lit(0)).alias("first"))
 
 
-@query(r"""WITH v AS (SELECT canonical_id, lower(display_name) AS n, list_distinct(list_transform(list_filter(regexp_extract_all(display_name, '[a-zA-Z]+'), lambda x: length(x) >= 3), lambda x: lower(x))) AS w, row_number() OVER (ORDER BY canonical_id) AS o FROM vocab),
+_SCORED = r"""v AS (SELECT canonical_id, display_name, frequency, source, lower(display_name) AS n, list_distinct(list_transform(list_filter(regexp_extract_all(display_name, '[a-zA-Z]+'), lambda x: length(x) >= 3), lambda x: lower(x))) AS w, row_number() OVER (ORDER BY canonical_id) AS o FROM vocab),
 r AS (SELECT load_id, lower(concat_ws(' ', nullif(chapter_title, ''), nullif(section, ''), nullif(subsection, ''), nullif(summary, ''))) AS t FROM resources WHERE coalesce(trim(summary), '') <> ''),
 q AS (SELECT load_id, t, list_distinct(list_filter(regexp_extract_all(t, '[a-z]+'), lambda x: length(x) >= 3)) AS w FROM r),
-s AS (SELECT load_id, canonical_id, o, len(list_intersect(q.w, v.w)) + CASE WHEN contains(q.t, v.n) THEN 5 ELSE 0 END AS score FROM q, v),
-k AS (SELECT *, row_number() OVER (PARTITION BY load_id ORDER BY score DESC, o) AS rank FROM s WHERE score > 0)
-SELECT load_id, rank::BIGINT AS rank, canonical_id, score::BIGINT AS score FROM k WHERE rank <= 40""")
+s AS (SELECT load_id, canonical_id, display_name, o, len(list_intersect(q.w, v.w)) + CASE WHEN contains(q.t, v.n) THEN 5 ELSE 0 END AS score FROM q, v),
+k AS (SELECT *, row_number() OVER (PARTITION BY load_id ORDER BY score DESC, o) AS rank FROM s WHERE score > 0),
+top AS (SELECT load_id, rank, canonical_id, display_name, score FROM k WHERE rank <= 40),
+fill AS (SELECT canonical_id, display_name, row_number() OVER (ORDER BY coalesce(frequency, 0) DESC, o) AS fr FROM v WHERE source = 'structural' QUALIFY fr <= 80),
+have AS (SELECT q.load_id, count(top.rank) AS n FROM q LEFT JOIN top ON top.load_id = q.load_id GROUP BY q.load_id),
+more AS (SELECT h.load_id, h.n + row_number() OVER (PARTITION BY h.load_id ORDER BY fr) AS rank, f.canonical_id, f.display_name, 0 AS score FROM have h, fill f WHERE NOT EXISTS (SELECT 1 FROM top WHERE top.load_id = h.load_id AND top.canonical_id = f.canonical_id) QUALIFY rank <= 40),
+shown AS (SELECT * FROM top UNION ALL SELECT * FROM more)"""
+
+
+@query(f"WITH {_SCORED} SELECT load_id, rank::BIGINT AS rank, canonical_id, score::BIGINT AS score FROM top")
 def candidates_scored(spark: SparkSession, d: str) -> DataFrame:
     """The scored part of the candidates, without the fill of structural entries."""
     return _candidates(spark, d).filter("score > 0").select("load_id", _big("rank").alias("rank"), "canonical_id", "score")
 
 
-def _candidates(spark: SparkSession, d: str) -> DataFrame:
-    from pyspark.sql import Window
+def _ordered_vocab(spark: SparkSession, d: str) -> DataFrame:
+    return dense_ids(_vocab(spark, d), "canonical_id", "vocab_ord")
 
-    vocab = _vocab(spark, d).withColumn("vocab_ord", F.row_number().over(Window.orderBy("canonical_id")))  # the reference list is fixed and small
+
+def _candidates(spark: SparkSession, d: str) -> DataFrame:
     rows = _t(spark, d, "resources").filter(F.coalesce(F.trim("summary"), F.lit("")) != "")
-    return C.candidates(rows, vocab, "load_id")
+    return C.candidates(rows, _ordered_vocab(spark, d), "load_id")
 
 
-@query("SELECT load_id, 40::BIGINT AS n FROM resources WHERE coalesce(trim(summary), '') <> ''")
+@query(f"WITH {_SCORED} SELECT load_id, rank::BIGINT AS rank, canonical_id, display_name, score::BIGINT AS score FROM shown")
 def candidates_filled(spark: SparkSession, d: str) -> DataFrame:
-    """Every resource is shown exactly 40 candidates."""
-    return _candidates(spark, d).groupBy("load_id").agg(F.countDistinct("canonical_id").alias("n"))
+    """All that is shown of the vocabulary: what scores, then structural entries by frequency."""
+    return _candidates(spark, d).withColumn("rank", _big("rank"))
 
 
-@query()
+@query(rf"""WITH {_SCORED}, todo AS (SELECT load_id, lower({_STRIP.format('summary')}) AS body FROM resources WHERE coalesce(resource_id, '') <> '' AND coalesce(len(concepts), 0) = 0 AND coalesce({_STRIP.format('summary')}, '') <> ''),
+hit AS (SELECT t.load_id, list(s.display_name ORDER BY s.rank) FILTER (WHERE contains(t.body, lower(s.display_name))) AS names FROM todo t JOIN shown s USING (load_id) GROUP BY t.load_id)
+SELECT load_id, list_transform(coalesce(names, []), lambda x: {_CANON.format('x')}) AS concepts, coalesce(names, []) AS concepts_raw, NULL::VARCHAR AS error FROM hit""")
 def annotate(spark: SparkSession, d: str) -> DataFrame:
-    from pyspark.sql import Window
+    """The unannotated resources read by a stand-in that names the candidates standing in the summary."""
+    return C.annotate(_t(spark, d, "resources"), _ordered_vocab(spark, d), "load_id", C.stub_annotator)
 
-    vocab = _vocab(spark, d).withColumn("vocab_ord", F.row_number().over(Window.orderBy("canonical_id")))
-    return C.annotate(_t(spark, d, "resources"), vocab, "load_id", C.stub_annotator)
 
+_READ = rf"""c AS (SELECT *, CASE WHEN length({_STRIP.format('summary')}) >= 40 THEN {_STRIP.format('summary')} END AS a, CASE WHEN length({_STRIP.format('text')}) >= 40 THEN {_STRIP.format('text')} END AS b, CASE WHEN length({_STRIP.format('image_caption')}) >= 40 THEN {_STRIP.format('image_caption')} END AS i FROM resources WHERE coalesce(resource_id, '') <> '' AND resource_type IN ('explanation', 'example', 'recall', 'callout', 'activity', 'internet_task', 'scientist_box')),
+d AS (SELECT *, CASE WHEN resource_type IN ('explanation', 'example', 'activity') THEN coalesce(a, b) ELSE coalesce(b, i) END AS x FROM c),
+readable AS (SELECT *, substr(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '\n{{3,}}', chr(10) || chr(10), 'g'), '[ \t]{{2,}}', ' ', 'g'), '(?m)^\s*\d{{1,3}}\s*$', '', 'g'), '^\s+|\s+$', '', 'g'), 1, 1500) AS content FROM d WHERE x IS NOT NULL)"""
 
-@query()
+
+@query(rf"""WITH {_READ}, w AS (SELECT *, regexp_extract_all(content, '\b[a-z]{{9,}}\b') AS w FROM readable)
+SELECT resource_id, document_id, resource_type, subject, class_no, chapter_no, chapter_title, section, list_filter(w, lambda x, i: list_position(w, x) = i)[1:8] AS concepts, NULL::VARCHAR AS error FROM w""")
 def extract_concepts(spark: SparkSession, d: str) -> DataFrame:
+    """The readable resources read by a stand-in that names the first long words."""
     return C.extract(_t(spark, d, "resources"), C.stub_annotator)
 
 
-@query("SELECT load_id, list_filter(coalesce(concepts, []), lambda x: x IS NOT NULL) AS concepts FROM resources")
+@query("SELECT load_id, CASE WHEN len(list_filter(concepts, lambda x: contains(x, ']'))) > 0 THEN [] ELSE list_filter(coalesce(concepts, []), lambda x: x IS NOT NULL) END AS concepts FROM resources")
 def parse_answers(spark: SparkSession, d: str) -> DataFrame:
-    """Lists written as a model would write them, read back."""
-    rows = _t(spark, d, "resources").select("load_id", F.filter(F.coalesce("concepts", F.array().cast("array<string>")), lambda x: x.isNotNull()).alias("c"))
-    bracketed = rows.filter(~F.exists("c", lambda x: x.contains("]"))).withColumn("raw", F.concat(F.lit("Here it is:\n```json\n"), F.to_json("c"), F.lit("\n```\nDone.")))
-    return bracketed.select("load_id", concept_list(F.col("raw")).alias("concepts")).unionByName(rows.filter(F.exists("c", lambda x: x.contains("]"))).select("load_id", F.col("c").alias("concepts")))
+    """Lists written as a model would write them, read back; a bracket in a string ends the list, which then is none."""
+    written = F.to_json(F.filter(F.coalesce("concepts", F.array().cast("array<string>")), lambda x: x.isNotNull()))
+    raw = F.concat(F.lit("Here it is:\n```json\n"), written, F.lit("\n```\nDone."))
+    return _t(spark, d, "resources").select("load_id", concept_list(raw).alias("concepts"))
 
 
-@query("WITH e AS (SELECT load_id, unnest(concepts) AS c FROM resources) SELECT load_id, count(*)::BIGINT AS n FROM e WHERE lower(trim(c)) IN (SELECT lower(display_name) FROM vocab) AND NOT contains(c, ']') GROUP BY load_id")
+@query("""WITH e AS (SELECT load_id, unnest(list_filter(concepts, lambda x: x IS NOT NULL)) AS c, unnest(range(len(list_filter(concepts, lambda x: x IS NOT NULL)))) AS i FROM resources WHERE coalesce(len(list_filter(concepts, lambda x: contains(x, ']'))), 0) = 0)
+SELECT load_id, list(display_name ORDER BY i) AS concepts FROM e JOIN vocab ON lower(display_name) = lower(trim(c)) GROUP BY load_id""")
 def accepted_answers(spark: SparkSession, d: str) -> DataFrame:
-    names = _vocab(spark, d).agg(F.collect_list("display_name").alias("names"))  # the reference list is fixed and small
-    rows = _t(spark, d, "resources").select("load_id", F.to_json(F.filter("concepts", lambda x: x.isNotNull() & ~x.contains("]"))).alias("raw")).join(F.broadcast(names))
-    return rows.select("load_id", _big(F.size(accepted(F.col("raw"), F.col("names")))).alias("n")).filter("n > 0")
+    """Answers among the candidates of their row, in the candidates' spelling; the candidates are the entries any of its strings names."""
+    rows = _t(spark, d, "resources").select("load_id", F.filter("concepts", lambda x: x.isNotNull()).alias("c"))
+    named = rows.select("load_id", F.explode(F.array_distinct(F.transform("c", lambda x: F.lower(F.trim(x))))).alias("l")).join(_vocab(spark, d).select(F.lower("display_name").alias("l"), "display_name"), "l")
+    shown = named.groupBy("load_id").agg(F.collect_set("display_name").alias("shown"))  # no more than the row has strings
+    out = rows.join(shown, "load_id").select("load_id", accepted(F.to_json("c"), F.col("shown")).alias("concepts"))
+    return out.filter(F.size("concepts") > 0)
 
 
 @query("SELECT c AS concept, count(*)::BIGINT AS n FROM (SELECT unnest(concepts) AS c FROM resources) WHERE c IS NOT NULL GROUP BY c")
@@ -488,7 +522,7 @@ def figure_references(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "resources").select("load_id", T.figure_references(F.col("text")).alias("refs"))
 
 
-@query()
+@query(f"WITH pages AS (SELECT source_pdf AS doc_id, page_no, page_id AS page_seq, text FROM page_data), {Q.inferred_general()} SELECT doc_id, title FROM inferred")
 def titles(spark: SparkSession, d: str) -> DataFrame:
     return S.infer_title_general(_pages(spark, d))
 
@@ -518,29 +552,34 @@ def chunk_audit(spark: SparkSession, d: str) -> DataFrame:
     return A.audit_lines(S.segment(_marked_pages(spark, d, "open"), OPEN, _chapters(spark, d)))
 
 
-@query(rf"SELECT page_id, concat_ws(chr(10), nullif({_STRIP.format('text')}, ''), CASE WHEN len(equations) > 0 THEN 'x=1' END) AS text, (CASE WHEN len(equations) > 0 THEN 1 ELSE 0 END)::BIGINT AS equations FROM page_data WHERE text IS NOT NULL AND NOT contains(text, '<') AND NOT contains(text, '&')")
+@query(rf"SELECT page_id, page_no, concat_ws(chr(10), nullif({_STRIP.format('text')}, ''), CASE WHEN len(equations) > 0 THEN 'x=1' END) AS text, (CASE WHEN len(equations) > 0 THEN 1 ELSE 0 END)::BIGINT AS equations, '- one' || chr(10) || '- two' AS listed, coalesce(extraction_method, 'unknown') AS method FROM page_data WHERE text IS NOT NULL AND page_no IS NOT NULL")
 def layout_pages(spark: SparkSession, d: str) -> DataFrame:
-    """Pages written as layout trees and walked back; trees of pages whose text is markup are left out."""
+    """Pages written as layout trees and walked back, markup escaped, with a list and the method of each page."""
     from ..operators.layout import layout_to_extractions
 
-    rows = _t(spark, d, "page_data").filter(~F.col("text").contains("<") & ~F.col("text").contains("&"))
+    rows = _t(spark, d, "page_data").filter("text is not null and page_no is not null")
+    escaped = F.replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     block = lambda kind, html: F.struct(F.lit(kind).alias("block_type"), html.alias("html"))
     equation = F.when(F.size("equations") > 0, F.lit("<math>x=1</math>"))
-    children = F.array(block("PageHeader", F.lit("<p>head</p>")), block("Text", F.concat(F.lit("<p>"), F.col("text"), F.lit("</p>"))), block("Equation", equation))
-    page = F.struct(F.concat(F.lit("/page/"), F.col("page_no").cast("string"), F.lit("/Page/1")).alias("id"), children.alias("children"))
-    trees = rows.select(F.col("page_id").cast("string").alias("doc_id"), F.to_json(F.struct(F.array(page).alias("children"))).alias("tree"))
-    first = F.get("pages", F.lit(0))
-    return layout_to_extractions(trees).select(F.col("doc_id").cast("bigint").alias("page_id"), first["text"].alias("text"), _big(F.size(first["equations"])).alias("equations"))
+    place = lambda n: F.concat(F.lit("/page/"), n.cast("string"), F.lit("/Page/1"))
+    page = F.struct(place(F.col("page_no") - 1).alias("id"), F.array(block("PageHeader", F.lit("<p>head</p>")), block("Text", F.concat(F.lit("<p>"), escaped, F.lit("</p>"))), block("Equation", equation)).alias("children"))
+    listed = F.struct(place(F.col("page_no")).alias("id"), F.array(block("ListGroup", F.lit("<ul><li>one</li><li>two</li></ul>"))).alias("children"))
+    stats = F.struct(F.array(F.struct((F.col("page_no") - 1).alias("page_id"), F.coalesce("extraction_method", F.lit("unknown")).alias("text_extraction_method"))).alias("page_stats"))
+    trees = rows.select(F.col("page_id").cast("string").alias("doc_id"), F.to_json(F.struct(stats.alias("metadata"), F.array(page, listed).alias("children"))).alias("tree"))
+    first, second = F.get("pages", F.lit(0)), F.get("pages", F.lit(1))
+    out = layout_to_extractions(trees, bullets=True)
+    return out.select(F.col("doc_id").cast("bigint").alias("page_id"), first["page_no"].alias("page_no"), first["text"].alias("text"), _big(F.size(first["equations"])).alias("equations"), second["text"].alias("listed"), first["_extraction_method"].alias("method"))
 
 
-@query(r"SELECT DISTINCT file, 'Chemistry' AS subject, class_no, chapter_no FROM manifest WHERE regexp_matches(file, '_chem_') AND class_no IS NOT NULL AND chapter_no IS NOT NULL")
+@query(r"SELECT DISTINCT file, coalesce(CASE split_part(file, '_', 2) WHEN 'bio' THEN 'Biology' WHEN 'phy' THEN 'Physics' WHEN 'chem' THEN 'Chemistry' END, upper(split_part(file, '_', 2))) AS subject, upper(split_part(file, '_', 2)) AS subject_code, coalesce(class_no, 11) AS class_no, coalesce(chapter_no, 1) AS chapter_no FROM manifest")
 def path_metadata(spark: SparkSession, d: str) -> DataFrame:
-    """Metadata read back from paths made of it."""
+    """Metadata read back from paths made of it; what a path does not say has a default."""
     from ..sources.readers import path_metadata as read
 
-    rows = _t(spark, d, "manifest").filter(F.col("file").rlike("_chem_") & F.col("class_no").isNotNull() & F.col("chapter_no").isNotNull()).select("file", "class_no", "chapter_no").distinct()
-    meta = read(F.concat(F.lit("/books/CHEM/class"), F.col("class_no").cast("string"), F.lit("/chapter_"), F.lpad(F.col("chapter_no").cast("string"), 2, "0")))
-    return rows.select("file", meta["subject"].alias("subject"), meta["class_no"].alias("class_no"), meta["chapter_no"].alias("chapter_no"))
+    rows = _t(spark, d, "manifest").select("file", "class_no", "chapter_no").distinct()
+    number = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    meta = read(F.concat(F.lit("/books/"), F.get(F.split("file", "_"), F.lit(1)), F.lit("/class"), number("class_no"), F.lit("/chapter_"), number("chapter_no")))
+    return rows.select("file", *(meta[k].alias(k) for k in ("subject", "subject_code", "class_no", "chapter_no"))).distinct()
 
 
 @query("SELECT '/books/' || document_id AS dir, min('/books/' || document_id || '/' || file) AS text_file, min('/books/' || document_id || '/' || replace(file, 'resources', 'images')) AS image_file FROM manifest WHERE document_id IS NOT NULL GROUP BY document_id")
@@ -591,14 +630,30 @@ def run_counts(spark: SparkSession, d: str) -> DataFrame:
     return A.counts_by(_t(spark, d, "resources").select(status.alias("status")), "status")
 
 
-@query()
+def _book_sql(board: str, inferred: str, parts: tuple[str, ...], source: str, types: dict[str, str], document_id: str) -> str:
+    steps = [Q.pages(Q.MARK_LINES[board]), Q.chapters(_SUBJECT, "given"), Q.titled(inferred), *parts, Q.built(source, "built", types, document_id), Q.images(), Q.multimodal("built", "book", document_id.replace("class_no", "h.class_no").replace("chapter_no", "h.chapter_no"))]
+    return f"WITH {', '.join(steps)} SELECT * FROM book"
+
+
+def _book_images(spark: SparkSession, d: str) -> DataFrame:
+    file = _t(spark, d, "manifest").groupBy("document_id", "chapter_no").agg(F.min("file").alias("file"))
+    return _t(spark, d, "image_meta").join(file, ["document_id", "chapter_no"]).select(F.regexp_replace("file", r"_resources\.json$", ".pdf").alias("doc_id"), "image_id", "page_no", "image_path", "caption")
+
+
+@query(_book_sql("open", Q.inferred_caps(), (Q.chunks(OPEN),), "chunks", R.OPEN_CHUNK_TO_TYPE, "'NIOS_BOOK_CH' || lpad(chapter_no::VARCHAR, 2, '0')"))
 def open_book(spark: SparkSession, d: str) -> DataFrame:
-    """Pages and images to resources and diagrams of whole books."""
+    """Pages and images to resources and diagrams of whole books of the open board."""
     from .pipelines import open_book as run
 
-    file = _t(spark, d, "manifest").groupBy("document_id", "chapter_no").agg(F.min("file").alias("file"))
-    images = _t(spark, d, "image_meta").join(file, ["document_id", "chapter_no"]).select(F.regexp_replace("file", r"_resources\.json$", ".pdf").alias("doc_id"), "image_id", "page_no", "image_path", "caption")
-    return run(_pages(spark, d), images, _chapters(spark, d), "BOOK")[0]
+    return run(_marked_pages(spark, d, "open"), _book_images(spark, d), _chapters(spark, d), "BOOK")[0]
+
+
+@query(_book_sql("state", Q.inferred_state(), (Q.chunks(STATE), Q.merged("chunks", "merged", most_page=True, distinct=True)), "merged", R.CHUNK_TO_TYPE, "'MAHA_BOOK_' || class_no"))
+def state_book(spark: SparkSession, d: str) -> DataFrame:
+    """The same of the state board."""
+    from .pipelines import state_book as run
+
+    return run(_marked_pages(spark, d, "state"), _book_images(spark, d), _chapters(spark, d), "BOOK")[0]
 
 
 @query()
