@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -74,21 +75,25 @@ def annotation_prompt(candidates: Column) -> Column:
     return F.concat(about(), F.lit("Summary:\n"), F.coalesce(strip(F.col("summary")), F.lit("")), F.lit("\nCandidates:\n"), listed, F.lit("\nName the candidates that the summary treats as a JSON array of strings, and nothing else."))
 
 
-def ask(rows: DataFrame, prompt: str, annotator: Callable[[], Annotator]) -> DataFrame:
+def ask(rows: DataFrame, prompt: str, annotator: Callable[[], Annotator], pause: float = 0.0) -> DataFrame:
     """``rows`` with ``answer`` and ``error``; ``annotator`` is called once per task and makes what answers.
 
-    An answer that fails is an error of its row, with null answer, not of the job.  Rows pass by Arrow batches.
+    An answer that fails is an error of its row, with null answer, not of the job.  Rows pass by Arrow batches.  ``pause``
+    seconds lie between the answers of one task, for services that ask for it.
     """
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", answer string, error string"
     names = [*rows.columns, "answer", "error"]
     at = names.index(prompt)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reply = None
+        reply, asked = None, False
         for batch in batches:
             reply = reply or annotator()
             answers, failed = [], []
             for p in batch.column(at).to_pylist():
+                if pause and asked:
+                    time.sleep(pause)
+                asked = True
                 try:
                     answers.append(reply(p))
                     failed.append(None)

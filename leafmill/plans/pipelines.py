@@ -16,6 +16,10 @@ from ..operators.boards import OPEN, OPEN_CLASS, STATE, Board
 from .lineage import cut
 
 
+# What the ids of the boards' books start with.
+OPEN_ID, STATE_ID = "NIOS", "MAHA"
+
+
 def book(pages: DataFrame, images: DataFrame, chapters: DataFrame, board: Board, document_id: Column, merge: bool, types: dict[str, str] = R.OPEN_CHUNK_TO_TYPE) -> tuple[DataFrame, DataFrame]:
     """(resources and diagrams, quarantined resources) of all chapters at once.
 
@@ -30,19 +34,19 @@ def book(pages: DataFrame, images: DataFrame, chapters: DataFrame, board: Board,
     return R.multimodal(cut(valid, "resources"), images), bad
 
 
-def open_book(pages: DataFrame, images: DataFrame, chapters: DataFrame, code: str) -> tuple[DataFrame, DataFrame]:
-    """The open board's book: ids ``NIOS_{code}_CHnn``, short chunks are not merged, titles are inferred where none is given."""
+def open_book(pages: DataFrame, images: DataFrame, chapters: DataFrame, code: str, prefix: str = OPEN_ID) -> tuple[DataFrame, DataFrame]:
+    """The open board's book: ids ``{prefix}_{code}_CHnn``, short chunks are not merged, titles are inferred where none is given."""
     named = _titled(chapters, S.infer_title(pages))
-    number = chapters.select("doc_id", F.concat(F.lit(f"NIOS_{code}_CH"), F.lpad(F.col("chapter_no").cast("string"), 2, "0")).alias("__id"))
+    number = chapters.select("doc_id", F.concat(F.lit(f"{prefix}_{code}_CH"), F.lpad(F.col("chapter_no").cast("string"), 2, "0")).alias("__id"))
     out, bad = book(pages, images, named, OPEN, F.lit(None).cast("string"), merge=False)
     name = lambda df: df.join(number, "doc_id", "left").withColumn("document_id", F.coalesce("__id", "document_id")).drop("__id")
     return name(out), name(bad)
 
 
-def state_book(pages: DataFrame, images: DataFrame, chapters: DataFrame, code: str) -> tuple[DataFrame, DataFrame]:
-    """The state board's book: ids ``MAHA_{code}_{class}``, short chunks are merged, titles inferred on raw pages."""
+def state_book(pages: DataFrame, images: DataFrame, chapters: DataFrame, code: str, prefix: str = STATE_ID) -> tuple[DataFrame, DataFrame]:
+    """The state board's book: ids ``{prefix}_{code}_{class}``, short chunks are merged, titles inferred on raw pages."""
     named = _titled(chapters, S.infer_title_state(pages, chapters))
-    number = chapters.select("doc_id", F.concat_ws("_", F.lit("MAHA"), F.lit(code), F.col("class_no").cast("string")).alias("__id"))
+    number = chapters.select("doc_id", F.concat_ws("_", F.lit(prefix), F.lit(code), F.col("class_no").cast("string")).alias("__id"))
     out, bad = book(pages, images, named, STATE, F.lit(None).cast("string"), merge=True, types=R.CHUNK_TO_TYPE)
     name = lambda df: df.join(number, "doc_id", "left").withColumn("document_id", F.coalesce("__id", "document_id")).drop("__id")
     return name(out), name(bad)

@@ -19,6 +19,7 @@ from ..operators import tables as B
 from ..operators import vocabulary as V
 from ..operators.boards import NATIONAL, OPEN, OPEN_CLASS, STATE
 from . import board_sql as Q
+from . import lineage
 from .skew import dense_ids, strip
 
 _REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -595,9 +596,17 @@ def chapter_files(spark: SparkSession, d: str) -> DataFrame:
 _ABOUT = "'Subject: ' || coalesce(subject, '') || chr(10) || 'Class: ' || coalesce(class_no::VARCHAR, '') || chr(10) || 'Chapter: ' || coalesce(chapter_title, '') || chr(10) || CASE WHEN coalesce(section, '') <> '' THEN 'Section: ' || section || chr(10) ELSE '' END || CASE WHEN coalesce(subsection, '') <> '' THEN 'Subsection: ' || subsection || chr(10) ELSE '' END || 'Type: ' || coalesce(resource_type, '') || chr(10)"
 
 
-@query(f"SELECT load_id, {_ABOUT} || 'Has equation: ' || CASE WHEN has_equation THEN 'yes' ELSE 'no' END || chr(10) || 'Passage:' || chr(10) || text || chr(10) || 'Name three to eight scientific concepts of the passage as a JSON array of strings, and nothing else.' AS prompt FROM resources WHERE text IS NOT NULL")
+_ASKED = "'Name three to eight scientific concepts of the passage as a JSON array of strings, and nothing else.'"
+
+
+@query(f"""SELECT load_id, {_ABOUT} || 'Has equation: ' || CASE WHEN has_equation THEN 'yes' ELSE 'no' END || chr(10) || 'Passage:' || chr(10) || text || chr(10) || {_ASKED} AS prompt,
+{_ABOUT} || 'Has equation: ' || CASE WHEN has_equation THEN 'yes' ELSE 'no' END || chr(10) || 'Terms already known, to be preferred:' || chr(10) || '- Anode' || chr(10) || '- Mitosis' || chr(10) || 'Passage:' || chr(10) || text || chr(10) || {_ASKED} AS with_known,
+{_ABOUT} || 'Summary:' || chr(10) || coalesce({_STRIP.format('summary')}, '') || chr(10) || 'Candidates:' || chr(10) || array_to_string(list_transform(list_filter(coalesce(concepts, []), lambda x: x IS NOT NULL), lambda x: '- ' || x), chr(10)) || chr(10) || 'Name the candidates that the summary treats as a JSON array of strings, and nothing else.' AS with_candidates FROM resources WHERE text IS NOT NULL""")
 def prompts(spark: SparkSession, d: str) -> DataFrame:
-    return _t(spark, d, "resources").filter("text is not null").select("load_id", C.extraction_prompt(F.col("text")).alias("prompt"))
+    """The three things a model is asked."""
+    shown = F.filter(F.coalesce("concepts", F.array().cast("array<string>")), lambda x: x.isNotNull())
+    plain, known = C.extraction_prompt(F.col("text")), C.extraction_prompt(F.col("text"), ["Mitosis", "Anode"])
+    return _t(spark, d, "resources").filter("text is not null").select("load_id", plain.alias("prompt"), known.alias("with_known"), C.annotation_prompt(shown).alias("with_candidates"))
 
 
 @query(rf"""WITH {_LINES}, s AS (SELECT *, {_STRIP.format('line')} AS s FROM lines), t AS (SELECT doc_id, page_seq, line_no, regexp_extract(s, '^(\d+\.\d+(?:\.\d+)?)\s+(.+?)\s*$', 1) AS section_no, regexp_split_to_array(regexp_extract(s, '^(\d+\.\d+(?:\.\d+)?)\s+(.+?)\s*$', 2), '\s+') AS w FROM s WHERE regexp_matches(s, '^(\d+\.\d+(?:\.\d+)?)\s+(.+?)\s*$'))
@@ -656,6 +665,114 @@ def state_book(spark: SparkSession, d: str) -> DataFrame:
     return run(_marked_pages(spark, d, "state"), _book_images(spark, d), _chapters(spark, d), "BOOK")[0]
 
 
+@query("SELECT source_pdf AS doc_id, page_no, row_number() OVER (PARTITION BY source_pdf ORDER BY page_no, page_id) - 1 AS page_seq, coalesce(text, '') AS text, coalesce(equations, []) AS equations FROM page_data")
+def extractions_read(spark: SparkSession, d: str) -> DataFrame:
+    """Pages written as one extraction file a document, and these read back."""
+    from ..sources import readers
+
+    page = F.struct("page_no", "text", "markdown", "equations", F.col("extraction_method").alias("_extraction_method"))
+    docs = _t(spark, d, "page_data").groupBy("source_pdf").agg(F.transform(F.array_sort(F.collect_list(F.struct("page_no", "page_id", page.alias("p")))), lambda x: x["p"]).alias("pages"))  # a file holds its document
+    path = lineage.scratch(spark, "extractions")
+    docs.write.option("maxRecordsPerFile", 1).json(path)
+    read, _ = readers.read_extractions(spark, path)
+    return readers.pages_of(read, "source_pdf").withColumn("page_seq", _big("page_seq"))
+
+
+@query("SELECT source_pdf AS doc_id, page_no, row_number() OVER (PARTITION BY source_pdf ORDER BY page_no, page_id) - 1 AS page_seq, text FROM page_data")
+def pages_flat(spark: SparkSession, d: str) -> DataFrame:
+    """Pages without their equations, from one row a document."""
+    docs = _t(spark, d, "page_data").groupBy(F.col("source_pdf").alias("doc_id")).agg(F.array_sort(F.collect_list(F.struct("page_no", "page_id", "text"))).alias("pages"))
+    return L.flat_pages(docs).withColumn("page_seq", _big("page_seq"))
+
+
+@query("SELECT load_id, class_no, coalesce(class_no::VARCHAR, '?') || '/' || coalesce(chapter_no::VARCHAR, '?') AS folder FROM resources")
+def chapters_written(spark: SparkSession, d: str) -> DataFrame:
+    """Resources written by chapter, with the folder each is read back from."""
+    from ..sources import writers
+
+    path = lineage.scratch(spark, "chapters")
+    writers.write_chapters(_t(spark, d, "resources"), path)
+    part = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("?"))
+    return spark.read.parquet(path).select("load_id", "class_no", F.concat(part("part_class_no"), F.lit("/"), part("part_chapter_no")).alias("folder"))
+
+
+@query("SELECT resource_id, document_id, text, coalesce(concepts, []) AS concepts, coalesce(has_equation, false) AS has_equation, page_start FROM resources WHERE resource_id IS NOT NULL")
+def resources_read(spark: SparkSession, d: str) -> DataFrame:
+    """Resources written as JSON, one file each, and read back with their defaults."""
+    from ..sources import readers, writers
+
+    path = lineage.scratch(spark, "resources")
+    rows = _t(spark, d, "resources").filter("resource_id is not null").select(*R.RESOURCE_COLUMNS)
+    writers.write_json(rows, path, per_file=1)
+    return readers.read_resources(spark, path).select("resource_id", "document_id", "text", "concepts", "has_equation", "page_start")
+
+
+@query("SELECT canonical_id, display_name, frequency, source, row_number() OVER (ORDER BY canonical_id) - 1 AS vocab_ord FROM vocab")
+def vocabulary_read(spark: SparkSession, d: str) -> DataFrame:
+    """The vocabulary written as one keyed object and read back in its order."""
+    from ..sources import readers
+
+    path = lineage.scratch(spark, "vocabulary")
+    entry = F.struct("display_name", "frequency", "source")
+    listed = F.array_sort(F.collect_list(F.struct("canonical_id", entry.alias("e"))))  # the reference list is one file
+    _vocab(spark, d).agg(F.to_json(F.map_from_entries(listed)).alias("value")).write.text(path)
+    return readers.read_keyed(spark, path).withColumn("vocab_ord", _big("vocab_ord"))
+
+
+@query("SELECT load_id, true AS again_none FROM resources")
+def appended(spark: SparkSession, d: str) -> DataFrame:
+    """A stage that resumes: what is done is appended once, whoever asks again."""
+    from ..sources import writers
+
+    path, rows = lineage.scratch(spark, "appended"), _t(spark, d, "resources").select("load_id", "resource_type")
+    writers.append_new(rows.filter("resource_type = 'explanation'"), path, ["load_id"])
+    writers.append_new(rows, path, ["load_id"])
+    again = writers.append_new(rows, path, ["load_id"])
+    return spark.read.parquet(path).select("load_id", F.lit(again == 0).alias("again_none"))
+
+
+@query(f"SELECT count(*) AS total, count(*) FILTER (WHERE resource_type <> 'diagram' AND coalesce({_STRIP.format('text')}, '') <> '') AS ok, count(*) FILTER (WHERE resource_type = 'diagram') AS skipped, count(*) FILTER (WHERE resource_type <> 'diagram' AND coalesce({_STRIP.format('text')}, '') = '') AS failed, least(100, count(*) FILTER (WHERE resource_type <> 'diagram' AND coalesce({_STRIP.format('text')}, '') = ''))::BIGINT AS shown FROM resources")
+def run_logged(spark: SparkSession, d: str) -> DataFrame:
+    """The log of a run: outcomes, and errors as examples."""
+    from ..sources import writers
+
+    status = F.when(F.col("resource_type") == "diagram", "skipped").when(F.coalesce(strip(F.col("text")), F.lit("")) == "", "error").otherwise("ok")
+    rows = _t(spark, d, "resources").select(F.col("load_id").alias("id"), status.alias("status")).withColumn("error", F.when(F.col("status") == "error", "empty text"))
+    return writers.run_log(rows).select("total", "ok", "skipped", "failed", _big(F.size("errors")).alias("shown"))
+
+
+@query(_sql("open", Q.chunks(OPEN), final="SELECT printf('%3d %-18s %-8s %-10s %4s-%-4s', chunk_seq, chunk_type, coalesce(section_no, '-'), coalesce(subsection_no, '-'), coalesce(page_start::VARCHAR, '-'), coalesce(page_end::VARCHAR, '-')) AS line FROM chunks"))
+def audit_written(spark: SparkSession, d: str) -> DataFrame:
+    """The audit as a text report, read back."""
+    from ..sources import writers
+
+    path = lineage.scratch(spark, "audit")
+    writers.write_lines(A.audit_lines(S.segment(_marked_pages(spark, d, "open"), OPEN, _chapters(spark, d))), "line", path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+@query(_sql("open", Q.chunks(OPEN), final="SELECT doc_id, chunk_seq, chunk_type, substr(replace(text, chr(10), ' '), 1, 120) AS preview FROM chunks WHERE chunk_seq <= 5"))
+def chunk_previews(spark: SparkSession, d: str) -> DataFrame:
+    """A report of the first five chunks of each document."""
+    return A.previews(S.segment(_marked_pages(spark, d, "open"), OPEN, _chapters(spark, d)))
+
+
+@query("SELECT load_id, text FROM resources ORDER BY load_id LIMIT 10")
+def first_rows(spark: SparkSession, d: str) -> DataFrame:
+    """A processing limit as a user asks for it."""
+    return B.first_n(_t(spark, d, "resources").select("load_id", "text"), ["load_id"], 10)
+
+
+@query(r"SELECT DISTINCT '/books/' || split_part(file, '_', 1) || '/' || file AS path, '/out/' || split_part(file, '_', 1) || '/' || regexp_replace(file, '[.]json$', '.txt') AS target, coalesce(try_cast(regexp_extract(file, '(\d+)', 1) AS INT), -1) AS number FROM manifest WHERE split_part(file, '_', 1) IN ('nios', 'maha')")
+def folders(spark: SparkSession, d: str) -> DataFrame:
+    """Files under named folders, where their output lies, and the number they are ordered by."""
+    from ..sources import readers
+
+    paths = _t(spark, d, "manifest").select(F.concat(F.lit("/books/"), F.get(F.split("file", "_"), F.lit(0)), F.lit("/"), F.col("file")).alias("path")).distinct()
+    kept = readers.folders_allowed(paths, "path", ["nios", "maha"])
+    return kept.select("path", readers.mirrored(F.col("path"), "/books", "/out", ".txt").alias("target"), F.coalesce(readers.chapter_order(F.col("path")), F.lit(-1)).alias("number"))
+
+
 @query()
 def concept_pipeline(spark: SparkSession, d: str) -> DataFrame:
     """Extraction, vocabulary, annotation and gates with the stand-in for a model."""

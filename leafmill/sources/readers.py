@@ -27,7 +27,7 @@ ENTRY = "map<string, struct<display_name: string, frequency: int, source: string
 
 # Names of subjects by their code in paths, and the pattern of a chapter's folder.
 SUBJECTS = {"BIO": "Biology", "PHY": "Physics", "CHEM": "Chemistry"}
-CHAPTER = r"(?i)(chapter|lesson)[\s\-_]*\d+$"
+CHAPTER = r"(?i)(chapter|lesson)[\s\-]*\d+$"
 
 
 def _json(spark: SparkSession, schema: T.StructType, path: str | list[str], glob: str = "*.json") -> DataFrame:

@@ -12,8 +12,9 @@ def write_chapters(rows: DataFrame, path: str, form: str = "parquet", by: tuple[
     copies.write.mode(mode).partitionBy(*(f"part_{c}" for c in by)).format(form).save(path)
 
 
-def write_json(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
-    rows.write.mode(mode).option("ignoreNullFields", False).json(path)
+def write_json(rows: DataFrame, path: str, mode: str = "overwrite", per_file: int = 0) -> None:
+    """JSON lines; with ``per_file`` no file holds more rows, so that with 1 every file is one object."""
+    rows.write.mode(mode).option("ignoreNullFields", False).option("maxRecordsPerFile", per_file).json(path)
 
 
 def write_vocabulary(tables: dict[str, DataFrame], path: str, dry_run: bool = False) -> dict[str, int]:

@@ -51,7 +51,7 @@ def test_identifiers_and_forms(spark):
     assert one(spark, T.section_slug(F.lit("4.2"), F.lit(None))) == "S4_2" and one(spark, T.section_slug(F.lit(None), F.lit("--"))) == "X"
     assert f(T.figure_references, "See Fig. 2.1, figure 1.3a and Fig 2.1") == ["1.3a", "2.1"]
     assert f(T.word_set, "The the An atom's") == ["the", "atom"]
-    assert f(T.html_to_text, "<p>a &lt; b</p><li>c</li>d<br/>e") == "a < b\nc\nd\ne"
+    assert layout._plain("<p>a &lt; b</p><li>c</li>d<br/>e", False) == "a < b\nc\nd\ne"
     df = spark.createDataFrame([("NEWTON'S LAWS-OF (MOTION) 2nd", "alkali metals", "alkaline metals"), (None, None, "x")], "t string, a string, b string")
     r = df.select(title_case("t").alias("t"), similarity("a", "b").alias("s")).collect()
     assert r[0].t == "Newton'S Laws-Of (Motion) 2Nd" and abs(r[0].s - SequenceMatcher(None, "alkali metals", "alkaline metals").ratio()) < 1e-9 and r[1].t is None
@@ -296,3 +296,37 @@ def test_grid_join_meets_every_pair_once(spark):
     right = spark.createDataFrame([("h", k) for k in range(30)] + [("c", 7), ("c", 8), ("e", 9)], "key string, r int")
     got = [(r.key, r.l, r.r) for r in grid_join(left, right, "key", spark.createDataFrame([("h",)], "key string"), "l", "r").collect()]
     assert sorted(got) == sorted([("h", a, b) for a in range(40) for b in range(30)] + [("c", 1, 7), ("c", 1, 8)])
+
+
+def test_pdf_pages_by_the_class_of_their_file(spark, tmp_path, monkeypatch):
+    """A stand-in for the optional package, on the workers' path."""
+    from leafmill.sources import pdf, readers
+
+    (tmp_path / "lib").mkdir()
+    (tmp_path / "lib" / "pdfplumber.py").write_text(
+        "class Page:\n    width, height = 100, 10\n    def __init__(self, t): self.t = t\n    def extract_text(self): return self.t\n    def crop(self, box): return Page(f'{self.t}@{int(box[0])}')\n"
+        "class Pdf:\n    def __init__(self, f):\n        b = f.read().decode()\n        if b == 'bad': raise ValueError('broken')\n        self.pages = [Page(t) for t in b.split('|')]\n    def __enter__(self): return self\n    def __exit__(self, *a): return False\n"
+        "def open(f): return Pdf(f)\n"
+    )
+    for at, content in (("BIO/class11/chapter1/a.pdf", "one|two"), ("BIO/class9/chapter2/b.pdf", "xxxxxx  y"), ("BIO/class9/chapter3/c.pdf", "bad")):
+        (tmp_path / "books" / at).parent.mkdir(parents=True)
+        (tmp_path / "books" / at).write_text(content)
+    spark.sparkContext.addPyFile(str(tmp_path / "lib" / "pdfplumber.py"))
+    folder = F.regexp_replace("path", r"/[^/]*$", "")
+    got = {r._source_file[-5:]: r for r in pdf.read_pdf(spark, str(tmp_path / "books"), readers.path_metadata(folder)["class_no"]).collect()}
+    assert [p.text for p in got["a.pdf"].pages] == ["one@0\none@50", "two@0\ntwo@50"] and [p.text for p in got["b.pdf"].pages] == ["x y"]
+    assert got["c.pdf"].pages is None and got["c.pdf"].error == "broken"
+
+
+def test_answers_with_pauses_and_errors(spark):
+    def annotator():
+        def reply(p):
+            if p == "bad":
+                raise RuntimeError("no answer")
+            return p.upper()
+
+        return reply
+
+    df = spark.createDataFrame([("a",), ("bad",), ("c",)], "prompt string").coalesce(1)
+    got = [(r.answer, r.error) for r in C.ask(df, "prompt", annotator, pause=0.01).collect()]
+    assert sorted(got, key=str) == sorted([("A", None), (None, "no answer"), ("C", None)], key=str)
