@@ -87,6 +87,7 @@ def _segment(text: str) -> str:
         text = made
 
 
+_BEYOND = re.compile(r"[^\x00-\x7f]+")  # where alone unstable characters are
 _VOWELS = re.compile("[अआउए][\u093a\u093b\u093e\u0941\u0945-\u094c\u094f\u0956\u0957]|र्इ")
 _BLANKS = re.compile(r"[ \t]+(?=\n)|[ \t]{2,}|\t|\r\n?|[ \t]+\Z|\A[ \t]+|(?<=\n)[ \t]+")
 
@@ -95,11 +96,12 @@ def letters(text: str) -> str:
     """``canonical`` but for the blanks: unstable segments, each with the character before it, in one form."""
     if text.isascii():
         return text
-    out, done = [], 0
-    for m in _tables()[0].finditer(text):
-        at = max(m.start() - 1, done)
-        out += (text[done:at], _segment(text[at : m.end()]))
-        done = m.end()
+    out, done, unstable = [], 0, _tables()[0]
+    for run in _BEYOND.finditer(text):
+        for m in unstable.finditer(text, run.start(), run.end()):
+            at = max(m.start() - 1, done)
+            out += (text[done:at], _segment(text[at : m.end()]))
+            done = m.end()
     out.append(text[done:])
     made = "".join(out)
     if not unicodedata.is_normalized("NFC", made):  # a mark at a segment's end may lean further back than its segment
