@@ -197,7 +197,9 @@ def candidates(words: DataFrame, least: int) -> DataFrame:
     """
     good = words.filter((F.col("n") >= least) & F.col("key").rlike(r"^[a-z]+(['-][a-z]+)*$"))
     index = good.select("key", "n", "d").mapInArrow(_deletions("meant"), "gap string, meant string, meant_n bigint, meant_d bigint")
-    asked = words.filter(F.col("key").rlike(r"[a-zÀ-ɏ]")).select("key", "n", "d").mapInArrow(_deletions("read"), "gap string, read string, read_n bigint, read_d bigint")
+    # The words are few bytes, their deletions many: the number of tasks is kept.
+    tasks = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = words.filter(F.col("key").rlike(r"[a-zÀ-ɏ]")).select("key", "n", "d").repartition(tasks, "key").mapInArrow(_deletions("read"), "gap string, read string, read_n bigint, read_d bigint")
     n, d, m, e = (F.col(c) for c in ("read_n", "read_d", "meant_n", "meant_d"))
     signs = F.col("read").rlike(r"[0-9|!$]") & ((m >= n) | (e >= d))
     frequent = (e >= F.lit(RATIO) * d) | (m >= F.lit(RATIO) * n) & ((d < F.lit(LEAST)) | (d <= e)) | signs
