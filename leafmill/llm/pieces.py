@@ -238,7 +238,11 @@ def file_ranges(spark: SparkSession, paths: list[str], range_bytes: int = 8 << 2
     sizes = [status(p) for p in paths]
     files = spark.createDataFrame([(i, p, n) for i, (p, n) in enumerate(sizes) if n], "id bigint, path string, size bigint")
     parts = files.select("id", "path", "size", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("size") - 1) / range_bytes))).alias("k"))
-    parts = parts.select("id", "path", "size", F.col("k").cast("int").alias("rno"), (F.col("k") * range_bytes).alias("lo"), F.least((F.col("k") + 1) * range_bytes, "size").alias("hi")).repartition("path", "rno")
+    parts = parts.select("id", "path", "size", F.col("k").cast("int").alias("rno"), (F.col("k") * range_bytes).alias("lo"), F.least((F.col("k") + 1) * range_bytes, "size").alias("hi"))
+    # The plan's rows are small, what they stand for is not: the number of tasks is set, so that it is kept.
+    ranges = sum(-(-n // range_bytes) for _, n in sizes)
+    tasks = max(1, min(ranges, max(4 * spark.sparkContext.defaultParallelism, ranges // 16)))
+    parts = parts.repartition(tasks, "path", "rno")
 
     def opened(path: str):
         from pyarrow import fs
@@ -270,4 +274,4 @@ def file_ranges(spark: SparkSession, paths: list[str], range_bytes: int = 8 << 2
                 text = before + right[head:].decode("utf-8", "ignore")
                 yield _batch([(i, "file", i, rno, own - len(before), own, own + chars, total, text)], _RANGE)
 
-    return placed.select("path", "id", "rno", "lo", "hi", "own", "chars", "total").mapInArrow(read, _RANGES)
+    return placed.select("path", "id", "rno", "lo", "hi", "own", "chars", "total").repartition(tasks, "path", "rno").mapInArrow(read, _RANGES)
