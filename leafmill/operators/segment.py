@@ -141,8 +141,11 @@ def segment(pages: DataFrame, board: Board, chapters: DataFrame, least: int = SH
     chapter_title.  Chunks whose cleaned text is under ``least`` characters are dropped before they are numbered.
     Documents without a row in ``chapters`` give no chunks.
     """
-    ready = spread(pages)
-    ready = ready.withColumn("text", board.preprocess(F.col("text"))) if board.preprocess else ready
+    return _segment(spread(pages), board, chapters, least)
+
+
+def _segment(pages: DataFrame, board: Board, chapters: DataFrame, least: int = SHORT) -> DataFrame:
+    ready = pages.withColumn("text", board.preprocess(F.col("text"))) if board.preprocess else pages
     # Filtered after the cut: pushed below it, the condition would clean every text a second time.
     kept = cut(raw_chunks(pages_to_lines(ready, drop_page_numbers=True), board), "chunks").filter(F.length(F.trim("text")) >= least)
     numbered = running(kept.withColumn("block", F.floor(F.col("chunk") / 1024).cast("int")), "doc_id", "block", ["chunk"], sums={"n": F.lit(1)})
@@ -191,10 +194,14 @@ def headings_lower(lines: DataFrame) -> DataFrame:
 
 def segment_headings(pages: DataFrame, chapters: DataFrame, least: int = SHORT) -> DataFrame:
     """Chunks of the lower classes: a heading starts a chunk of explanation; short text is carried into the next one."""
+    return _segment_headings(spread(pages), chapters, least)
+
+
+def _segment_headings(pages: DataFrame, chapters: DataFrame, least: int = SHORT) -> DataFrame:
     title = F.when(F.col("heading"), F.struct(F.lit(None).cast("string").alias("no"), strip(F.col("text")).alias("title")))
     null = F.lit(None).cast("string")
     w = Window.partitionBy("doc_id", "block").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
-    marked = headings_lower(pages_to_lines(spread(pages))).select("doc_id", "block", *ORDER, "text", F.col("heading").alias("starts"), title.alias("one"), F.sum(F.col("heading").cast("int")).over(w).alias("part"))
+    marked = headings_lower(pages_to_lines(pages)).select("doc_id", "block", *ORDER, "text", F.col("heading").alias("starts"), title.alias("one"), F.sum(F.col("heading").cast("int")).over(w).alias("part"))
     at = F.struct(*ORDER)
     held = F.array_sort(F.collect_list(F.when(~F.col("starts"), F.struct(*ORDER, "text"))))
     parts = marked.groupBy(*_KEYS).agg(held.alias("l"), F.min_by("page_no", at).alias("page_start"), F.max_by("page_no", at).alias("last_page"), _start("one"))
@@ -218,13 +225,13 @@ def segment_headings(pages: DataFrame, chapters: DataFrame, least: int = SHORT)
 
 def parse_national(pages: DataFrame, chapters: DataFrame) -> DataFrame:
     """Chunks by class: 10 to 12 by numbered sections, 8 and 9 by headings, merged; any other class is an error when run."""
-    classed = pages.join(chapters.select("doc_id", F.col("class_no").alias("__c")), "doc_id")
+    classed = spread(pages).join(chapters.select("doc_id", F.col("class_no").alias("__c")), "doc_id")
     bad = F.when(F.col("__c").isin(8, 9, 10, 11, 12), F.col("__c")).otherwise(F.raise_error(F.concat(F.lit("unsupported class: "), F.coalesce(F.col("__c").cast("string"), F.lit("null")))).cast("int"))
     checked = classed.withColumn("__c", bad)
     from .boards import NATIONAL
 
-    upper = segment(checked.filter(F.col("__c") >= 10).drop("__c"), NATIONAL, chapters)
-    lower = segment_headings(checked.filter(F.col("__c") < 10).drop("__c"), chapters)
+    upper = _segment(checked.filter(F.col("__c") >= 10).drop("__c"), NATIONAL, chapters)
+    lower = _segment_headings(checked.filter(F.col("__c") < 10).drop("__c"), chapters)
     return merge_short(upper.unionByName(lower))
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 def spread(df: DataFrame) -> DataFrame:
     """``df`` in as many tasks as there are cores, where it comes in fewer: a small file is one task however much work its rows are.
 
-    Tables of as many splits as cores, so all large ones, are left as they are: nothing is shuffled.
+    Tables of as many splits as cores, so all large ones, are left as they are: nothing is shuffled.  Meant for scans, as
+    the tasks of a plan with shuffles are known only once these have run.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
