@@ -183,6 +183,34 @@ def test_short_edited_leaks(spark):
     assert {r.doc_id for r in leaks.leaks(df, it).collect()} == {1, 2, 3, 4}
 
 
+def test_planted_passages_with_edits_are_found(spark):
+    """Passages of 12 words or more, with an edit inside in every eight words at most, among words of the same vocabulary."""
+    rng = random.Random(12)
+    words = ["".join(rng.choice("bcdfgklmnprstv") + rng.choice("aeiou") for _ in range(rng.randint(2, 4))) for _ in range(400)]
+    items = {i: [rng.choice(words) for _ in range(rng.randint(14, 60))] for i in range(60)}
+    docs, want = [], set()
+    for k in range(400):
+        text = [rng.choice(words) for _ in range(rng.randint(20, 120))]
+        if k % 4:
+            i = rng.randrange(60)
+            size = rng.randint(12, len(items[i]))
+            at = rng.randint(0, len(items[i]) - size)
+            passage = items[i][at : at + size]
+            for _ in range(rng.randint(0, size // 8)):
+                n = rng.randint(1, len(passage) - 2)
+                passage[n : n + rng.randint(0, 1)] = rng.choice([[], ["zzword"]])
+            edits = size - sum((b.size for b in leaks.SequenceMatcher(None, items[i][at : at + size], passage, autojunk=False).get_matching_blocks()))
+            text[10:10] = passage
+            if edits <= size // 8 and len(passage) <= size + size // 8:
+                want.add((k, i))
+        docs.append((k, " ".join(text)))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    it = spark.createDataFrame([(i, " ".join(t)) for i, t in items.items()], "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id) for r in leaks.leaks(df, it).collect()}
+    assert len(want) > 250 and len(want & found) >= 0.99 * len(want), sorted(want - found)[:5]
+    assert len(found - want) <= 3
+
+
 def test_stock_instructions_are_the_same_in_any_blocks(spark):
     stock = "choose the correct option and justify it in one word only now "
     items = [(k, stock + f"about thing{k} that matters") for k in range(4)]
