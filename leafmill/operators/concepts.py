@@ -3,21 +3,23 @@
 from __future__ import annotations
 
 import time
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.concept_lists import accepted, concept_list
 from ..plans.skew import strip
 
-# Types read for concepts, types never read, types whose summary is read first, least length, candidates shown, known terms shown.
+# Types read for concepts, types never read, types whose summary is read first, least length, candidates shown, known terms shown; entries of a vocabulary that workers are handed.
 READ_TYPES = ("explanation", "example", "recall", "callout", "activity", "internet_task", "scientist_box")
 SKIPPED_TYPES = ("diagram", "exercise", "mcq")
 SUMMARY_TYPES = ("explanation", "example", "activity")
 LEAST, CANDIDATES, KNOWN = 40, 40, 150
+LISTED = 20_000
 
 #: Turns a prompt into an answer; called once per row, on the workers.
 Annotator = Callable[[str], str]
@@ -121,10 +123,66 @@ def candidates(resources: DataFrame, vocabulary: DataFrame, key: str, most: int
 
     Score: words of the name among the resource's words, and 5 if the name stands in its text.  Ranked by score, then
     ``vocab_ord``; filled up to ``most`` with structural entries by frequency (score 0).  ``vocabulary`` has canonical_id,
-    display_name, frequency, source, vocab_ord.
+    display_name, frequency, source, vocab_ord; ``key`` is unique.
+
+    A vocabulary of up to LISTED entries is handed to the workers, who rank each text where it lies, so nothing is shuffled;
+    a larger one is joined by its words.
+    """
+    entries = vocabulary.select("canonical_id", "display_name", "source", "frequency", "vocab_ord", F.lower("display_name").alias("n"), T.word_set(F.col("display_name")).alias("v"))
+    listed = entries.limit(LISTED + 1).collect()
+    if len(listed) <= LISTED:
+        return _ranked_in_place(resources, listed, key, most)
+    return _ranked_by_joins(resources, vocabulary, key, most)
+
+
+def _ranked_in_place(resources: DataFrame, listed: list[Row], key: str, most: int) -> DataFrame:
+    """``candidates`` in one pass over the texts: names are looked up by their words, and by their first characters at every place of a text."""
+    listed = sorted(listed, key=lambda r: (r.vocab_ord, r.canonical_id))
+    by_word, by_start = defaultdict(list), defaultdict(list)
+    for o, r in enumerate(listed):
+        for x in r.v:
+            by_word[x].append(o)
+        if r.n:
+            by_start[r.n[:GRAM]].append((o, r.n))
+    by_word, by_start = dict(by_word), dict(by_start)
+    widths = sorted({len(g) for g in by_start})
+    structural = sorted((o for o, r in enumerate(listed) if r.source == "structural"), key=lambda o: (-(listed[o].frequency or 0), o))[: 2 * most]
+    ids, names = [r.canonical_id for r in listed], [r.display_name for r in listed]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        all_ids, all_names = pa.array(ids, pa.string()), pa.array(names, pa.string())
+        for batch in batches:
+            at, ranks, entries, scores = [], [], [], []
+            for k, (t, words) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+                found: dict[int, int] = {}
+                for x in words:
+                    for o in by_word.get(x, ()):
+                        found[o] = found.get(o, 0) + 1
+                stand = set()
+                for width in widths:
+                    for g in {t[i : i + width] for i in range(len(t) - width + 1)} & by_start.keys():
+                        stand.update(o for o, n in by_start[g] if n in t)
+                for o in stand:
+                    found[o] = found.get(o, 0) + 5
+                top = sorted(found.items(), key=lambda e: (-e[1], e[0]))[:most]
+                if len(top) < most:
+                    top += [(o, 0) for o in structural if o not in found][: most - len(top)]
+                at += [k] * len(top)
+                ranks += range(1, len(top) + 1)
+                entries += [o for o, _ in top]
+                scores += [s for _, s in top]
+            which = pa.array(entries, pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int32())), pa.array(ranks, pa.int32()), all_ids.take(which), all_names.take(which), pa.array(scores, pa.int64())], names=[key, "rank", "canonical_id", "display_name", "score"])
+
+    texts = resources.select(F.col(key), F.lower(resource_text()).alias("t"), T.word_set(resource_text()).alias("w"))
+    return texts.mapInArrow(run, f"`{key}` {texts.schema[key].dataType.simpleString()}, rank int, canonical_id string, display_name string, score bigint")
+
+
+def _ranked_by_joins(resources: DataFrame, vocabulary: DataFrame, key: str, most: int) -> DataFrame:
+    """``candidates`` for a vocabulary of any size.
 
     Both parts are equi-joins on words, as a name that stands in a text shares its first word unless that word is cut:
-    names are therefore also tried where a word of the text contains theirs.  The vocabulary's words are a bounded list.
+    names are therefore also tried where a word of the text contains theirs.
     """
     texts = resources.select(F.col(key).alias("k"), F.lower(resource_text()).alias("t"), T.word_set(resource_text()).alias("w"))
     vocab = vocabulary.select("canonical_id", "display_name", "vocab_ord", F.lower("display_name").alias("n"), T.word_set(F.col("display_name")).alias("v"))

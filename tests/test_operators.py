@@ -330,3 +330,16 @@ def test_answers_with_pauses_and_errors(spark):
     df = spark.createDataFrame([("a",), ("bad",), ("c",)], "prompt string").coalesce(1)
     got = [(r.answer, r.error) for r in C.ask(df, "prompt", annotator, pause=0.01).collect()]
     assert sorted(got, key=str) == sorted([("A", None), (None, "no answer"), ("C", None)], key=str)
+
+
+def test_candidates_are_ranked_without_a_shuffle(spark, monkeypatch):
+    rng = random.Random(3)
+    words = "force static friction ion normal quark field magnetic of the law newton's energy".split()
+    vocab = spark.createDataFrame([(f"c{k}", " ".join(rng.choices(words, k=rng.randint(1, 3))).title(), rng.choice([None, 1, 2]), rng.choice(["structural", "extracted"]), k) for k in range(60)] + [("e", "", 1, "structural", 60), ("n", None, 2, "structural", 61)], "canonical_id string, display_name string, frequency int, source string, vocab_ord int")
+    text = lambda n: " ".join(rng.choices(words + ["frictions", "Iodine", "É"], k=n))
+    rows = spark.createDataFrame([(k, text(2), None, "", text(rng.randint(0, 12))) for k in range(40)] + [(99, None, None, None, None)], "id int, chapter_title string, section string, subsection string, summary string")
+    got = C.candidates(rows, vocab, "id", most=30)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(C, "LISTED", 3)
+    joined = C.candidates(rows, vocab, "id", most=30)
+    assert got.schema.simpleString() == joined.schema.simpleString() and sorted(map(tuple, got.collect())) == sorted(map(tuple, joined.collect()))
