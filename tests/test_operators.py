@@ -343,3 +343,11 @@ def test_candidates_are_ranked_without_a_shuffle(spark, monkeypatch):
     monkeypatch.setattr(C, "LISTED", 3)
     joined = C.candidates(rows, vocab, "id", most=30)
     assert got.schema.simpleString() == joined.schema.simpleString() and sorted(map(tuple, got.collect())) == sorted(map(tuple, joined.collect()))
+
+
+def test_filled_candidates_come_in_one_pass(spark):
+    vocab = spark.createDataFrame([(f"c{k:02d}", n, f, "structural", k) for k, (n, f) in enumerate([("Torque", 2), ("Heat", None), ("Ion", 9), ("Field", 9)])], "canonical_id string, display_name string, frequency int, source string, vocab_ord int")
+    rows = spark.createDataFrame([(1, None, None, None, "the heat of it"), (2, None, None, None, "")], "id int, chapter_title string, section string, subsection string, summary string")
+    got = C.candidates(rows, vocab, "id", most=3)
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, got.collect())) == [(1, 1, "c01", "Heat", 6), (1, 2, "c02", "Ion", 0), (1, 3, "c03", "Field", 0), (2, 1, "c02", "Ion", 0), (2, 2, "c03", "Field", 0), (2, 3, "c00", "Torque", 0)]
