@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
+from functools import cache
+from itertools import combinations
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -12,9 +14,12 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..plans.lineage import cut
-from ..plans.skew import hot_cold_join, strip
+from ..plans.scan import spread
+from ..plans.skew import strip
 
+# Least count, likeness, length from which a term may be contained, characters of a form.
 THRESHOLD, ALIKE, CONTAINED = 3, 0.92, 5
+CHARACTERS = "abcdefghijklmnopqrstuvwxyz0123456789 "
 
 
 def term_counts(records: DataFrame, key: str, concepts: str = "concepts") -> DataFrame:
@@ -37,29 +42,98 @@ def ranked(counts: DataFrame) -> DataFrame:
     return counts.withColumn("rank", F.struct((-F.col("n")).alias("m"), F.col("term").alias("t")))
 
 
-def _numbered_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, g): the grams of three characters of a term's form, repeated ones told apart by their number."""
-    for batch in batches:
-        terms, grams_ = [], []
-        for term, form in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            seen: Counter[str] = Counter()
-            for k in range(len(form) - 2):
-                g = form[k : k + 3]
-                grams_.append(f"{g}{seen[g] or ''}")
-                terms.append(term)
-                seen[g] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(grams_, pa.string())], names=["term", "g"])
+def most_unmatched(both: int) -> int:
+    """Characters of two forms, ``both`` long together, that may fail to match if they are more than ALIKE alike: fewer than 8 % of them, and odd as ``both`` is; below 0 if none can be alike."""
+    most = (2 * both - 1) // 25
+    return most - (most - both) % 2
+
+
+@cache
+def _parts(short: int, unmatched: int) -> list[tuple[int, int, int]]:
+    """(start, length, errors) of parts of the shorter of two forms: with so many characters unmatched, one part at least has no more than its errors.
+
+    For that errors + 1, summed, must exceed ``unmatched``.  Parts are long, so that few forms share one, and errors few, so that a part has few keys.
+    """
+    if unmatched <= 1:
+        return [(0, short, unmatched)]
+    if unmatched <= 5:
+        first, last = (unmatched - 1) // 2, unmatched // 2
+        half = short // 4 * 2
+        end = min(half, 12) if last > 1 else half
+        return [(0, min(half, 12) if first > 1 else half, first), (short - end, end, last)]
+    n = unmatched // 2 + 1
+    cuts = [short * k // n for k in range(n + 1)]
+    return [(a, b - a, 1) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def _without(s: str, n: int) -> set[str]:
+    """``s`` with ``n`` of its characters left out, in every way."""
+    if n == 0:
+        return {s}
+    if n == 1:
+        return {s[:k] + s[k + 1 :] for k in range(len(s))}
+    return {s[:k] + s[k + 1 : m] + s[m + 1 :] for k, m in combinations(range(len(s)), 2)}  # no part has more errors
+
+
+@cache
+def _lengths(size: int, shorter: bool) -> list[tuple[int, int]]:
+    """(length of the shorter, characters unmatched) for every length of the other that a form of ``size`` can be alike with."""
+    others = range(size, size * 6 // 5 + 2) if shorter else range(size * 5 // 6 - 1, size + 1)
+    return [(min(size, o), u) for o in others if o > 0 and (u := most_unmatched(size + o)) >= max(1, abs(size - o))]
+
+
+def _keys_of_shorter(f: str) -> set[int]:
+    """Every part with up to its errors left out."""
+    out = set()
+    for short, unmatched in dict.fromkeys(_lengths(len(f), True)):
+        parts = _parts(short, unmatched)
+        for n, (at, size, errors) in enumerate(parts):
+            for gone in range(min(errors, size) + 1):
+                out |= {crc32(v.encode(), n * 31 + len(parts)) for v in _without(f[at : at + size], gone)}
+    return out
+
+
+def _keys_of_longer(f: str) -> set[int]:
+    """What may stand in the place of every part of a shorter form, with the rest of its errors left out."""
+    pieces = set()
+    for short, unmatched in _lengths(len(f), False):
+        parts, more = _parts(short, unmatched), len(f) - short
+        lost, put = (unmatched - more) // 2, (unmatched + more) // 2  # unmatched of the shorter and of this one
+        for n, (at, size, errors) in enumerate(parts):
+            for gone in range(errors + 1):
+                for missing in range(errors - gone + 1):
+                    wide = size - missing + gone
+                    places = [0] if at == 0 else [len(f) - wide] if n == len(parts) - 1 else range(max(0, at - lost), min(at + put, len(f) - wide) + 1)
+                    pieces |= {(f[k : k + wide], gone, n * 31 + len(parts)) for k in places if 0 <= k <= len(f) - wide}
+    return {crc32(v.encode(), salt) for piece, gone, salt in pieces for v in _without(piece, gone)}
+
+
+def _keyed(keys: Callable[[str], set[int]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(k, f, h): a form's keys, the form, and the characters it holds, a bit each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 500):
+                forms = batch.column(0).slice(start, 500)
+                texts = forms.to_pylist()
+                each = [list(keys(f)) for f in texts]
+                at = pa.array([k for k, x in enumerate(each) for _ in x], pa.int32())
+                held = pa.array([sum(1 << CHARACTERS.index(c) for c in set(f)) for f in texts], pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array([x for e in each for x in e], pa.int64()), forms.take(at), held.take(at)], names=["k", "f", "h"])
+
+    return run
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of forms that are alike in the order given, in either order: the ratio is not the same in both."""
     for batch in batches:
-        a, an, b, bn = (c.to_pylist() for c in batch.columns)
-        keep = []
-        for k, (x, y) in enumerate(zip(an, bn, strict=True)):
-            m = SequenceMatcher(None, x, y)
-            if m.real_quick_ratio() > ALIKE and m.quick_ratio() > ALIKE and m.ratio() > ALIKE:
-                keep.append(k)
-        yield pa.RecordBatch.from_arrays([pa.array([a[k] for k in keep], pa.string()), pa.array([b[k] for k in keep], pa.string())], names=["a", "b"])
+        out = []
+        for x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for a, b in ((x, y), (y, x)):
+                m = SequenceMatcher(None, a, b)
+                if m.real_quick_ratio() > ALIKE and m.quick_ratio() > ALIKE and m.ratio() > ALIKE:
+                    out.append((a, b))
+        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.string()) for k in (0, 1)], names=["af", "bf"])
 
 
 def near_duplicates(counts: DataFrame) -> DataFrame:
@@ -67,7 +141,7 @@ def near_duplicates(counts: DataFrame) -> DataFrame:
 
     Equal once normalised; or one of more than five characters contained in the other; or equal but for British and
     American spelling; or more than 0.92 alike.  Each case is an equi-join on a key that is exact for it: the form
-    itself, six characters of the contained one (its rarest), the form in one spelling, and the rarest grams.
+    itself, six characters of the contained one (its rarest), the form in one spelling, and a part with few errors.
     """
     base = cut(ranked(counts).withColumn("f", T.similarity_form(F.col("term"))).select("term", "f", "rank"), "terms")
     l, r = base.select(F.col("term").alias("a"), F.col("f").alias("af"), F.col("rank").alias("ar")), base.select(F.col("term").alias("b"), F.col("f").alias("bf"), F.col("rank").alias("br"))
@@ -93,27 +167,26 @@ def near_duplicates(counts: DataFrame) -> DataFrame:
 
 
 def _alike_pairs(base: DataFrame) -> DataFrame:
-    """(a, b) of ``base`` (term, f, rank), a ranked first, whose forms are more than ALIKE alike.
+    """(a, b) of ``base`` (term, f, rank), a ranked first, whose forms differ and are more than ALIKE alike.
 
-    Of two such forms fewer than 1 - ALIKE of all characters fail to match, and each spoils three grams at most.  So if all
-    grams are put in one order, rarest first, the two share a gram among one more of their first ones than can be spoilt: terms meet
-    by these only, as many as a term is long, and no pair is lost.
+    Of two such forms so few characters fail to match that a long part of the shorter stands in the other with fewer errors
+    than the whole.  Forms meet by these parts, with the errors left out on either side, so no pair is lost, and those that only share
+    common words do not meet.
     """
-    held = cut(base.select("term", "f").mapInArrow(_numbered_grams, "term string, g string"), "grams")
-    weight = cut(held.groupBy("g").agg(F.count(F.lit(1)).alias("w")), "weights")
-    weighed = hot_cold_join(held, weight, "g", "w", weight.agg(F.sum("w")).first()[0] or 0)
-    size = F.length("f")
-    spoilt = 3 * (F.ceil(F.lit(2 * (1 - ALIKE) / ALIKE) * size) - 1)  # the other is no longer than (2 - ALIKE) / ALIKE times as long
-    first = weighed.groupBy("term").agg(F.array_sort(F.collect_list(F.struct("w", "g"))).alias("gs")).join(base, "term")
-    keys = first.select("term", "f", "rank", F.explode(F.transform(F.slice("gs", F.lit(1), (spoilt + 1).cast("int")), lambda x: x["g"])).alias("g"))
-    # Comparing costs far more than the bytes of a pair let the adaptive coalescing see, so the number of tasks is kept.
-    tasks = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    side = lambda x: keys.select("g", F.col("term").alias(x), F.col("f").alias(f"{x}f"), F.col("rank").alias(f"{x}r"))
-    met = side("a").repartition(tasks, "g").join(side("b").repartition(tasks, "g"), "g").filter(F.col("ar") < F.col("br"))
-    # What fails to match bounds the edit distance from above, so the built-in distance leaves few pairs and loses none.
-    most = F.floor(F.lit(1 - ALIKE) * (F.length("af") + F.length("bf"))).cast("int")
-    near = met.withColumn("most", most).filter((F.abs(F.length("af") - F.length("bf")) <= F.col("most")) & (F.expr("levenshtein(af, bf, most)") >= 0))
-    return near.select("a", "af", "b", "bf").distinct().repartition(tasks, "a", "b").mapInArrow(_alike, "a string, b string")
+    spark = base.sparkSession
+    # Making keys and comparing cost far more than the bytes let the adaptive coalescing see, so the number of tasks is kept.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    forms = cut(base.select("f").distinct().repartition(tasks, "f"), "forms")
+    side = lambda keys, c: spread(forms).mapInArrow(_keyed(keys), "k bigint, f string, h bigint").select("k", F.col("f").alias(c), F.col("h").alias(f"{c}h")).repartition(tasks, "k")
+    x, y = F.col("x"), F.col("y")
+    met = side(_keys_of_shorter, "x").join(side(_keys_of_longer, "y").hint("shuffle_hash"), "k").filter((F.length(x) < F.length(y)) | ((F.length(x) == F.length(y)) & (x < y)))
+    # Characters that only one form holds fail to match, and what fails to match bounds the edit distance from above: few pairs are left and none is lost.
+    both = F.length(x) + F.length(y)
+    most = F.expr("int((2 * (length(x) + length(y)) - 1) div 25)")
+    near = met.withColumn("most", most - F.pmod(most - both, F.lit(2))).filter((F.length(y) - F.length(x) <= F.col("most")) & (F.bit_count(F.col("xh").bitwiseXOR(F.col("yh"))) <= F.col("most"))).filter(F.expr("levenshtein(x, y, most) >= 0"))
+    alike = near.select("x", "y").distinct().repartition(tasks, "x", "y").mapInArrow(_alike, "af string, bf string")
+    l, r = base.select(F.col("term").alias("a"), F.col("f").alias("af"), F.col("rank").alias("ar")), base.select(F.col("term").alias("b"), F.col("f").alias("bf"), F.col("rank").alias("br"))
+    return cut(alike, "alike").join(l, "af").join(r, "bf").filter(F.col("ar") < F.col("br")).select("a", "b")
 
 
 def cluster(counts: DataFrame) -> DataFrame:

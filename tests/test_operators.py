@@ -351,3 +351,28 @@ def test_filled_candidates_come_in_one_pass(spark):
     got = C.candidates(rows, vocab, "id", most=3)
     assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, got.collect())) == [(1, 1, "c01", "Heat", 6), (1, 2, "c02", "Ion", 0), (1, 3, "c03", "Field", 0), (2, 1, "c02", "Ion", 0), (2, 2, "c03", "Field", 0), (2, 3, "c00", "Torque", 0)]
+
+
+def some_terms(rng):
+    stems = ["woven basket plan", "woven tramway set", "portable telescope night", "constant of surface excretion", "mass", "field"]
+    terms = {f"{rng.choice(stems)} {rng.choice('abc')}{rng.randint(0, 99)}" for _ in range(90)} | {f"{a} and {b} {rng.choice(stems)}" for a in stems[:4] for b in stems[2:4]}
+    for t in sorted(terms)[::3]:
+        k = rng.randrange(len(t))
+        terms.add(t[:k] + rng.choice(["", "x", t[k] * 2]) + t[k + 1 :])
+    return {t: rng.randint(1, 9) for t in sorted(terms)}
+
+
+def test_alike_terms_of_one_make_do_not_all_meet(spark):
+    """Terms that share their words but not their numbers are compared with few others, and no pair is lost."""
+    rng = random.Random(11)
+    counts = some_terms(rng)
+    order = sorted(counts, key=lambda t: (-counts[t], t))
+    pairs = {(r.a, r.b) for r in V.near_duplicates(spark.createDataFrame(list(counts.items()), "term string, n long")).collect()}
+    assert pairs == {(a, b) for i, a in enumerate(order) for b in order[i + 1 :] if brute_near(a, b)}
+    made = [f"{a} {n} type {c}{k}" for a in ("woven", "painted", "rustic") for n in ("basket", "tramway", "notebook") for c in "abcdefgh" for k in range(1000, 9000, 137)]
+    shorter, longer = {}, {}
+    for t in made:
+        for held, keys in ((shorter, V._keys_of_shorter(t)), (longer, V._keys_of_longer(t))):
+            for k in keys:
+                held[k] = held.get(k, 0) + 1
+    assert sum(n * longer.get(k, 0) for k, n in shorter.items()) / len(made) < 2000  # of 4,248 others
