@@ -59,12 +59,12 @@ def read_images(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return _json(spark, IMAGES, path).filter("_bad is null and image_id is not null").drop("_bad")
 
 
-def read_resources(spark: SparkSession, path: str | list[str], include: list[str] | None = None) -> DataFrame:
+def read_resources(spark: SparkSession, path: str | list[str], include: list[str] | None = None, glob: str = "*.json") -> DataFrame:
     """Resources of all files under ``path``, whether a file holds a list or one object, with ``_source_file`` and defaults.
 
-    ``include`` keeps files whose path contains any of the strings; broken files are left out.
+    ``include`` keeps files whose path contains any of the strings, ``glob`` those of a name; broken files are left out.
     """
-    rows = _json(spark, RESOURCE, path).filter("_bad is null").drop("_bad")
+    rows = _json(spark, RESOURCE, path, glob).filter("_bad is null").drop("_bad")
     if include:
         keep = F.lit(False)
         for s in include:

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+LIST_CHARACTERS = 8_000_000
+
 
 def write_chapters(rows: DataFrame, path: str, form: str = "parquet", by: tuple[str, ...] = ("class_no", "chapter_no"), mode: str = "overwrite") -> None:
     """Chunks or resources, one folder per chapter; large chapters are written by several tasks."""
@@ -17,6 +22,26 @@ def write_json(rows: DataFrame, path: str, mode: str = "overwrite", per_file: in
     rows.write.mode(mode).option("ignoreNullFields", False).option("maxRecordsPerFile", per_file).json(path)
 
 
+def write_lists(rows: DataFrame, path: str, most: int = 1000, mode: str = "overwrite") -> None:
+    """Text files that each hold one JSON list of up to ``most`` rows, or of LIST_CHARACTERS; so few files are written, and nothing is shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        one = lambda: pa.RecordBatch.from_arrays([pa.array(["[" + ",".join(held) + "]"], pa.string())], names=["value"])
+        for batch in batches:
+            for row in batch.column(0).to_pylist():
+                held.append(row)
+                size += len(row)
+                if len(held) >= most or size >= LIST_CHARACTERS:
+                    yield one()
+                    held, size = [], 0
+        if held:
+            yield one()
+
+    objects = rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value"))
+    objects.mapInArrow(run, "value string").write.mode(mode).option("maxRecordsPerFile", 1).text(path)
+
+
 def write_vocabulary(tables: dict[str, DataFrame], path: str, dry_run: bool = False) -> dict[str, int]:
     """vocabulary, merge_map and rejected (most frequent first) as JSON lines; the rows of each. A dry run only counts."""
     counts = {}

@@ -376,3 +376,12 @@ def test_alike_terms_of_one_make_do_not_all_meet(spark):
             for k in keys:
                 held[k] = held.get(k, 0) + 1
     assert sum(n * longer.get(k, 0) for k, n in shorter.items()) / len(made) < 2000  # of 4,248 others
+
+
+def test_resources_in_lists_are_few_files_and_read_back_whole(spark, tmp_path):
+    rows = [(f"r{k}", "d", None if k % 3 else f'a "line"\nand more {k}', ["x", None] if k % 2 else None, True, k) for k in range(25)]
+    df = spark.createDataFrame(rows, "resource_id string, document_id string, text string, concepts array<string>, has_equation boolean, page_start int").coalesce(2)
+    writers.write_lists(df, str(tmp_path / "lists"), most=10)
+    assert len(list((tmp_path / "lists").glob("part-*"))) <= 4
+    got = readers.read_resources(spark, str(tmp_path / "lists"), glob="part-*").select(*df.columns).collect()
+    assert sorted(map(tuple, got)) == sorted((*r[:3], r[3] or [], *r[4:]) for r in rows)
