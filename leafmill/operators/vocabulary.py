@@ -17,9 +17,10 @@ from ..plans.lineage import cut
 from ..plans.scan import spread
 from ..plans.skew import strip
 
-# Least count, likeness, length from which a term may be contained, characters of a form.
+# Least count, likeness, length from which a term may be contained, characters of a form, pairs that one task decides at the end.
 THRESHOLD, ALIKE, CONTAINED = 3, 0.92, 5
 CHARACTERS = "abcdefghijklmnopqrstuvwxyz0123456789 "
+LAST_PAIRS = 500_000
 
 
 def term_counts(records: DataFrame, key: str, concepts: str = "concepts") -> DataFrame:
@@ -58,9 +59,9 @@ def _parts(short: int, unmatched: int) -> list[tuple[int, int, int]]:
         return [(0, short, unmatched)]
     if unmatched <= 5:
         first, last = (unmatched - 1) // 2, unmatched // 2
-        half = short // 4 * 2
-        end = min(half, 12) if last > 1 else half
-        return [(0, min(half, 12) if first > 1 else half, first), (short - end, end, last)]
+        end = short * 21 // 50 // 2 * 2  # terms begin alike more often than they end alike, so the end may be the shorter part
+        end, start = min(end, 10) if last > 1 else end, (short - end) // 2 * 2
+        return [(0, min(start, 12) if first > 1 else start, first), (short - end, end, last)]
     n = unmatched // 2 + 1
     cuts = [short * k // n for k in range(n + 1)]
     return [(a, b - a, 1) for a, b in zip(cuts, cuts[1:], strict=False)]
@@ -189,23 +190,49 @@ def _alike_pairs(base: DataFrame) -> DataFrame:
     return cut(alike, "alike").join(l, "af").join(r, "bf").filter(F.col("ar") < F.col("br")).select("a", "b")
 
 
+def _beaten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The terms that an earlier chosen one claims, of all pairs: a term is decided when all its earlier neighbours are."""
+    later: dict[str, list[str]] = {}
+    waits: dict[str, int] = {}
+    for batch in batches:
+        for a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            later.setdefault(a, []).append(b)
+            waits[b] = waits.get(b, 0) + 1
+    beaten: set[str] = set()
+    ready = [a for a in later if a not in waits]
+    while ready:
+        a = ready.pop()
+        for b in later.get(a, ()):
+            waits[b] -= 1
+            if a not in beaten:
+                beaten.add(b)
+            if not waits[b]:
+                ready.append(b)
+    yield pa.RecordBatch.from_arrays([pa.array(sorted(beaten), pa.string())], names=["term"])
+
+
 def cluster(counts: DataFrame) -> DataFrame:
     """(term, n, canonical): greedy stars in the order of rank: a term not yet claimed claims all its unclaimed near-duplicates.
 
     Not transitive.  In rounds: a term without an earlier open neighbour is chosen, and its neighbours are open no more;
     when none is left, every other term belongs to its earliest chosen neighbour.  The number of rounds is that of
-    the longest chain of decisions.
+    the longest chain of decisions; once LAST_PAIRS pairs of open terms or fewer are left, one task decides the rest.
     """
+    counts = cut(counts.select("term", "n"), "counts")
     pairs = cut(near_duplicates(counts), "pairs")
     open_ = cut(pairs.select(F.col("a").alias("term")).unionByName(pairs.select(F.col("b").alias("term"))).distinct(), "open")
     chosen: DataFrame | None = None
+    live = pairs
     while not open_.isEmpty():
-        as_a, as_b = open_.select(F.col("term").alias("a")), open_.select(F.col("term").alias("b"))
-        live = pairs.join(as_a, "a", "left_semi").join(as_b, "b", "left_semi")
-        picked = cut(open_.join(live.select(F.col("b").alias("term")).distinct(), "term", "left_anti"), "picked")
+        if live.count() <= LAST_PAIRS:
+            beaten = live.coalesce(1).mapInArrow(_beaten, "term string")
+            picked, open_ = open_.join(beaten, "term", "left_anti"), open_.limit(0)
+        else:
+            picked = cut(open_.join(live.select(F.col("b").alias("term")).distinct(), "term", "left_anti"), "picked")
+            beaten = live.join(picked.select(F.col("term").alias("a")), "a", "left_semi").select(F.col("b").alias("term")).distinct()
+            open_ = cut(open_.join(picked, "term", "left_anti").join(beaten, "term", "left_anti"), "open")
+            live = cut(live.join(open_.select(F.col("term").alias("a")), "a", "left_semi").join(open_.select(F.col("term").alias("b")), "b", "left_semi"), "live")
         chosen = picked if chosen is None else chosen.unionByName(picked)
-        beaten = live.join(picked.select(F.col("term").alias("a")), "a", "left_semi").select(F.col("b").alias("term")).distinct()
-        open_ = cut(open_.join(picked, "term", "left_anti").join(beaten, "term", "left_anti"), "open")
     if chosen is None:
         return counts.select("term", "n", F.col("term").alias("canonical"))
     ranks = ranked(counts).join(chosen, "term", "left_semi").select(F.col("term").alias("a"), F.col("rank").alias("ar"))

@@ -378,6 +378,19 @@ def test_alike_terms_of_one_make_do_not_all_meet(spark):
     assert sum(n * longer.get(k, 0) for k, n in shorter.items()) / len(made) < 2000  # of 4,248 others
 
 
+def test_clusters_are_the_same_in_rounds_and_in_one_task(spark, monkeypatch):
+    counts = some_terms(random.Random(4))
+    df = spark.createDataFrame(list(counts.items()), "term string, n long")
+    pairs = {(r.a, r.b) for r in V.near_duplicates(df).collect()}
+    canon = {}
+    for t in sorted(counts, key=lambda t: (-counts[t], t)):
+        if t not in canon:
+            canon |= {o: t for o in counts if o not in canon and (o == t or (t, o) in pairs)}
+    for most in (V.LAST_PAIRS, 0):
+        monkeypatch.setattr(V, "LAST_PAIRS", most)
+        assert {r.term: r.canonical for r in V.cluster(df).collect()} == canon
+
+
 def test_resources_in_lists_are_few_files_and_read_back_whole(spark, tmp_path):
     rows = [(f"r{k}", "d", None if k % 3 else f'a "line"\nand more {k}', ["x", None] if k % 2 else None, True, k) for k in range(25)]
     df = spark.createDataFrame(rows, "resource_id string, document_id string, text string, concepts array<string>, has_equation boolean, page_start int").coalesce(2)
