@@ -398,3 +398,12 @@ def test_resources_in_lists_are_few_files_and_read_back_whole(spark, tmp_path):
     assert len(list((tmp_path / "lists").glob("part-*"))) <= 4
     got = readers.read_resources(spark, str(tmp_path / "lists"), glob="part-*").select(*df.columns).collect()
     assert sorted(map(tuple, got)) == sorted((*r[:3], r[3] or [], *r[4:]) for r in rows)
+
+
+def test_merge_map_counts_terms_once(spark, monkeypatch):
+    recs = spark.createDataFrame([(1, ["static friction", "torque"]), (2, ["static frictions"]), (3, ["static friction"])], "id int, concepts array<string>")
+    structural = spark.createDataFrame([("torque", "Torque", 5, "structural")], "canonical_id string, display_name string, frequency int, source string")
+    cuts, cut = [], V.cut
+    monkeypatch.setattr(V, "cut", lambda df, name="cut": cuts.append(name) or cut(df, name))
+    assert [tuple(r) for r in V.build(recs, "id", structural)["merge_map"].collect()] == [("static frictions", "static friction")]
+    assert cuts.count("counts") == 1 and "picked" not in cuts
