@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 from functools import cache
-from itertools import combinations
+from itertools import chain, combinations
 from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,10 +19,11 @@ from ..plans.lineage import cut
 from ..plans.scan import spread
 from ..plans.skew import strip
 
-# Least count, likeness, length from which a term may be contained, characters of a form, pairs that one task decides at the end.
+# Least count, likeness, length from which a term may be contained, characters of a form, pairs that one task decides at the end, bits of a number, pairs compared in one step.
 THRESHOLD, ALIKE, CONTAINED = 3, 0.92, 5
 CHARACTERS = "abcdefghijklmnopqrstuvwxyz0123456789 "
 LAST_PAIRS = 500_000
+HALF, PAIRS_AT_ONCE = 62, 1_000_000
 
 
 def term_counts(records: DataFrame, key: str, concepts: str = "concepts") -> DataFrame:
@@ -67,7 +70,7 @@ def _parts(short: int, unmatched: int) -> list[tuple[int, int, int]]:
     return [(a, b - a, 1) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-def _without(s: str, n: int) -> set[str]:
+def _without(s: bytes, n: int) -> set[bytes]:
     """``s`` with ``n`` of its characters left out, in every way."""
     if n == 0:
         return {s}
@@ -85,18 +88,18 @@ def _lengths(size: int, shorter: bool) -> list[tuple[int, int]]:
 
 def _keys_of_shorter(f: str) -> set[int]:
     """Every part with up to its errors left out."""
-    out = set()
+    out, f = set(), f.encode()
     for short, unmatched in dict.fromkeys(_lengths(len(f), True)):
         parts = _parts(short, unmatched)
         for n, (at, size, errors) in enumerate(parts):
             for gone in range(min(errors, size) + 1):
-                out |= {crc32(v.encode(), n * 31 + len(parts)) for v in _without(f[at : at + size], gone)}
+                out |= {crc32(v, n * 31 + len(parts)) for v in _without(f[at : at + size], gone)}
     return out
 
 
 def _keys_of_longer(f: str) -> set[int]:
     """What may stand in the place of every part of a shorter form, with the rest of its errors left out."""
-    pieces = set()
+    pieces, f = set(), f.encode()
     for short, unmatched in _lengths(len(f), False):
         parts, more = _parts(short, unmatched), len(f) - short
         lost, put = (unmatched - more) // 2, (unmatched + more) // 2  # unmatched of the shorter and of this one
@@ -106,34 +109,105 @@ def _keys_of_longer(f: str) -> set[int]:
                     wide = size - missing + gone
                     places = [0] if at == 0 else [len(f) - wide] if n == len(parts) - 1 else range(max(0, at - lost), min(at + put, len(f) - wide) + 1)
                     pieces |= {(f[k : k + wide], gone, n * 31 + len(parts)) for k in places if 0 <= k <= len(f) - wide}
-    return {crc32(v.encode(), salt) for piece, gone, salt in pieces for v in _without(piece, gone)}
+    return {crc32(v, salt) for piece, gone, salt in pieces for v in _without(piece, gone)}
 
 
-def _keyed(keys: Callable[[str], set[int]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(k, f, h): a form's keys, the form, and the characters it holds, a bit each."""
+def _held(f: str) -> tuple[int, int]:
+    """The characters of a form, in two numbers with a bit for each that it holds once, twice and three times at least."""
+    times: dict[str, int] = {}
+    bits = 0
+    for c in f:
+        n = times[c] = times.get(c, -1) + 1
+        if n < 3:
+            bits |= 1 << (n * len(CHARACTERS) + CHARACTERS.index(c))
+    return bits & (1 << HALF) - 1, bits >> HALF
+
+
+def _keyed(keys: Callable[[str], set[int]], longer: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(k, f, h, i): a form's keys, doubled, and one more if they are those of a longer form; the form, and the characters it holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 forms = batch.column(0).slice(start, 500)
                 texts = forms.to_pylist()
-                each = [list(keys(f)) for f in texts]
-                at = pa.array([k for k, x in enumerate(each) for _ in x], pa.int32())
-                held = pa.array([sum(1 << CHARACTERS.index(c) for c in set(f)) for f in texts], pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array([x for e in each for x in e], pa.int64()), forms.take(at), held.take(at)], names=["k", "f", "h"])
+                each = [keys(f) for f in texts]
+                at = pa.array(np.repeat(np.arange(len(each), dtype=np.int32), [len(e) for e in each]))
+                held = [_held(f) for f in texts]
+                k = np.fromiter(chain.from_iterable(each), np.int64) * 2 + longer
+                yield pa.RecordBatch.from_arrays([pa.array(k), forms.take(at), *(pa.array([h[n] for h in held], pa.int64()).take(at) for n in (0, 1))], names=["k", "f", "h", "i"])
 
     return run
 
 
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(x, y): forms that share a key, x no longer than y, of rows of ``_keyed`` in the order of k; a key's rows may lie in several batches.
+
+    Characters that only one form holds fail to match, so pairs that differ in more of them than may are left out.
+    """
+    open_ = None
+    for batch in chain(batches, [None]):
+        rows = [x for x in (open_, batch) if x is not None]
+        if not rows:
+            return
+        here = pa.concat_batches(rows)
+        if here.num_rows == 0:
+            continue
+        k = here.column(0).to_numpy()
+        if batch is not None:  # the last key may go on
+            end = int(np.searchsorted(k, k[-1] & ~1))
+            here, open_, k = here.slice(0, end), here.slice(end), k[:end]
+        if len(k):
+            for x, y in _pairs_within(k >> 1, k & 1 == 1, *(c.to_numpy() for c in (pc.binary_length(here.column(1)), here.column(2), here.column(3)))):
+                yield pa.RecordBatch.from_arrays([here.column(1).take(pa.array(x)), here.column(1).take(pa.array(y))], names=["x", "y"])
+
+
+def _pairs_within(k: np.ndarray, longer: np.ndarray, n: np.ndarray, h: np.ndarray, i: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of a shorter and a longer row with one key whose forms may be alike by lengths and characters, by PAIRS_AT_ONCE."""
+    first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+    size = np.diff(np.r_[first, len(k)])
+    shorts = np.add.reduceat(~longer, first, dtype=np.int64)
+    rows = np.flatnonzero(~longer)
+    low, each = np.repeat(first + shorts, shorts), np.repeat(size - shorts, shorts)
+    rows, low, each = rows[each > 0], low[each > 0], each[each > 0]
+    upto = np.r_[0, np.cumsum(each)]
+    most = np.array([most_unmatched(b) for b in range(2 * int(n.max()) + 1)])
+    at = 0
+    while at < len(rows):
+        to = max(at + 1, int(np.searchsorted(upto, upto[at] + PAIRS_AT_ONCE, "right")) - 1)
+        x = np.repeat(rows[at:to], each[at:to])
+        y = np.arange(len(x)) + np.repeat(low[at:to] - (upto[at:to] - upto[at]), each[at:to])
+        apart = np.bitwise_count(h[x] ^ h[y])
+        near = apart <= most[n[x] + n[y]]
+        x, y, apart = x[near], y[near], apart[near] + np.bitwise_count(i[x[near]] ^ i[y[near]])
+        more = n[y] - n[x]
+        near = (more >= 0) & (np.maximum(more, apart) <= most[n[x] + n[y]])
+        yield x[near], y[near]
+        at = to
+
+
+def _may_be_alike(x: str, y: str) -> bool:
+    """By the characters between what both begin and end with: those that only one form holds there fail to match."""
+    most = most_unmatched(len(x) + len(y))
+    a, b = 0, 0
+    short = min(len(x), len(y))
+    while a < short and x[a] == y[a]:
+        a += 1
+    while b < short - a and x[-1 - b] == y[-1 - b]:
+        b += 1
+    inner, other = x[a : len(x) - b], y[a : len(y) - b]
+    for c in inner:
+        other = other.replace(c, "", 1)
+    return 2 * len(other) + len(x) - len(y) <= most
+
+
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of forms that are alike in the order given, in either order: the ratio is not the same in both."""
     for batch in batches:
         out = []
         for x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            for a, b in ((x, y), (y, x)):
-                m = SequenceMatcher(None, a, b)
-                if m.real_quick_ratio() > ALIKE and m.quick_ratio() > ALIKE and m.ratio() > ALIKE:
-                    out.append((a, b))
+            if _may_be_alike(x, y):
+                out += [(a, b) for a, b in ((x, y), (y, x)) if SequenceMatcher(None, a, b).ratio() > ALIKE]
         yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.string()) for k in (0, 1)], names=["af", "bf"])
 
 
@@ -178,13 +252,12 @@ def _alike_pairs(base: DataFrame) -> DataFrame:
     # Making keys and comparing cost far more than the bytes let the adaptive coalescing see, so the number of tasks is kept.
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     forms = cut(base.select("f").distinct().repartition(tasks, "f"), "forms")
-    side = lambda keys, c: spread(forms).mapInArrow(_keyed(keys), "k bigint, f string, h bigint").select("k", F.col("f").alias(c), F.col("h").alias(f"{c}h")).repartition(tasks, "k")
-    x, y = F.col("x"), F.col("y")
-    met = side(_keys_of_shorter, "x").join(side(_keys_of_longer, "y").hint("shuffle_hash"), "k").filter((F.length(x) < F.length(y)) | ((F.length(x) == F.length(y)) & (x < y)))
-    # Characters that only one form holds fail to match, and what fails to match bounds the edit distance from above: few pairs are left and none is lost.
-    both = F.length(x) + F.length(y)
+    side = lambda keys, longer: spread(forms).mapInArrow(_keyed(keys, longer), "k bigint, f string, h bigint, i bigint")
+    keyed = side(_keys_of_shorter, False).unionByName(side(_keys_of_longer, True)).repartition(tasks, F.shiftright("k", 1)).sortWithinPartitions("k")  # one number, which is sorted by its digits
+    met = keyed.mapInArrow(_meet, "x string, y string").filter((F.length("x") < F.length("y")) | (F.col("x") < F.col("y")))
+    # What fails to match bounds the edit distance from above: few pairs are left and none is lost.
     most = F.expr("int((2 * (length(x) + length(y)) - 1) div 25)")
-    near = met.withColumn("most", most - F.pmod(most - both, F.lit(2))).filter((F.length(y) - F.length(x) <= F.col("most")) & (F.bit_count(F.col("xh").bitwiseXOR(F.col("yh"))) <= F.col("most"))).filter(F.expr("levenshtein(x, y, most) >= 0"))
+    near = met.withColumn("most", most - F.pmod(most - F.length("x") - F.length("y"), F.lit(2))).filter(F.expr("levenshtein(x, y, most) >= 0"))
     alike = near.select("x", "y").distinct().repartition(tasks, "x", "y").mapInArrow(_alike, "af string, bf string")
     l, r = base.select(F.col("term").alias("a"), F.col("f").alias("af"), F.col("rank").alias("ar")), base.select(F.col("term").alias("b"), F.col("f").alias("bf"), F.col("rank").alias("br"))
     return cut(alike, "alike").join(l, "af").join(r, "bf").filter(F.col("ar") < F.col("br")).select("a", "b")

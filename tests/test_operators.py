@@ -3,7 +3,9 @@
 import json
 import random
 from difflib import SequenceMatcher
+from zlib import crc32
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from leafmill.functions import concept_lists, text as T
@@ -407,3 +409,16 @@ def test_merge_map_counts_terms_once(spark, monkeypatch):
     monkeypatch.setattr(V, "cut", lambda df, name="cut": cuts.append(name) or cut(df, name))
     assert [tuple(r) for r in V.build(recs, "id", structural)["merge_map"].collect()] == [("static frictions", "static friction")]
     assert cuts.count("counts") == 1 and "picked" not in cuts
+
+
+def test_forms_that_share_a_key_are_compared_in_arrays(spark):
+    """A crowded key is met in few batches of pairs, of which only those that may be alike are made rows, whatever batches it lies in."""
+    forms = [f"evening almanac set {c}{n}" for c in "ab" for n in range(1000, 4000, 29)] + ["evening almanac", "evening almanac set b10000"]
+    keyed = lambda longer: pa.Table.from_batches(V._keyed(lambda f: {len(f) // 99, crc32(f[-1:].encode())}, longer)([pa.record_batch({"f": forms})]))
+    rows = pa.concat_tables([keyed(False), keyed(True)]).sort_by("k")
+    bound = lambda x, y: sum(abs(min(x.count(c), 3) - min(y.count(c), 3)) for c in V.CHARACTERS)
+    want = {(x, y) for x in forms for y in forms if len(x) <= len(y) and max(len(y) - len(x), bound(x, y)) <= V.most_unmatched(len(x) + len(y))}
+    for size in (10_000, 501, 37):
+        got = [p for b in V._meet(iter(rows.to_batches(max_chunksize=size))) for p in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        assert set(got) == want and len(want) < len(forms) ** 2 / 2
+    assert all(V._may_be_alike(x, y) for x, y in want if SequenceMatcher(None, x, y).ratio() > V.ALIKE) and not V._may_be_alike(forms[0], "evening almanac set b2345")
