@@ -27,7 +27,14 @@ HALF, PAIRS_AT_ONCE = 62, 1_000_000
 
 
 def term_counts(records: DataFrame, key: str, concepts: str = "concepts") -> DataFrame:
-    """(term, n): records that hold a term, terms equal but for case counted once a record under the form met first there."""
+    """(term, n): records that hold a term, terms equal but for case counted once a record under the form met first there.
+
+    Where no key is repeated, a record's terms are told apart within its row, without sorting them all by record.
+    """
+    if records.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        forms = records.select(F.filter(F.transform(concepts, strip), lambda c: c != "").alias("f")).select("f", F.transform("f", F.lower).alias("l"))
+        once = F.transform(F.array_distinct("l"), lambda l: F.get(F.col("f"), (F.array_position("l", l) - 1).cast("int")))
+        return forms.select(F.explode(once).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     each = records.select(F.col(key).alias("k"), F.posexplode(concepts).alias("i", "c")).select("k", "i", strip(F.col("c")).alias("term")).filter("term <> ''")
     firsts = each.groupBy("k", F.lower("term").alias("l")).agg(F.min_by("term", "i").alias("term"))
     return firsts.groupBy("term").agg(F.count(F.lit(1)).alias("n"))

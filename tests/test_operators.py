@@ -422,3 +422,14 @@ def test_forms_that_share_a_key_are_compared_in_arrays(spark):
         got = [p for b in V._meet(iter(rows.to_batches(max_chunksize=size))) for p in zip(*(c.to_pylist() for c in b.columns), strict=True)]
         assert set(got) == want and len(want) < len(forms) ** 2 / 2
     assert all(V._may_be_alike(x, y) for x, y in want if SequenceMatcher(None, x, y).ratio() > V.ALIKE) and not V._may_be_alike(forms[0], "evening almanac set b2345")
+
+
+def test_terms_of_unrepeated_keys_are_counted_without_sorting(spark):
+    rows = [(1, ["Ion", " ion", "ION", None, "", " "]), (2, ["ion", "Heat"]), (None, ["heat", "Ion"]), (3, None), (4, [])]
+    df = lambda rows: spark.createDataFrame(rows, "k int, concepts array<string>")
+    got = V.term_counts(df(rows), "k")
+    assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, got.collect())) == [("Heat", 1), ("Ion", 2), ("heat", 1), ("ion", 1)]
+    again = V.term_counts(df([*rows, (4, ["x"]), (4, ["X", "y"])]), "k")
+    assert sum(r.n for r in again.collect()) == 7
+    assert sorted(map(tuple, V.term_counts(df([*rows, (4, [])]), "k").collect())) == sorted(map(tuple, got.collect()))
